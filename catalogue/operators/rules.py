@@ -247,6 +247,12 @@ def repeats(df: DataFrame, key: Sequence[str], order: str, keep: Sequence[str] =
     return joined.where(F.col(order) > F.col("first_row")).select("_key.*", *extra, "first_row")
 
 
+def first_row(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
+    """First row and frequency of every key used more than once."""
+    return (df.groupBy(*key).agg(F.count("*").alias("frequency"), F.min(order).alias("first_row"))
+            .where("frequency > 1"))
+
+
 def duplicate_key_issues(df: DataFrame, key: Sequence[str], order: str, code: str = "MASTER_PK_DUPLICATE",
                          table: str = "master", dataset: str = "source_dataset",
                          record_id: Column | str | None = None) -> DataFrame:
@@ -365,7 +371,7 @@ def issue_status(issues: DataFrame) -> DataFrame:
 
 
 def issues_by_dataset(issues: DataFrame) -> DataFrame:
-    return (issues.groupBy("dataset").pivot("severity", list(K.SEVERITIES)).agg(F.count("*"))
+    return (issues.groupBy("dataset").pivot("severity", list(K.SEVERITIES)).agg(F.count("severity"))
             .na.fill(0).withColumn("total", F.col("error") + F.col("warning") + F.col("informational")))
 
 

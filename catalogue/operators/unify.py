@@ -200,13 +200,13 @@ def floor_checks(status: str = "overall_gpa_status") -> list[Rule]:
 
 
 def check_constraints(df: DataFrame, rules: Sequence[Rule], key: str) -> DataFrame:
-    """Per violated constraint: offending rows and the smallest offending key. One aggregate over one scan."""
-    sums = df.agg(*[x for i, r in enumerate(rules) for x in (
-        F.count_if(r.when).alias(f"n{i}"), F.min(F.when(r.when, F.col(key))).alias(f"k{i}"))])
-    cells = F.array(*[F.struct(F.lit(r.code).alias("constraint"), F.lit(r.field).cast("string").alias("field"),
-                               F.col(f"n{i}").alias("rows"), F.col(f"k{i}").cast("string").alias("first_key"))
-                      for i, r in enumerate(rules)])
-    return sums.select(F.explode(cells).alias("x")).select("x.*").where("rows > 0")
+    """Per violated constraint: offending rows and the smallest offending key. One scan, one combined aggregate."""
+    broken = F.array_compact(F.array(*[
+        F.when(r.when, F.struct(F.lit(r.code).alias("constraint"), F.lit(r.field).cast("string").alias("field")))
+        for r in rules]))
+    return (df.select(F.col(key).alias("_key"), F.explode(broken).alias("x"))
+            .groupBy("x.constraint", "x.field")
+            .agg(F.count("*").alias("rows"), F.min("_key").cast("string").alias("first_key")))
 
 
 def gate_semantics(df: DataFrame, contract: K.TableContract) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,9 @@ def canonical_text(df: DataFrame, contract: TableContract) -> DataFrame:
 
 def write_canonical(df: DataFrame, path: str, contract: TableContract, order: Sequence[str] = ()) -> None:
     out = df.sortWithinPartitions(*order) if order else df
-    (canonical_text(out, contract).write.options(header=True, lineSep="\n", emptyValue="", escape='"').csv(path))
+    canonical_text(out, contract).write.options(
+        header=True, lineSep="\n", emptyValue="", escape='"', ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def shard_count(total_bytes: int | Column, target_bytes: int, rows: int | Column) -> Column:
@@ -28,8 +31,8 @@ def shard_count(total_bytes: int | Column, target_bytes: int, rows: int | Column
     rows = F.lit(rows) if isinstance(rows, int) else rows
     parts = F.greatest(F.lit(1), F.ceil(total / F.lit(target_bytes)))
     # the number of binary digits of parts-1 is the exponent; exact, unlike a floating logarithm
-    digits = F.when(parts <= 1, 0).otherwise(F.length(F.bin(parts - 1)))
-    power = F.shiftleft(F.lit(1).cast("bigint"), digits)
+    power = F.when(parts <= 1, F.lit(1).cast("bigint")).otherwise(
+        F.pow(F.lit(2), F.length(F.bin(parts - 1))).cast("bigint"))
     return F.when(rows == 0, F.lit(1).cast("bigint")).otherwise(F.least(rows.cast("bigint"), power))
 
 
@@ -105,16 +108,15 @@ def content_profile(df: DataFrame) -> DataFrame:
 
 def verify_receipt(tables: dict[str, DataFrame], old: dict[str, DataFrame]) -> DataFrame:
     """Per table: does its content still give the old receipt."""
-    out = None
+    fields = ("rows", "columns", "hash_a", "hash_b")
+    lines = []
     for name, df in tables.items():
-        now, before = receipt(df), old[name]
-        same = (now.withColumn("_one", F.lit(1)).alias("n").join(before.withColumn("_one", F.lit(1)).alias("o"), "_one")
-                .select(F.lit(name).alias("table"), F.col("o.rows").alias("old_rows"), F.col("n.rows").alias("new_rows"),
-                        ~((F.col("n.rows") == F.col("o.rows")) & (F.col("n.columns") == F.col("o.columns"))
-                          & (F.col("n.hash_a") == F.col("o.hash_a"))
-                          & (F.col("n.hash_b") == F.col("o.hash_b"))).alias("changed")))
-        out = same if out is None else out.unionByName(same)
-    return out
+        now = receipt(df).select(F.lit(name).alias("table"), F.struct(*fields).alias("now"))
+        before = old[name].select(F.lit(name).alias("table"), F.struct(*fields).alias("before"))
+        lines.append(now.join(before, "table"))
+    return reduce(DataFrame.unionByName, lines).select(
+        "table", F.col("before.rows").alias("old_rows"), F.col("now.rows").alias("new_rows"),
+        (F.col("now") != F.col("before")).alias("changed"))
 
 
 def assert_same(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -136,4 +138,6 @@ def guard_cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    guard_cells(df).write.options(header=True, quoteAll=True, lineSep="\r\n", escape='"').csv(path)
+    guard_cells(df).write.options(
+        header=True, quoteAll=True, lineSep="\n", escape='"', ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False).csv(path)
