@@ -496,3 +496,24 @@ def contiguity(children: DataFrame, key: Sequence[str], order_col: str) -> DataF
                                        F.max(order_col).cast("bigint").alias("hi"),
                                        F.count_distinct(order_col).alias("distinct_orders"))
             .where("not (lo = 1 and hi = n and distinct_orders = n)"))
+
+
+# ---- all layers at once -------------------------------------------------------------------------------------------------
+
+def classify_records(df: DataFrame, rules: DataFrame, grade: DataFrame, english: DataFrame, field: DataFrame, place: DataFrame,
+                     raw_xw: DataFrame, ctx_xw: DataFrame, broad: DataFrame, sub: DataFrame) -> DataFrame:
+    """Records with every derived layer as plain columns and arrays: what search, facets and documents read."""
+    codes = lambda c: F.transform(c, lambda m: m["code"])
+    out = classify_rule(df, "gpa_requirement", rules).withColumnsRenamed({
+        "parse_status": "gpa_parse_status", "search_disposition": "gpa_search_disposition",
+        "source_value_status": "gpa_source_value_status"})
+    out = classify_threshold(out, "gpa_requirement", grade)
+    out = classify(out, "english_requirement", english).withColumnsRenamed({
+        "requirement_status": "english_requirement_status", "parse_status": "english_parse_status",
+        "search_disposition": "english_search_disposition"}).drop("review_note")
+    out = classify_multi(out, "academic_field", field).withColumnRenamed("mapping_status", "academic_field_mapping_status")
+    out = out.withColumn("academic_field_groups", codes("memberships")).drop("memberships", "mapping_note")
+    out = classify_multi(out, "prefecture", place).withColumnRenamed("mapping_status", "prefecture_mapping_status")
+    out = out.withColumn("prefecture_memberships", codes("memberships")).drop("memberships", "mapping_note")
+    out = classify_context(out, raw_xw, ctx_xw, broad, sub)
+    return out.withColumn("broad_codes", codes("broad_memberships")).withColumn("subcategory_codes", codes("subcategory_memberships"))

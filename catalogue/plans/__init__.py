@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-FAMILIES = ("sources_plans", "projection_plans", "validation_plans", "unify_plans", "classify_plans")
+FAMILIES = ("sources_plans", "projection_plans", "validation_plans", "unify_plans", "classify_plans", "join_plans",
+            "search_plans")
 
 
 def load() -> None:

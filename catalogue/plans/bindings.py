@@ -329,3 +329,15 @@ CONFIRMED = """SELECT n_name AS university, 'S' || CAST(c_custkey % 40 AS STRING
 # queue entries the registry points to: some done, some of another university, some missing
 REGISTRY_QUEUE = """SELECT 'Q' || CAST(s_suppkey AS STRING) AS queue_id, CASE WHEN s_suppkey % 7 = 0 THEN 'elsewhere' ELSE n_name END AS university,
  CASE WHEN s_suppkey % 5 = 0 THEN '完了' ELSE '待機' END AS action_status FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey WHERE s_suppkey % 11 <> 0"""
+
+# ---- places, and the record with all layers ------------------------------------------------------------------------------
+
+PLACE_XW = """SELECT '0.1' AS mapping_contract_version, n_name AS raw_value, CASE WHEN n_nationkey % 6 = 0 THEN 'multi' ELSE 'single' END AS mapping_status, r_name AS group_code,
+ CAST(ROW_NUMBER() OVER (PARTITION BY n_nationkey ORDER BY r_regionkey) AS STRING) AS group_order, '' AS review_note
+ FROM {nation} JOIN {region} ON r_regionkey = n_regionkey OR (n_nationkey % 6 = 0 AND r_regionkey = (n_regionkey + 1) % 5) WHERE n_nationkey <> 24"""
+
+
+def catalogue(spark: SparkSession, sf: str) -> DataFrame:
+    """The classified records that search, facets and documents work on."""
+    from ..operators.classify import classify_records
+    return classify_records(*[frame(spark, sf, s) for s in (B3, RULES, GRADE, ENGLISH, FIELD_XW, PLACE_XW, RAW_XW, CTX_XW, BROAD, SUB)])
