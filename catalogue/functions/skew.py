@@ -8,6 +8,7 @@ several partitions, and only their facts are repeated.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,14 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def are_small(frames: Sequence[DataFrame], max_rows: int = BROADCAST_ROWS) -> list[bool]:
+    """The same check for several frames in one job."""
+    tagged = [f.limit(max_rows + 1).select(F.lit(i).alias("i")) for i, f in enumerate(frames)]
+    counts = reduce(DataFrame.unionAll, tagged).groupBy("i").count().collect()
+    rows = {r["i"]: r["count"] for r in counts}
+    return [rows.get(i, 0) <= max_rows for i in range(len(frames))]
+
+
 def null_marked(cols: Sequence[str | Column]) -> list[Column]:
     """Each column followed by its null flag, so that hashes tell NULL in one column from NULL in the next."""
     out = []
@@ -66,11 +75,17 @@ def attach(
     return salted.join(spread_facts, [*key, "_salt"], how).drop("_salt")
 
 
+def join_keyed(rows: DataFrame, facts: DataFrame, key: Sequence[str], spread: Sequence[str], how: str = "left",
+               hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+    """Join rows to a large lookup (one row per key): the rows are counted per key first, then hot keys are spread."""
+    sizes = rows.groupBy(*key).agg(F.count("*").alias("_n"))
+    return attach(rows, facts.join(sizes, list(key)), key, "_n", spread, how, hot_rows, salts).drop("_n")
+
+
 def join_small_or_keyed(
     rows: DataFrame, facts: DataFrame, key: Sequence[str], spread: Sequence[str], how: str = "left",
 ) -> DataFrame:
     """Left/inner join to a dimension: broadcast while it is small, otherwise the skew-safe keyed join."""
     if is_small(facts):
         return rows.join(F.broadcast(facts), list(key), how)
-    sizes = rows.groupBy(*key).count().withColumnRenamed("count", "_n")
-    return attach(rows, facts.join(sizes, list(key)), key, "_n", spread, how).drop("_n")
+    return join_keyed(rows, facts, key, spread, how)

@@ -6,14 +6,15 @@ never multiplies records, and joined by broadcast only while they are small.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as P
-from ..functions.skew import join_small_or_keyed
+from ..functions.skew import are_small, join_keyed, join_small_or_keyed
 
 # ---- fixed values: vocabularies and notes of the classification layers -----------------------------------------------
 NOTE_MISSING = "原値がSQL NULL"
@@ -48,141 +49,186 @@ CONTEXT_KEY = ("source_dataset", "university", "faculty_school", "department", "
 # ---- end of fixed values ---------------------------------------------------------------------------------------------
 
 
-def _lookup(df: DataFrame, raw: str, xw: DataFrame, spread: Sequence[str]) -> DataFrame:
-    """Left join to a one-row-per-raw-value crosswalk; ``_hit`` tells whether the value is listed."""
-    facts = xw.withColumnRenamed("raw_value", "_raw").withColumn("_hit", F.lit(True))
-    return join_small_or_keyed(df.withColumn("_raw", F.col(raw)), facts, ["_raw"], spread).drop("_raw")
+@dataclass(frozen=True)
+class Layer:
+    """One derived layer: a one-row-per-key lookup and the columns that follow from it.
+
+    ``on`` pairs record expressions with key columns of ``facts``; ``size_of`` is the crosswalk whose row count proves
+    that ``facts`` is small; ``helpers`` are intermediate columns the outputs use.
+    """
+
+    facts: DataFrame
+    on: tuple[tuple[Column, str], ...]
+    size_of: DataFrame
+    outputs: dict[str, Column]
+    helpers: dict[str, Column] = field(default_factory=dict)
+
+
+def apply_layers(df: DataFrame, layers: Sequence[Layer], spread: Sequence[str] = ("record_id",)) -> DataFrame:
+    """Join every lookup and derive all outputs in one projection.
+
+    Whether the lookups are small enough to broadcast is settled by one counting job for all of them; a larger one is
+    joined by key with hot values spread.
+    """
+    keep = df.columns
+    for layer, small in zip(layers, are_small([x.size_of for x in layers])):
+        if small:
+            cond = reduce(lambda a, b: a & b, [expr == F.col(name) for expr, name in layer.on])
+            df = df.join(F.broadcast(layer.facts), cond, "left")
+        else:
+            keys = {f"_key{i}": expr for i, (expr, _) in enumerate(layer.on)}
+            rows = df.withColumns(keys)
+            facts = layer.facts.withColumnsRenamed({name: f"_key{i}" for i, (_, name) in enumerate(layer.on)})
+            df = join_keyed(rows, facts, list(keys), spread).drop(*keys)
+    if any(x.helpers for x in layers):
+        df = df.select("*", *[c.alias(n) for x in layers for n, c in x.helpers.items()])
+    return df.select(*keep, *[c.alias(n) for x in layers for n, c in x.outputs.items()])
+
+
+def label_layer(raw: str, xw: DataFrame, on_null: str = "unknown", on_unmapped: str = "unmapped",
+                status: str = "requirement_status", names: Sequence[str] = ()) -> Layer:
+    """Single-label classification: status, how it was found, its search disposition and the note.
+
+    ``names`` renames these four outputs.
+    """
+    facts = xw.select(F.col("raw_value").alias("_lraw"), F.col(status).alias("_ls"), F.col("review_note").alias("_lnote"))
+    missing, found, s = F.col(raw).isNull(), F.col("_lraw").isNotNull(), F.col("_ls")
+    outputs = (
+        F.when(missing, on_null).when(found, s).otherwise(on_unmapped),
+        F.when(missing, "missing").when(found, "exact_crosswalk").otherwise("unmapped"),
+        F.when(missing, "not_searchable").when(~found, "review_required").when(s.isin(list(SAFE_LABELS)), "safe_exact")
+        .when(s == "review_required", "review_required").otherwise("not_searchable"),
+        F.when(missing, NOTE_MISSING).when(~found, NOTE_UNMAPPED).otherwise(P.null_if_blank("_lnote")),
+    )
+    names = names or (status, "parse_status", "search_disposition", "review_note")
+    return Layer(facts, ((F.col(raw), "_lraw"),), xw, dict(zip(names, outputs)))
 
 
 def classify(df: DataFrame, raw: str, xw: DataFrame, on_null: str = "unknown", on_unmapped: str = "unmapped",
              status: str = "requirement_status", spread: Sequence[str] = ("record_id",)) -> DataFrame:
-    """Single-label classification: adds the status, how it was found, its search disposition and the note."""
-    x = xw.select("raw_value", F.col(status).alias("_s"), F.col("review_note").alias("_note"))
-    j, missing = _lookup(df, raw, x, spread), F.col(raw).isNull()
-    found = F.col("_hit").isNotNull()
-    return (j.withColumn(status, F.when(missing, on_null).when(found, F.col("_s")).otherwise(on_unmapped))
-            .withColumn("parse_status", F.when(missing, "missing").when(found, "exact_crosswalk").otherwise("unmapped"))
-            .withColumn("search_disposition",
-                        F.when(missing, "not_searchable").when(~found, "review_required")
-                        .when(F.col("_s").isin(list(SAFE_LABELS)), "safe_exact")
-                        .when(F.col("_s") == "review_required", "review_required").otherwise("not_searchable"))
-            .withColumn("review_note", F.when(missing, NOTE_MISSING).when(~found, NOTE_UNMAPPED)
-                        .otherwise(P.null_if_blank("_note")))
-            .drop("_s", "_note", "_hit"))
+    return apply_layers(df, [label_layer(raw, xw, on_null, on_unmapped, status)], spread)
 
 
-def classify_threshold(df: DataFrame, raw: str, xw: DataFrame, spread: Sequence[str] = ("record_id",)) -> DataFrame:
+def threshold_layer(raw: str, xw: DataFrame) -> Layer:
     """Threshold classification: status, integer floor, inclusive flag, additional-condition flag."""
-    names = ["grade_requirement_status", "overall_gpa_min_tenths", "overall_gpa_min_inclusive", "overall_gpa_status",
-             "additional_grade_conditions"]
-    x = xw.select("raw_value", *[F.col(c).alias(f"_x_{c}") for c in names])
-    j, missing, found = _lookup(df, raw, x, spread), F.col(raw).isNull(), F.col("_hit").isNotNull()
-    for c in names:
-        value = F.when(found & ~missing, F.col(f"_x_{c}"))
-        if c.endswith("_status"):
-            value = F.when(missing, "unknown").when(found, F.col(f"_x_{c}")).otherwise("unmapped")
-        j = j.withColumn(c, value)
-    return (j.withColumn("grade_parse_status",
-                         F.when(missing, "missing").when(found, "exact_crosswalk").otherwise("unmapped"))
-            .drop("_hit", *[f"_x_{c}" for c in names]))
+    names = ("grade_requirement_status", "overall_gpa_min_tenths", "overall_gpa_min_inclusive", "overall_gpa_status",
+             "additional_grade_conditions")
+    facts = xw.select(F.col("raw_value").alias("_traw"), *[F.col(c).alias(f"_t_{c}") for c in names])
+    missing, found = F.col(raw).isNull(), F.col("_traw").isNotNull()
+    outputs = {c: F.when(missing, "unknown").when(found, F.col(f"_t_{c}")).otherwise("unmapped") if c.endswith("_status")
+               else F.col(f"_t_{c}") for c in names}
+    outputs["grade_parse_status"] = F.when(missing, "missing").when(found, "exact_crosswalk").otherwise("unmapped")
+    return Layer(facts, ((F.col(raw), "_traw"),), xw, outputs)
 
 
-def classify_rule(df: DataFrame, raw: str, rules: DataFrame, admission_year: str = "admission_year",
-                  information_year: str = "information_year", fallback: str = "fallback_previous_year",
-                  spread: Sequence[str] = ("record_id",)) -> DataFrame:
-    """Numeric rule with time validity. Order matters: missing, last year's, unlisted, safe, conditional, other.
+def classify_threshold(df: DataFrame, raw: str, xw: DataFrame, spread: Sequence[str] = ("record_id",)) -> DataFrame:
+    return apply_layers(df, [threshold_layer(raw, xw)], spread)
 
-    A safe rule counts only when both years are known and agree.
-    """
-    x = rules.where("raw_value is not null").select(
-        "raw_value", F.col("distinct_tier").alias("_tier"), F.col("primary_class").alias("_class"),
-        F.split(P.text("feature_flags"), ";").alias("_flags"), P.to_tenths("safe_gpa_min").alias("_min"))
-    j = _lookup(df, raw, x, spread)
-    raw_null, found = F.col(raw).isNull(), F.col("_hit").isNotNull()
-    flag = lambda name: F.coalesce(F.array_contains("_flags", name), F.lit(False))
-    a, i = F.col(admission_year), F.col(information_year)
-    historical = (F.coalesce(F.col(fallback), F.lit(False)) | flag("historical") | F.coalesce(a != i, F.lit(False)))
-    is_class = lambda *names: F.coalesce(F.col("_class").isin(list(names)), F.lit(False))
-    tier_is = lambda t: F.coalesce(F.col("_tier") == t, F.lit(False))
-
-    case = (F.when(raw_null, "missing").when(historical, "historical").when(~found, "unlisted")
-            .when(tier_is("safe_numeric"), F.when(F.coalesce(a == i, F.lit(False)), "safe").otherwise("undated"))
-            .when(tier_is("conditional_numeric"), "conditional").otherwise("other"))
-    scope = (F.when(~found, "unknown").when(is_class("subject_specific_condition"), "subject")
-             .when(is_class("overall_and_subject_compound") | flag("subject"), "mixed")
-             .when(is_class(*SCOPELESS_CLASSES), "none").when(tier_is("conditional_numeric"), "overall")
+
+def _by_value(c: Column, values: Mapping[str, str | Column], rest: Column | str | None) -> Column:
+    as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
+    return reduce(lambda acc, kv: F.when(c == kv[0], as_col(kv[1])).otherwise(acc), values.items(), as_col(rest).cast("string"))
+
+
+def _rule_facts(rules: DataFrame) -> DataFrame:
+    """The rule table with everything that depends on the rule alone worked out, so a record only picks."""
+    tier, cls, flags = F.col("distinct_tier"), F.col("primary_class"), F.split(P.text("feature_flags"), ";")
+    flag = lambda name: F.array_contains(flags, name)
+    scope = (F.when(cls == "subject_specific_condition", "subject")
+             .when((cls == "overall_and_subject_compound") | flag("subject"), "mixed")
+             .when(cls.isin(list(SCOPELESS_CLASSES)), "none").when(tier == "conditional_numeric", "overall")
              .otherwise("unknown"))
+    by_class = lambda n: _by_value(cls, {k: v[n] for k, v in NON_NUMERIC.items()}, ("other", "unparsed", "review_required")[n])
+    return rules.where("raw_value is not null").select(
+        F.col("raw_value").alias("_rraw"), tier.alias("_tier"), P.to_tenths("safe_gpa_min").alias("_min"), scope.alias("_scope"),
+        by_class(0).alias("_type"), by_class(1).alias("_parse"), by_class(2).alias("_disposition"),
+        _by_value(cls, CONDITIONAL_TYPES, None).alias("_conditional"), flag("historical").alias("_historical"),
+        *[flag(f).alias(f"_has_{f}") for f in RULE_FLAGS])
 
-    def by_class(pick: int) -> Column:
-        out = F.lit(("other", "unparsed", "review_required")[pick])
-        for name, values in NON_NUMERIC.items():
-            out = F.when(is_class(name), values[pick]).otherwise(out)
-        return out
-
-    conditional = F.lit(None).cast("string")
-    for name, kind in CONDITIONAL_TYPES.items():
-        conditional = F.when(is_class(name), kind).otherwise(conditional)
-
-    def pick(**by_case: str | Column) -> Column:
-        chain = None
-        for name, value in by_case.items():
-            if name == "rest":
-                continue
-            value = F.lit(value) if isinstance(value, str) else value
-            chain = F.when(F.col("_case") == name, value) if chain is None else chain.when(F.col("_case") == name, value)
-        rest = by_case.get("rest")
-        return chain if rest is None else chain.otherwise(F.lit(rest) if isinstance(rest, str) else rest)
 
+RULE_FLAGS = ("subject", "and", "or", "branch")
+
+
+def rule_layer(raw: str, rules: DataFrame, admission_year: str = "admission_year", information_year: str = "information_year",
+               fallback: str = "fallback_previous_year", names: Mapping[str, str] | None = None) -> Layer:
+    """Numeric rule with time validity. Order matters: missing, last year's, unlisted, safe, conditional, other.
+
+    A safe rule counts only when both years are known and agree. ``names`` renames outputs.
+    """
+    no = F.lit(False)
+    raw_null, found, tier = F.col(raw).isNull(), F.col("_rraw").isNotNull(), F.col("_tier")
+    a, i = F.col(admission_year), F.col(information_year)
+    historical = F.coalesce(F.col(fallback), no) | F.coalesce("_historical", no) | F.coalesce(a != i, no)
+    case = (F.when(raw_null, F.when(historical, "missing_old").otherwise("missing")).when(historical, "historical").when(~found, "unlisted")
+            .when(tier == "safe_numeric", F.when(F.coalesce(a == i, no), "safe").otherwise("undated"))
+            .when(tier == "conditional_numeric", "conditional").otherwise("other"))
     safe = F.col("_case") == "safe"
-    out = {
-        "numeric_safety_tier": pick(safe="safe_numeric", conditional="conditional_numeric", rest="do_not_numeric"),
+    pick = lambda rest, **values: _by_value(F.col("_case"), values, rest)
+    missing = lambda v: {"missing": v, "missing_old": v}
+    outputs = {
+        "numeric_safety_tier": pick("do_not_numeric", safe="safe_numeric", conditional="conditional_numeric"),
         "gpa_min_tenths": F.when(safe, F.col("_min")),
         "gpa_min_inclusive": F.when(safe, F.lit(True)),
         "gpa_max_tenths": F.lit(None).cast("int"),
         "gpa_max_inclusive": F.lit(None).cast("boolean"),
-        "gpa_scale": pick(safe="japanese_5_point", conditional="japanese_5_point", rest="unknown"),
-        "metric_scope": pick(missing="none", unlisted="unknown", undated="unknown", safe="overall", rest=scope),
-        "gpa_condition_type": pick(missing="not_applicable", historical="historical_reference", unlisted="other",
-                                   undated="other", safe="simple_overall_minimum", conditional=conditional,
-                                   rest=by_class(0)),
-        "parse_status": pick(missing="not_applicable", historical="historical_reference", unlisted="unparsed",
-                             undated="unparsed", safe="parsed_safe", conditional="conditional_review", rest=by_class(1)),
-        "search_disposition": pick(missing="not_searchable", historical="not_searchable", unlisted="review_required",
-                                   undated="review_required", safe="safe_numeric", conditional="review_required",
-                                   rest=by_class(2)),
-        "source_value_status": F.when((F.col("_case") == "historical") | (raw_null & historical),
-                                      "previous_year_reference").otherwise("current"),
-        **{f"has_{f}_condition": flag(f) for f in ("subject", "and", "or", "branch")},
+        "gpa_scale": pick("unknown", safe="japanese_5_point", conditional="japanese_5_point"),
+        "metric_scope": pick(F.coalesce("_scope", F.lit("unknown")), **missing("none"), unlisted="unknown", undated="unknown", safe="overall"),
+        "gpa_condition_type": pick(F.col("_type"), **missing("not_applicable"), historical="historical_reference", unlisted="other",
+                                   undated="other", safe="simple_overall_minimum", conditional=F.col("_conditional")),
+        "parse_status": pick(F.col("_parse"), **missing("not_applicable"), historical="historical_reference", unlisted="unparsed",
+                             undated="unparsed", safe="parsed_safe", conditional="conditional_review"),
+        "search_disposition": pick(F.col("_disposition"), **missing("not_searchable"), historical="not_searchable",
+                                   unlisted="review_required", undated="review_required", safe="safe_numeric",
+                                   conditional="review_required"),
+        "source_value_status": pick("current", historical="previous_year_reference", missing_old="previous_year_reference"),
+        **{f"has_{f}_condition": F.coalesce(f"_has_{f}", no) for f in RULE_FLAGS},
     }
-    j = j.withColumn("_case", case)
-    return j.select(*df.columns, *[c.alias(n) for n, c in out.items()])
+    names = names or {}
+    return Layer(_rule_facts(rules), ((F.col(raw), "_rraw"),), rules, {names.get(n, n): c for n, c in outputs.items()}, {"_case": case})
+
+
+def classify_rule(df: DataFrame, raw: str, rules: DataFrame, admission_year: str = "admission_year",
+                  information_year: str = "information_year", fallback: str = "fallback_previous_year",
+                  spread: Sequence[str] = ("record_id",)) -> DataFrame:
+    return apply_layers(df, [rule_layer(raw, rules, admission_year, information_year, fallback)], spread)
 
 
 # ---- memberships -----------------------------------------------------------------------------------------------------
 
-def fold_crosswalk(xw: DataFrame, code: str = "group_code", order: str = "group_order") -> DataFrame:
+def fold_crosswalk(xw: DataFrame, code: str = "group_code", order: str = "group_order", prefix: str = "") -> DataFrame:
     """Long crosswalk to one row per raw value; the set per value is bounded by the taxonomy."""
     member = F.when(~P.is_blank(code), F.struct(F.col(order).cast("int").alias("order"), F.col(code).alias("code")))
-    return xw.groupBy("raw_value").agg(
-        F.min("mapping_status").alias("mapping_status"), F.min("review_note").alias("review_note"),
-        F.array_sort(F.collect_set(member)).alias("members"))
+    return xw.groupBy(F.col("raw_value").alias(prefix + "raw_value")).agg(
+        F.min("mapping_status").alias(prefix + "mapping_status"), F.min("review_note").alias(prefix + "review_note"),
+        F.sort_array(F.collect_set(member)).alias(prefix + "members"))
+
+
+EMPTY_MEMBERS = "array<struct<code:string,order:int,basis:string>>"
+
+
+def multi_layer(raw: str, xw: DataFrame, on_null: str = "not_applicable", code: str = "group_code", order: str = "group_order",
+                names: Sequence[str] = ("mapping_status", "mapping_note", "memberships"), codes_only: bool = False) -> Layer:
+    """Multi-label classification: status, note and an ordered array of (code, order, basis), or of codes."""
+    p = f"_m_{raw}_"
+    missing, found = F.col(raw).isNull(), F.col(p + "raw_value").isNotNull()
+    if codes_only:
+        shape, empty = lambda m: m["code"], "array<string>"
+    else:
+        shape = lambda m: F.struct(m["code"].alias("code"), m["order"].alias("order"), F.lit("raw_exact").alias("basis"))
+        empty = EMPTY_MEMBERS
+    facts = fold_crosswalk(xw, code, order, p).withColumn(p + "members", F.transform(p + "members", shape))
+    outputs = (
+        F.when(missing, on_null).when(found, F.col(p + "mapping_status")).otherwise("unmapped"),
+        F.when(missing, NOTE_MISSING).when(found, P.null_if_blank(p + "review_note")).otherwise(NOTE_UNMAPPED),
+        F.coalesce(p + "members", F.array().cast(empty)),
+    )
+    return Layer(facts, ((F.col(raw), p + "raw_value"),), xw, dict(zip(names, outputs)))
 
 
 def classify_multi(df: DataFrame, raw: str, xw: DataFrame, on_null: str = "not_applicable", code: str = "group_code",
                    order: str = "group_order", spread: Sequence[str] = ("record_id",)) -> DataFrame:
-    """Multi-label classification: ``mapping_status`` and an ordered ``memberships`` array of (code, order, basis)."""
-    x = fold_crosswalk(xw, code, order).withColumnsRenamed(
-        {"mapping_status": "_s", "review_note": "_note", "members": "_m"})
-    j, missing, found = _lookup(df, raw, x, spread), F.col(raw).isNull(), F.col("_hit").isNotNull()
-    members = F.transform("_m", lambda m: F.struct(m["code"].alias("code"), m["order"].alias("order"),
-                                                   F.lit("raw_exact").alias("basis")))
-    empty = F.array().cast("array<struct<code:string,order:int,basis:string>>")
-    return (j.withColumn("mapping_status",
-                         F.when(missing, on_null).when(found, F.col("_s")).otherwise("unmapped"))
-            .withColumn("mapping_note", F.when(missing, NOTE_MISSING).when(found, P.null_if_blank("_note"))
-                        .otherwise(NOTE_UNMAPPED))
-            .withColumn("memberships", F.when(found & ~missing, members).otherwise(empty))
-            .drop("_s", "_note", "_m", "_hit"))
+    """Adds ``mapping_status``, ``mapping_note`` and ``memberships``."""
+    return apply_layers(df, [multi_layer(raw, xw, on_null, code, order)], spread)
 
 
 def membership_rows(df: DataFrame, key: Sequence[str], array: str = "memberships") -> DataFrame:
@@ -190,79 +236,119 @@ def membership_rows(df: DataFrame, key: Sequence[str], array: str = "memberships
     return df.select(*key, F.explode(array).alias("m")).select(*key, "m.*")
 
 
-def fold_pairs(xw: DataFrame, keys: Sequence[str], broad: DataFrame, sub: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+PAIRS = "array<struct<broad_rank:int,group_code:string,sub_rank:int,subcategory_code:string,parent:string>>"
+
+
+def fold_pairs(xw: DataFrame, keys: Mapping[str, Column], broad: DataFrame, sub: DataFrame, prefix: str, extra: Sequence[str] = ()) -> DataFrame:
     """Two-level crosswalk to one row per key, its (group, subcategory) pairs carrying their taxonomy ranks."""
-    b = broad.select(F.col("group_code"), F.col("rank").alias("broad_rank"))
-    s = sub.select(F.col("subcategory_code"), F.col("rank").alias("sub_rank"), F.col("parent_group_code").alias("parent"))
-    pairs = (xw.withColumn("group_code", P.null_if_blank("group_code"))
-             .withColumn("subcategory_code", P.null_if_blank("subcategory_code"))
-             .join(b, "group_code", "left").join(s, "subcategory_code", "left"))
-    pair = F.when(F.col("group_code").isNotNull(),
-                  F.struct("broad_rank", "group_code", "sub_rank", "subcategory_code", "parent"))
-    return pairs.groupBy(*keys).agg(
-        F.min("mapping_status").alias("mapping_status"), *[F.min(e).alias(e) for e in extra],
-        F.min("review_note").alias("review_note"), F.collect_set(pair).alias("pairs"))
+    b = broad.select(F.col("group_code").alias("_bg"), F.col("rank").alias("broad_rank"))
+    s = sub.select(F.col("subcategory_code").alias("_sc"), F.col("rank").alias("sub_rank"), F.col("parent_group_code").alias("parent"))
+    group, code = P.null_if_blank("group_code"), P.null_if_blank("subcategory_code")
+    pair = F.when(group.isNotNull(), F.struct("broad_rank", group.alias("group_code"), "sub_rank", code.alias("subcategory_code"), "parent"))
+    return (xw.join(b, group == F.col("_bg"), "left").join(s, code == F.col("_sc"), "left")
+            .groupBy(*[c.alias(n) for n, c in keys.items()]).agg(
+                F.min("mapping_status").alias(prefix + "status"), *[F.min(e).alias(prefix + e) for e in extra],
+                F.min("review_note").alias(prefix + "note"), F.collect_set(pair).alias(prefix + "pairs")))
+
+
+def _resolved(facts: DataFrame, keys: Sequence[str], prefix: str, context: bool) -> DataFrame:
+    """Final statuses and memberships per crosswalk entry, from its raw pairs ``_xpairs`` and context pairs ``_cpairs``."""
+    nothing = F.array().cast(PAIRS)
+    mode = F.col("_cmerge_mode") if context else F.lit(None).cast("string")
+    facts = facts.withColumn("_cp", F.col("_cpairs") if context else nothing)
+    facts = facts.withColumn("_all", F.when(mode == "authoritative", F.col("_cp")).otherwise(F.array_union("_xpairs", "_cp")))
+
+    def codes(pairs: str, name: str) -> Column:
+        return F.transform(pairs, lambda p: p[name])
 
+    def members(rank: str, code: str, parent: bool) -> Column:
+        ranked = F.sort_array(F.array_distinct(F.transform(
+            F.filter("_all", lambda p: p[code].isNotNull()),
+            lambda p: F.struct(p[rank].alias("rank"), p[code].alias("code"),
+                               (p["parent"] if parent else p[code]).alias("parent")))))
+        in_raw = lambda m: F.array_contains(codes("_xpairs", code), m["code"])
+        in_ctx = lambda m: F.array_contains(codes("_cp", code), m["code"])
+        basis = lambda m: (F.when(in_raw(m) & in_ctx(m), "raw_and_context").when(in_raw(m), "raw_exact")
+                           .otherwise("context_exact"))
+        return F.transform(ranked, lambda m, n: F.struct(
+            m["code"].alias("code"), (n + 1).alias("order"), basis(m).alias("basis"), m["parent"].alias("parent")))
 
-def classify_context(df: DataFrame, raw_xw: DataFrame, ctx_xw: DataFrame, broad: DataFrame, sub: DataFrame,
-                     raw: str = "academic_field", context: Sequence[str] = CONTEXT_KEY,
-                     spread: Sequence[str] = ("record_id",)) -> DataFrame:
-    """Two-level classification with exact context override.
+    m = facts.select("*", members("broad_rank", "group_code", False).alias("_b"),
+                     members("sub_rank", "subcategory_code", True).alias("_s"))
+    nb, ns, none = F.size("_b"), F.size("_s"), F.lit("none")
+    review = F.col("_xstatus") == "review_required"
+    review = review | (F.col("_cstatus") == "review_required") if context else review
+    unresolved = F.when(F.coalesce(review, F.lit(False)), "review_required").otherwise("unmapped")
+    effect = F.when((nb > 0) & (F.size("_cp") > 0), F.coalesce(mode, none)).otherwise(none)
+    out = {
+        "broad": F.when(nb == 0, unresolved).when(nb == 1, "single").otherwise("multi"),
+        "sub": F.when(nb == 0, unresolved).when(ns == 0, "none").when(ns == 1, "single").otherwise("multi"),
+        "effect": effect, "note": F.col("_cnote") if context else F.col("_xnote"), "b": F.col("_b"), "s": F.col("_s"),
+        "bc": codes("_b", "code"), "sc": codes("_s", "code"), "effective": F.size("_cp") > 0,
+    }
+    return m.select(*keys, *[c.alias(prefix + n) for n, c in out.items()])
+
+
+MEMBERS = "array<struct<code:string,order:int,basis:string,parent:string>>"
+
+
+def context_layers(raw_xw: DataFrame, ctx_xw: DataFrame, broad: DataFrame, sub: DataFrame, raw: str = "academic_field",
+                   context: Sequence[str] = CONTEXT_KEY) -> list[Layer]:
+    """Two-level classification with exact context override, as the raw lookup and the context lookup.
 
     A context entry is used only for a listed raw value; ``authoritative`` replaces the raw memberships, ``additive``
-    joins them. Memberships come in taxonomy order and say whether raw text, context or both gave them.
+    joins them. Memberships come in taxonomy order and say whether raw text, context or both gave them. A context key
+    ends with the raw value, so both outcomes are settled per crosswalk entry and a record only picks one.
     """
     context = list(context)
-    r = fold_pairs(raw_xw, ["raw_value"], broad, sub).withColumnsRenamed(
-        {"mapping_status": "_rs", "review_note": "_rn", "pairs": "_rp"})
-    c = fold_pairs(ctx_xw.select(*[P.text(k).alias(f"_c{i}") for i, k in enumerate(context)], "mapping_status",
-                                 "merge_mode", "review_note", "group_code", "subcategory_code"),
-                   [f"_c{i}" for i in range(len(context))], broad, sub, ["merge_mode"]).withColumnsRenamed(
-        {"mapping_status": "_cs", "review_note": "_cn", "pairs": "_cp", "merge_mode": "_mode"}
-    ).withColumn("_ctx", F.lit(True))
-    j = _lookup(df, raw, r, spread)
+    keys = [f"_c{i}" for i in range(len(context))]
+    r = fold_pairs(raw_xw, {"_xraw": F.col("raw_value")}, broad, sub, "_x")
     # blank-filled keys make the context join a plain equi-join
-    j = j.select("*", *[P.text(k).alias(f"_c{i}") for i, k in enumerate(context)])
-    j = join_small_or_keyed(j, c, [f"_c{i}" for i in range(len(context))], spread)
+    c = fold_pairs(ctx_xw, {k: P.text(name) for k, name in zip(keys, context)}, broad, sub, "_c", ["merge_mode"])
+    by_raw = _resolved(r, ["_xraw"], "_r_", False)
+    by_context = _resolved(c.join(r, F.col(keys[-1]) == F.col("_xraw")), keys, "_k_", True)
+
+    raw_null, listed, hit = F.col(raw).isNull(), F.col("_xraw").isNotNull(), F.col("_c0").isNotNull()
+    either = lambda n: F.when(hit, F.col("_k_" + n)).otherwise(F.col("_r_" + n))
+    status = lambda n: F.when(raw_null, "not_applicable").when(~listed, "unmapped").otherwise(either(n))
+    array = lambda n, kind: F.coalesce(f"_k_{n}", f"_r_{n}", F.array().cast(kind))
+    outputs = {
+        "broad_mapping_status": status("broad"), "subcategory_mapping_status": status("sub"),
+        "context_mapping_consulted": hit, "context_mapping_effect": F.coalesce(either("effect"), F.lit("none")),
+        "context_note": F.when(raw_null, None).when(~listed, NOTE_NO_RAW).otherwise(either("note")),
+        "broad_memberships": array("b", MEMBERS), "subcategory_memberships": array("s", MEMBERS),
+        "broad_codes": array("bc", "array<string>"), "subcategory_codes": array("sc", "array<string>"),
+        "context_effective": F.coalesce(either("effective"), F.lit(False)),
+    }
+    return [Layer(by_raw, ((F.col(raw), "_xraw"),), raw_xw, {}),
+            Layer(by_context, tuple((P.text(name), k) for k, name in zip(keys, context)), ctx_xw, outputs)]
+
 
-    listed = F.col("_hit").isNotNull() & F.col(raw).isNotNull()
-    hit = listed & F.col("_ctx").isNotNull()
-    nothing = F.array().cast(
-        "array<struct<broad_rank:int,group_code:string,sub_rank:int,subcategory_code:string,parent:string>>")
-    j = (j.withColumn("_rp", F.when(listed, F.col("_rp")).otherwise(nothing))
-         .withColumn("_cp", F.when(hit, F.col("_cp")).otherwise(nothing))
-         .withColumn("_all", F.when(hit & (F.col("_mode") == "authoritative"), F.col("_cp"))
-                     .otherwise(F.array_union("_rp", "_cp"))))
+def classify_context(df: DataFrame, raw_xw: DataFrame, ctx_xw: DataFrame, broad: DataFrame, sub: DataFrame,
+                     raw: str = "academic_field", context: Sequence[str] = CONTEXT_KEY,
+                     spread: Sequence[str] = ("record_id",)) -> DataFrame:
+    return apply_layers(df, context_layers(raw_xw, ctx_xw, broad, sub, raw, context), spread)
 
-    def codes(pairs: str, field: str) -> Column:
-        return F.transform(pairs, lambda p: p[field])
 
-    def members(rank: str, code: str, parent: bool) -> Column:
-        ranked = F.array_sort(F.array_distinct(F.transform(
-            F.filter("_all", lambda p: p[code].isNotNull()),
-            lambda p: F.struct(p[rank].alias("rank"), p[code].alias("code"),
-                               (p["parent"] if parent else p[code]).alias("parent")))))
-        basis = lambda m: (F.when(F.array_contains(codes("_rp", code), m["code"])
-                                  & F.array_contains(codes("_cp", code), m["code"]), "raw_and_context")
-                           .when(F.array_contains(codes("_rp", code), m["code"]), "raw_exact")
-                           .otherwise("context_exact"))
-        return F.transform(ranked, lambda m, n: F.struct(
-            m["code"].alias("code"), (n + 1).alias("order"), basis(m).alias("basis"), m["parent"].alias("parent")))
+def classify_records(df: DataFrame, rules: DataFrame, grade: DataFrame, english: DataFrame, field: DataFrame, place: DataFrame,
+                     raw_xw: DataFrame, ctx_xw: DataFrame, broad: DataFrame, sub: DataFrame) -> DataFrame:
+    """Records with every derived layer as plain columns and arrays: what search, facets and documents read.
 
-    j = (j.withColumn("broad_memberships", members("broad_rank", "group_code", False))
-         .withColumn("subcategory_memberships", members("sub_rank", "subcategory_code", True)))
-    nb, ns = F.size("broad_memberships"), F.size("subcategory_memberships")
-    review = (F.col("_rs") == "review_required") | (hit & (F.col("_cs") == "review_required"))
-    unresolved = (F.when(F.col(raw).isNull(), "not_applicable").when(~listed, "unmapped")
-                  .when(F.coalesce(review, F.lit(False)), "review_required").otherwise("unmapped"))
-    broad_status = F.when(nb == 0, unresolved).when(nb == 1, "single").otherwise("multi")
-    sub_status = F.when(nb == 0, unresolved).when(ns == 0, "none").when(ns == 1, "single").otherwise("multi")
-    effect = F.when((nb > 0) & hit & (F.size("_cp") > 0), F.coalesce("_mode", F.lit("none"))).otherwise("none")
-    note = F.when(F.col(raw).isNull(), None).when(~listed, NOTE_NO_RAW).when(hit, F.col("_cn")).otherwise(F.col("_rn"))
-    return j.select(*df.columns, broad_status.alias("broad_mapping_status"),
-                    sub_status.alias("subcategory_mapping_status"), hit.alias("context_mapping_consulted"),
-                    effect.alias("context_mapping_effect"), note.alias("context_note"),
-                    "broad_memberships", "subcategory_memberships", (F.size("_cp") > 0).alias("context_effective"))
+    Seven lookups, one size check, one projection.
+    """
+    return apply_layers(df, [
+        rule_layer("gpa_requirement", rules, names={
+            "parse_status": "gpa_parse_status", "search_disposition": "gpa_search_disposition",
+            "source_value_status": "gpa_source_value_status"}),
+        threshold_layer("gpa_requirement", grade),
+        label_layer("english_requirement", english, names=(
+            "english_requirement_status", "english_parse_status", "english_search_disposition", "english_review_note")),
+        multi_layer("academic_field", field, codes_only=True, names=(
+            "academic_field_mapping_status", "academic_field_note", "academic_field_groups")),
+        multi_layer("prefecture", place, codes_only=True, names=(
+            "prefecture_mapping_status", "prefecture_note", "prefecture_memberships")),
+        *context_layers(raw_xw, ctx_xw, broad, sub),
+    ])
 
 
 # ---- checks on crosswalks, taxonomies and rule tables ----------------------------------------------------------------
@@ -288,7 +374,7 @@ def check_crosswalk(xw: DataFrame, taxonomy: DataFrame, code: str = "group_code"
         F.min(F.when(has, n)).alias("lo"), F.max(F.when(has, n)).alias("hi"),
         F.count_distinct(F.when(has, n)).alias("orders"),
         F.count_if(~has & ~P.is_blank(F.col(order).cast("string"))).alias("stray_orders"),
-        F.array_sort(F.collect_set(F.when(has, F.struct(n.alias("o"), F.col("_rank").alias("r"))))).alias("seq"))
+        F.sort_array(F.collect_set(F.when(has, F.struct(n.alias("o"), F.col("_rank").alias("r"))))).alias("seq"))
     ranks = F.transform("seq", lambda s: s["r"])
     mapped_row = F.col("status").isin("single", "multi")
     return g.select("raw_value", _failures({
@@ -304,7 +390,7 @@ def check_crosswalk(xw: DataFrame, taxonomy: DataFrame, code: str = "group_code"
         "multi_needs_two_codes": (F.col("status") == "multi") & (F.col("codes") < 2),
         "order_not_contiguous": mapped_row & (F.col("codes") > 0) & ~(
             (F.col("lo") == 1) & (F.col("hi") == F.col("codes")) & (F.col("orders") == F.col("codes"))),
-        "not_in_taxonomy_order": mapped_row & (F.col("unknown_codes") == 0) & (ranks != F.array_sort(ranks)),
+        "not_in_taxonomy_order": mapped_row & (F.col("unknown_codes") == 0) & (ranks != F.sort_array(ranks)),
     }).alias("issue"))
 
 
@@ -373,7 +459,7 @@ def audit_layer(records: DataFrame, layer: DataFrame, members: DataFrame, taxono
              .groupBy(*key).agg(
                  F.count("*").alias("n"), F.min(order).alias("lo"), F.max(order).alias("hi"),
                  F.count_distinct(order).alias("orders"), F.count_if(F.col("_rank").isNull()).alias("unknown"),
-                 F.array_sort(F.collect_set(F.struct(F.col(order).alias("o"), F.col("_rank").alias("r")))).alias("seq")))
+                 F.sort_array(F.collect_set(F.struct(F.col(order).alias("o"), F.col("_rank").alias("r")))).alias("seq")))
     ranks = F.transform("seq", lambda s: s["r"])
     parents = layer.groupBy(*key).agg(
         F.count("*").alias("copies"), F.min("raw_value").alias("raw_value"),
@@ -394,7 +480,7 @@ def audit_layer(records: DataFrame, layer: DataFrame, members: DataFrame, taxono
         count((F.col("mapping_status") == "multi") & (n < 2)).alias("multi_cardinality"),
         count(F.col("copies").isNotNull() & ~mapped_row & (n > 0)).alias("members_on_unmapped"),
         count((n > 0) & ~((F.col("lo") == 1) & (F.col("hi") == n) & (F.col("orders") == n))).alias("order_gaps"),
-        count((F.col("unknown") == 0) & (ranks != F.array_sort(ranks))).alias("order_not_by_rank"),
+        count((F.col("unknown") == 0) & (ranks != F.sort_array(ranks))).alias("order_not_by_rank"),
         F.coalesce(F.sum("unknown"), F.lit(0)).alias("unknown_codes"))
 
 
@@ -460,7 +546,7 @@ def project_compat(members: DataFrame, compat: DataFrame, key: Sequence[str], co
     j = join_small_or_keyed(members, back, [code], list(key))
     unique = F.coalesce(F.col("n") == 1, F.lit(False))
     per = j.groupBy(*key).agg(F.count_if(~unique).alias("_open"),
-                              F.array_sort(F.collect_set(F.when(unique, F.col("old_code")))).alias("codes"))
+                              F.sort_array(F.collect_set(F.when(unique, F.col("old_code")))).alias("codes"))
     clean = (F.col("_open") == 0) & (F.size("codes") > 0)
     return per.select(*key, F.when(~clean, "review_required").when(F.size("codes") == 1, "single").otherwise("multi")
                       .alias("mapping_status"), F.when(clean, F.col("codes")).otherwise(F.array().cast("array<string>")).alias("codes"))
@@ -475,7 +561,7 @@ def excluded_rows(df: DataFrame, layers: Sequence[tuple[str, Column, Column]], i
                                        F.count_if("out").alias("excluded"))
     w = Window.partitionBy("label").orderBy("_id")
     ids = (tagged.where("out").withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
-           .groupBy("label").agg(F.array_sort(F.collect_list("_id")).alias("first_ids")))
+           .groupBy("label").agg(F.sort_array(F.collect_list("_id")).alias("first_ids")))
     return sums.join(ids, "label", "left")
 
 
@@ -497,23 +583,3 @@ def contiguity(children: DataFrame, key: Sequence[str], order_col: str) -> DataF
                                        F.count_distinct(order_col).alias("distinct_orders"))
             .where("not (lo = 1 and hi = n and distinct_orders = n)"))
 
-
-# ---- all layers at once -------------------------------------------------------------------------------------------------
-
-def classify_records(df: DataFrame, rules: DataFrame, grade: DataFrame, english: DataFrame, field: DataFrame, place: DataFrame,
-                     raw_xw: DataFrame, ctx_xw: DataFrame, broad: DataFrame, sub: DataFrame) -> DataFrame:
-    """Records with every derived layer as plain columns and arrays: what search, facets and documents read."""
-    codes = lambda c: F.transform(c, lambda m: m["code"])
-    out = classify_rule(df, "gpa_requirement", rules).withColumnsRenamed({
-        "parse_status": "gpa_parse_status", "search_disposition": "gpa_search_disposition",
-        "source_value_status": "gpa_source_value_status"})
-    out = classify_threshold(out, "gpa_requirement", grade)
-    out = classify(out, "english_requirement", english).withColumnsRenamed({
-        "requirement_status": "english_requirement_status", "parse_status": "english_parse_status",
-        "search_disposition": "english_search_disposition"}).drop("review_note")
-    out = classify_multi(out, "academic_field", field).withColumnRenamed("mapping_status", "academic_field_mapping_status")
-    out = out.withColumn("academic_field_groups", codes("memberships")).drop("memberships", "mapping_note")
-    out = classify_multi(out, "prefecture", place).withColumnRenamed("mapping_status", "prefecture_mapping_status")
-    out = out.withColumn("prefecture_memberships", codes("memberships")).drop("memberships", "mapping_note")
-    out = classify_context(out, raw_xw, ctx_xw, broad, sub)
-    return out.withColumn("broad_codes", codes("broad_memberships")).withColumn("subcategory_codes", codes("subcategory_memberships"))

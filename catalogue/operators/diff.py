@@ -53,7 +53,7 @@ def count_states(states: DataFrame, id_: str, n: int = 12) -> DataFrame:
 
     w = Window.partitionBy("state").orderBy(id_)
     ids = (states.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
-           .groupBy("state").agg(F.array_sort(F.collect_list(id_)).alias("examples")))
+           .groupBy("state").agg(F.sort_array(F.collect_list(id_)).alias("examples")))
     return states.groupBy("state").agg(F.count("*").alias("rows")).join(ids, "state")
 
 

@@ -97,7 +97,7 @@ def options_document(options: DataFrame, max_values: int = 50_000) -> DataFrame:
         "part", F.pmod(F.xxhash64("value", F.col("value").isNull()), F.col("parts")).cast("int"))
     entry = F.struct("sort_last", "display_order", "value", "rows")
     return placed.groupBy("facet", "part").agg(F.to_json(F.transform(
-        F.array_sort(F.collect_list(entry)), lambda e: F.struct(e["value"].alias("value"), e["rows"].alias("unfiltered_count"))),
+        F.sort_array(F.collect_list(entry)), lambda e: F.struct(e["value"].alias("value"), e["rows"].alias("unfiltered_count"))),
         JSON_OPTIONS).alias("options"))
 
 
@@ -108,9 +108,9 @@ def projection_gate(records: DataFrame, rows: DataFrame, details: DataFrame, chi
     Everything is compared per key after folding, so no side is multiplied.
     """
     key = list(key)
-    sig = stored.groupBy(*key).agg(F.array_sort(F.collect_set(code)).alias("_m"))
+    sig = stored.groupBy(*key).agg(F.sort_array(F.collect_set(code)).alias("_m"))
     a = records.select(*key, F.col(raw).alias("_raw"), F.lit(True).alias("_a"))
-    b = rows.select(*key, F.col(raw).alias("_raw_b"), F.array_sort(array_col).alias("_arr"), F.col(status).alias("_status"),
+    b = rows.select(*key, F.col(raw).alias("_raw_b"), F.sort_array(array_col).alias("_arr"), F.col(status).alias("_status"),
                     F.lit(True).alias("_b"))
     c = details.groupBy(*key).agg(
         F.sum(F.aggregate(child_array, F.lit(0).cast("bigint"), lambda acc, x: acc + x["copies"])).alias("_kids"))

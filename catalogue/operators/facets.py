@@ -51,9 +51,9 @@ def first_ids(df: DataFrame, value: str, id_: str, n: int, order: Sequence[str],
     w = Window.partitionBy(value).orderBy(*order)
     ids = (df.select(value, id_, *[c for c in order if c != id_]).withColumn("rn", F.row_number().over(w))
            .where(F.col("rn") <= n).groupBy(value)
-           .agg(F.array_sort(F.collect_list(F.struct("rn", F.col(id_).alias("id")))).alias("f")))
+           .agg(F.sort_array(F.collect_list(F.struct("rn", F.col(id_).alias("id")))).alias("f")))
     counts = (df.groupBy(value, dataset).agg(F.count("*").alias("n")).groupBy(value)
-              .agg(F.sum("n").alias("rows"), F.array_sort(F.collect_list(F.struct(F.col(dataset).alias("dataset"), "n"))).alias("by_dataset")))
+              .agg(F.sum("n").alias("rows"), F.sort_array(F.collect_list(F.struct(F.col(dataset).alias("dataset"), "n"))).alias("by_dataset")))
     return counts.join(ids.select(value, F.transform("f", lambda x: x["id"]).alias("first_ids")), value)
 
 

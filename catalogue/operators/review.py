@@ -170,7 +170,7 @@ def decision_memberships(decisions: DataFrame, broad: DataFrame, sub: DataFrame,
                                           F.col("rank").alias("_sr")), ["subcategory_code"], [key], "inner")
     pairs = g.join(s, [key, "group_code"], "left")
     # one decision lists at most every taxonomy code once, so the sorted array is bounded by the taxonomy
-    per = pairs.groupBy(key).agg(F.array_sort(F.collect_set(F.struct(
+    per = pairs.groupBy(key).agg(F.sort_array(F.collect_set(F.struct(
         F.col("_gr"), F.coalesce("_sr", F.lit(0)).alias("_sr"), "group_code", "subcategory_code"))).alias("m"))
     groups = F.size(F.array_distinct(F.transform("m", lambda x: x["group_code"])))
     subs = F.size(F.array_distinct(F.filter(F.transform("m", lambda x: x["subcategory_code"]), lambda x: x.isNotNull())))

@@ -351,12 +351,12 @@ def summarize_issues(issues: DataFrame, n: int = 5) -> DataFrame:
     counts = (issues.groupBy("code", "severity", "dataset").agg(F.count("*").alias("n"))
               .groupBy("code", "severity").agg(
                   F.sum("n").alias("count"),
-                  F.array_sort(F.collect_list(F.struct("dataset", "n"))).alias("by_dataset")))
+                  F.sort_array(F.collect_list(F.struct("dataset", "n"))).alias("by_dataset")))
     ids = (issues.where(~P.is_blank("record_id")).groupBy("code", "record_id")
            .agg(F.min(F.struct("dataset", "row_number")).alias("at")))
     w = Window.partitionBy("code").orderBy("at", "record_id")
     firsts = (ids.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
-              .groupBy("code").agg(F.array_sort(F.collect_list(F.struct("rn", "record_id"))).alias("f"))
+              .groupBy("code").agg(F.sort_array(F.collect_list(F.struct("rn", "record_id"))).alias("f"))
               .select("code", F.transform("f", lambda x: x["record_id"]).alias("representative_record_ids")))
     return counts.join(firsts, "code", "left")
 

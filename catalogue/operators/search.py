@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import contract as K
 from ..functions import columns as P
+from ..functions.skew import join_small_or_keyed
 from . import views as V
 from .facets import typed_literal
 
@@ -213,7 +214,6 @@ def threshold_search(layer: DataFrame, value: int, order: Sequence[str], limit:
 
 def check_requests(requests: DataFrame, broad: DataFrame, sub: DataFrame) -> DataFrame:
     """Saved requests (request_id, group_code, subcategory_codes array): unknown codes, subcode under another parent."""
-    from ..functions.skew import join_small_or_keyed
     b = broad.select("group_code", F.lit(True).alias("_known")).distinct()
     groups = join_small_or_keyed(requests.select("request_id", "group_code"), b, ["group_code"], ["request_id"])
     bad_group = groups.where("_known is null").select("request_id", F.lit("unknown_group").alias("issue"),
@@ -231,31 +231,43 @@ def run_suite(df: DataFrame, suite: Sequence[tuple[str, SearchRequest]], group:
               dataset: str = "source_dataset", status: str = "gpa_parse_status") -> DataFrame:
     """All saved queries over one scan, one row per query and dataset (dataset NULL = the whole).
 
-    Rows are first added up per (group, dataset) with one counter set per query, so distinct groups come from that
-    small frame and no row is repeated per query.
+    Each row is reduced to the bit set of queries it matches. Rows are counted per (group, dataset, rule, bit set)
+    before anything is listed per query, so neither the scan nor the shuffle grows with the number of queries.
     """
-    sums = []
-    for i, (_, req) in enumerate(suite):
-        p = F.coalesce(predicate(req), F.lit(False))
-        hit = safe_match(req.value_tenths, status=status) if req.value_tenths is not None else F.lit(False)
-        sums += [F.count_if(p).alias(f"t{i}"), F.count_if(p & hit).alias(f"s{i}"),
-                 F.count_if(p & (F.col(status) == "conditional_review")).alias(f"c{i}")]
-    per_group = df.groupBy(group, dataset).agg(*sums)
-    lines = per_group.select(group, dataset, F.explode(F.array(*[
-        F.struct(F.lit(label).alias("label"), F.lit(req.value_tenths is not None).alias("valued"),
-                 F.col(f"t{i}").alias("t"), F.col(f"s{i}").alias("s"), F.col(f"c{i}").alias("c"))
-        for i, (label, req) in enumerate(suite)])).alias("q")).select(group, dataset, "q.*")
-    per = (lines.groupBy("label", "valued", group, dataset).agg(F.sum("t").alias("t"), F.sum("s").alias("s"), F.sum("c").alias("c")))
-    out = lambda d, ds: d.select(
-        "label", ds.cast("string").alias("dataset"), "total", F.when(F.col("valued"), F.col("safe")).alias("safe_match_rows"),
-        "conditional_rows", "groups")
-    whole = (per.groupBy("label", "valued", group).agg(F.sum("t").alias("t"), F.sum("s").alias("s"), F.sum("c").alias("c"))
-             .groupBy("label", "valued").agg(F.sum("t").alias("total"), F.sum("s").alias("safe"), F.sum("c").alias("conditional_rows"),
-                                             F.count_if((F.col("t") > 0) & F.col(group).isNotNull()).alias("groups")))
-    each = per.groupBy("label", "valued", dataset).agg(
-        F.sum("t").alias("total"), F.sum("s").alias("safe"), F.sum("c").alias("conditional_rows"),
-        F.count_if((F.col("t") > 0) & F.col(group).isNotNull()).alias("groups"))
-    return out(whole, F.lit(None)).unionByName(out(each, F.col(dataset)))
+    out = []
+    for start in range(0, len(suite), 60):
+        part = suite[start:start + 60]
+        mask = reduce(lambda a, b: a + b, [
+            F.when(predicate(r), F.lit(1 << i)).otherwise(0).cast("bigint") for i, (_, r) in enumerate(part)])
+        bounds = [c for c in ("gpa_min_tenths", "gpa_min_inclusive", "gpa_max_tenths", "gpa_max_inclusive") if c in df.columns]
+        counted = (df.select(group, dataset, status, *bounds, mask.alias("_mask"))
+                   .groupBy(group, dataset, status, *bounds, "_mask").agg(F.count("*").alias("n")))
+        lines = F.array_compact(F.array(*[
+            F.when(F.getbit("_mask", F.lit(i)) == 1, F.struct(
+                F.lit(label).alias("label"), F.lit(r.value_tenths is not None).alias("valued"),
+                (safe_match(r.value_tenths, status=status) if r.value_tenths is not None else F.lit(False)).alias("safe")))
+            for i, (label, r) in enumerate(part)]))
+        # a query without any match still has its line
+        labels = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(r.value_tenths is not None).alias("valued"),
+                                    F.lit(False).alias("safe")) for label, r in part])
+        datasets = counted.select(dataset).distinct().select(
+            F.lit(None).cast("string").alias(group), dataset, F.lit(None).cast("string").alias(status),
+            F.lit(0).cast("bigint").alias("n"), F.explode(labels).alias("q"))
+        out.append(counted.select(group, dataset, status, "n", F.explode(lines).alias("q")).unionByName(datasets))
+    hits = reduce(DataFrame.unionByName, out).select(group, dataset, status, "n", "q.*")
+    per = hits.groupBy("label", "valued", dataset, group).agg(
+        F.sum("n").alias("t"), F.coalesce(F.sum(F.when(F.col("safe"), F.col("n"))), F.lit(0)).alias("s"),
+        F.coalesce(F.sum(F.when(F.col(status) == "conditional_review", F.col("n"))), F.lit(0)).alias("c"))
+
+    def total(frame: DataFrame, ds: Column, *by: str) -> DataFrame:
+        return frame.groupBy("label", "valued", *by).agg(
+            F.sum("t").alias("total"), F.sum("s").alias("_safe"), F.sum("c").alias("conditional_rows"),
+            F.count_if((F.col("t") > 0) & F.col(group).isNotNull()).alias("groups")).select(
+            "label", ds.cast("string").alias("dataset"), "total", F.when(F.col("valued"), F.col("_safe")).alias("safe_match_rows"),
+            "conditional_rows", "groups")
+
+    both = per.groupBy("label", "valued", group).agg(F.sum("t").alias("t"), F.sum("s").alias("s"), F.sum("c").alias("c"))
+    return total(both, F.lit(None)).unionByName(total(per, F.col(dataset), dataset))
 
 
 def compare_results(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -298,9 +310,8 @@ def contains_any(df: DataFrame, cols: Sequence[str], phrase: str) -> DataFrame:
 
 
 def trigrams_of(text: Column) -> Column:
-    """Distinct three-character pieces of a text; shorter texts have none."""
-    last = F.length(text) - 2
-    return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(3)))))
+    """Distinct three-character pieces of a text, found in one pass by an overlapping match; shorter texts have none."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(...))"), F.lit(1)))
 
 
 def build_trigrams(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -331,5 +342,5 @@ def like_record(df: DataFrame, record: Mapping[str, object], cols: Sequence[str]
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(typed_literal(record[c], df, c)) for c in cols])
     hits = df.where(same)
     top = hits.select(F.col(id_).alias("_id")).orderBy("_id").limit(n)
-    ids = top.agg(F.array_sort(F.collect_list("_id")).alias("first_ids")).withColumn("_one", F.lit(1))
+    ids = top.agg(F.sort_array(F.collect_list("_id")).alias("first_ids")).withColumn("_one", F.lit(1))
     return hits.agg(F.count("*").alias("rows")).withColumn("_one", F.lit(1)).join(ids, "_one").drop("_one")

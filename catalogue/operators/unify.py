@@ -201,12 +201,12 @@ def floor_checks(status: str = "overall_gpa_status") -> list[Rule]:
 
 def check_constraints(df: DataFrame, rules: Sequence[Rule], key: str) -> DataFrame:
     """Per violated constraint: offending rows and the smallest offending key. One scan, one combined aggregate."""
-    broken = F.array_compact(F.array(*[
-        F.when(r.when, F.struct(F.lit(r.code).alias("constraint"), F.lit(r.field).cast("string").alias("field")))
-        for r in rules]))
-    return (df.select(F.col(key).alias("_key"), F.explode(broken).alias("x"))
-            .groupBy("x.constraint", "x.field")
-            .agg(F.count("*").alias("rows"), F.min("_key").cast("string").alias("first_key")))
+    # the rows carry the numbers of the broken rules only; names come back after the aggregate
+    broken = F.array_compact(F.array(*[F.when(r.when, F.lit(i + 1)) for i, r in enumerate(rules)]))
+    names = F.array(*[F.struct(F.lit(r.code).alias("constraint"), F.lit(r.field).cast("string").alias("field")) for r in rules])
+    return (df.select(F.col(key).alias("_key"), F.explode(broken).alias("i")).groupBy("i")
+            .agg(F.count("*").alias("rows"), F.min("_key").cast("string").alias("first_key"))
+            .select(F.element_at(names, F.col("i")).alias("x"), "rows", "first_key").select("x.*", "rows", "first_key"))
 
 
 def gate_semantics(df: DataFrame, contract: K.TableContract) -> DataFrame:

@@ -149,7 +149,7 @@ def nest(parent: DataFrame, child: DataFrame, on: Sequence[tuple[str, str]], as_
     big = F.broadcast(big) if is_small(big, BROADCAST_ROWS) else big
     placed = (keyed.join(big, names, "left")
               .withColumn("part", F.coalesce(F.pmod(F.xxhash64(F.to_json("_c")), F.col("_parts")), F.lit(0)).cast("int")))
-    lists = placed.groupBy(*names, "part").agg(F.array_sort(F.collect_list("_c")).alias(as_))
+    lists = placed.groupBy(*names, "part").agg(F.sort_array(F.collect_list("_c")).alias(as_))
     empty = F.array().cast(lists.schema[as_].dataType)
     return (parent.join(lists, names, "left").withColumn("part", F.coalesce("part", F.lit(0)))
             .withColumn(as_, F.coalesce(as_, empty)).select(*parent.columns, "part", as_))

@@ -18,8 +18,15 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "pages", "benchmark", "labels", "conversations")
 
 
+_OPENED: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A table of the driver; its footer is read once per application."""
+    key = (spark.sparkContext.applicationId, f"{sf}/{name}.parquet")
+    if key not in _OPENED:
+        _OPENED[key] = spark.read.parquet(key[1])
+    return _OPENED[key]
 
 
 def frame(spark: SparkSession, sf: str, sql: str) -> DataFrame:

@@ -51,7 +51,7 @@ WANTED = ("NATION_3", "NATION_17")
 def arrays(spark, sf):
     """Orders with their nations and regions as arrays."""
     m = f(spark, sf, B.ORDER_NATIONS).groupBy("o_orderkey").agg(
-        F.array_sort(F.collect_set("n_name")).alias("nations"), F.array_sort(F.collect_set("r_name")).alias("regions"))
+        F.sort_array(F.collect_set("n_name")).alias("nations"), F.sort_array(F.collect_set("r_name")).alias("regions"))
     return B.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus").join(m, "o_orderkey", "left")
 
 

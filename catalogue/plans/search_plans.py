@@ -235,7 +235,7 @@ def sea14(spark, sf):
 
 b3_hits("sea15_flag_filter", SearchRequest(special_flags=("returnee_flag", "adult_selection_flag")))
 b3_hits("sea15_no_flag_filter", SearchRequest(special_flags=()))
-b3_hits("sea16_family_filter", SearchRequest(special_flags=(), families=("recommendation",)))
+b3_hits("sea16_family_filter", SearchRequest(special_flags=(), families=("comprehensive",)))
 
 
 @query("sea17_collation_page", "SELECT c_name, c_custkey FROM customer ORDER BY c_name, c_custkey LIMIT 30 OFFSET 20")
