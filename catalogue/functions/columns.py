@@ -14,8 +14,8 @@ INTEGER = r"\A-?[0-9]+\z"
 ISO_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 ISO_TOKEN = r"(?<![0-9])([0-9]{4}-[0-9]{2}-[0-9]{2})(?![0-9])"
 TENTHS = r"\A([0-4](\.[0-9])?|5(\.0)?)\z"
-LEADING_SPACE = r"\A[\s\p{Z}\x1C-\x1F\x85]"
-TRAILING_SPACE = r"[\s\p{Z}\x1C-\x1F\x85]\z"
+SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+          "\u2028\u2029\u202f\u205f\u3000")
 FORMULA_CELL = r"\A[\s\p{Z}\x{FEFF}]*[=+@-]|\A[\t\r\n]"
 # ---- end of fixed values --------------------------------------------------------------------------------------------
 
@@ -130,11 +130,16 @@ def to_tenths(c: C) -> Column:
 
 
 def leading_space(c: C) -> Column:
-    return col(c).rlike(LEADING_SPACE)
+    """Does the text start with a space of any kind; trimming looks at no more than the ends of the text."""
+    return F.ltrim(col(c), F.lit(SPACES)) != col(c)
 
 
 def trailing_space(c: C) -> Column:
-    return col(c).rlike(TRAILING_SPACE)
+    return F.rtrim(col(c), F.lit(SPACES)) != col(c)
+
+
+def padded(c: C) -> Column:
+    return F.btrim(col(c), F.lit(SPACES)) != col(c)
 
 
 def family(c: C = "selection_category") -> Column:

@@ -78,7 +78,7 @@ def apply_layers(df: DataFrame, layers: Sequence[Layer], spread: Sequence[str] =
         else:
             keys = {f"_key{i}": expr for i, (expr, _) in enumerate(layer.on)}
             rows = df.withColumns(keys)
-            facts = layer.facts.withColumnsRenamed({name: f"_key{i}" for i, (_, name) in enumerate(layer.on)})
+            facts = layer.facts.withColumns({f"_key{i}": F.col(name) for i, (_, name) in enumerate(layer.on)})
             df = join_keyed(rows, facts, list(keys), spread).drop(*keys)
     if any(x.helpers for x in layers):
         df = df.select("*", *[c.alias(n) for x in layers for n, c in x.helpers.items()])

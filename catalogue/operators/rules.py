@@ -171,9 +171,9 @@ def research_url_rules() -> list[Rule]:
 def whitespace_rules(fields: Sequence[str]) -> list[Rule]:
     out = []
     for f in fields:
-        lead, trail = F.coalesce(P.leading_space(f), F.lit(False)), F.coalesce(P.trailing_space(f), F.lit(False))
-        out.append(Rule("WHITESPACE_PADDING", lead | trail, "The value has leading or trailing space; it is kept.", f,
-                        (("leading", lead), ("trailing", trail))))
+        # a blank or missing cell is never padded, and a missing one makes the test NULL, which flags nothing
+        out.append(Rule("WHITESPACE_PADDING", P.padded(f), "The value has leading or trailing space; it is kept.", f,
+                        (("leading", P.leading_space(f)), ("trailing", P.trailing_space(f)))))
     return out
 
 

@@ -13,6 +13,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import contract as K
+from ..operators.classify import classify_records
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
           "pages", "benchmark", "labels", "conversations")
@@ -223,24 +224,27 @@ SUB = ("SELECT n_name AS subcategory_code, r_name AS parent_group_code, CAST(n_n
        "JOIN {region} ON n_regionkey = r_regionkey")
 
 SEGMENT_STATUS = ("CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'single' WHEN 'FURNITURE' THEN 'review_required' ELSE 'multi' END")
-# segment -> regions: AUTOMOBILE one, BUILDING two, HOUSEHOLD three, FURNITURE none (review), MACHINERY left out
-SEGMENT_REGION = ("(c_mktsegment = 'AUTOMOBILE' AND r_regionkey = 0) OR (c_mktsegment = 'BUILDING' AND r_regionkey IN (1, 3)) "
-                  "OR (c_mktsegment = 'HOUSEHOLD' AND r_regionkey IN (0, 2, 4))")
 SEGMENTS = "(SELECT DISTINCT c_mktsegment FROM {customer} WHERE c_mktsegment <> 'MACHINERY') s"
+
+
+def segment_regions(**keys: str) -> str:
+    """Regions of each segment as rows, so that segments meet them in a plain equi-join."""
+    return " UNION ALL ".join(f"SELECT '{seg}' AS seg, r_name, r_regionkey FROM {{region}} WHERE r_regionkey IN ({k})" for seg, k in keys.items())
+
+
+# AUTOMOBILE one region, BUILDING two, HOUSEHOLD three, FURNITURE none (review), MACHINERY left out
 FIELD_XW = f"""SELECT '0.2' AS mapping_contract_version, c_mktsegment AS raw_value, {SEGMENT_STATUS} AS mapping_status, r_name AS group_code,
  CASE WHEN r_name IS NULL THEN NULL WHEN c_mktsegment = 'AUTOMOBILE' THEN '1' WHEN c_mktsegment = 'BUILDING' THEN CASE r_regionkey WHEN 1 THEN '1' ELSE '2' END
   ELSE CASE r_regionkey WHEN 0 THEN '1' WHEN 2 THEN '2' ELSE '3' END END AS group_order,
  CASE WHEN c_mktsegment = 'FURNITURE' THEN 'needs review' ELSE '' END AS review_note
- FROM {SEGMENTS} LEFT JOIN {{region}} ON {SEGMENT_REGION}"""
+ FROM {SEGMENTS} LEFT JOIN ({segment_regions(AUTOMOBILE='0', BUILDING='1, 3', HOUSEHOLD='0, 2, 4')}) m ON c_mktsegment = seg"""
 
 # two-level raw crosswalk: AUTOMOBILE -> region 0 with its nations below 10; BUILDING -> regions 1, 3 without nations;
 # HOUSEHOLD -> region 2 with nation 2 and region 4 without
-RAW_XW = """SELECT c_mktsegment AS raw_value, CASE c_mktsegment WHEN 'FURNITURE' THEN 'review_required' ELSE 'multi' END AS mapping_status,
+RAW_XW = f"""SELECT c_mktsegment AS raw_value, CASE c_mktsegment WHEN 'FURNITURE' THEN 'review_required' ELSE 'multi' END AS mapping_status,
  r_name AS group_code, n_name AS subcategory_code, CASE WHEN c_mktsegment = 'FURNITURE' THEN 'needs review' ELSE 'raw note' END AS review_note
- FROM (SELECT DISTINCT c_mktsegment FROM {customer} WHERE c_mktsegment <> 'MACHINERY') s
- LEFT JOIN {region} ON (c_mktsegment = 'AUTOMOBILE' AND r_regionkey = 0) OR (c_mktsegment = 'BUILDING' AND r_regionkey IN (1, 3))
-  OR (c_mktsegment = 'HOUSEHOLD' AND r_regionkey IN (2, 4))
- LEFT JOIN {nation} ON n_regionkey = r_regionkey AND ((c_mktsegment = 'AUTOMOBILE' AND n_nationkey < 10) OR (c_mktsegment = 'HOUSEHOLD' AND n_nationkey = 2))"""
+ FROM {SEGMENTS} LEFT JOIN ({segment_regions(AUTOMOBILE='0', BUILDING='1, 3', HOUSEHOLD='2, 4')}) m ON c_mktsegment = seg
+ LEFT JOIN {{nation}} ON n_regionkey = r_regionkey AND ((c_mktsegment = 'AUTOMOBILE' AND n_nationkey < 10) OR (c_mktsegment = 'HOUSEHOLD' AND n_nationkey = 2))"""
 
 # contexts that really occur for every 20th customer: authoritative or additive, some without memberships
 CTX_XW = f"""SELECT DISTINCT {DATASET} AS source_dataset, c_name AS university,
@@ -300,7 +304,7 @@ LEDGER = f"""SELECT 'kokkoritsu' AS source_dataset, '国立' AS institution_type
  FROM (SELECT user_id, SUM(CASE WHEN event_id % 6 <> 4 THEN 1 ELSE 0 END) AS n FROM {{events}} GROUP BY user_id) g WHERE user_id % 23 <> 0"""
 # ledger with every 10th key given twice
 LEDGER_TWICE = LEDGER + " UNION ALL " + LEDGER + " AND user_id % 10 = 0"
-# one decision per action and payload, from the events that carry it
+# one decision per action and payload, from the events that carry it; the numbering runs over these few distinct values
 EVENT_RAW = "event_type || ':' || props"
 PACKET = f"""SELECT CAST(ROW_NUMBER() OVER (ORDER BY raw_or_context) AS BIGINT) AS review_order, raw_or_context, frequency, representative_record_id FROM (
  SELECT {EVENT_RAW} AS raw_or_context, COUNT(*) AS frequency, CAST(MIN(event_id) AS STRING) AS representative_record_id FROM {{events}} GROUP BY {EVENT_RAW}) g"""
@@ -341,10 +345,14 @@ REGISTRY_QUEUE = """SELECT 'Q' || CAST(s_suppkey AS STRING) AS queue_id, CASE WH
 
 PLACE_XW = """SELECT '0.1' AS mapping_contract_version, n_name AS raw_value, CASE WHEN n_nationkey % 6 = 0 THEN 'multi' ELSE 'single' END AS mapping_status, r_name AS group_code,
  CAST(ROW_NUMBER() OVER (PARTITION BY n_nationkey ORDER BY r_regionkey) AS STRING) AS group_order, '' AS review_note
- FROM {nation} JOIN {region} ON r_regionkey = n_regionkey OR (n_nationkey % 6 = 0 AND r_regionkey = (n_regionkey + 1) % 5) WHERE n_nationkey <> 24"""
+ FROM (SELECT n_nationkey, n_name, n_regionkey AS rk FROM {nation} UNION ALL SELECT n_nationkey, n_name, (n_regionkey + 1) % 5 FROM {nation} WHERE n_nationkey % 6 = 0) n
+ JOIN {region} ON r_regionkey = rk WHERE n_nationkey <> 24"""
+
 
+def catalogue(spark: SparkSession, sf: str, partitions: int | None = None) -> DataFrame:
+    """The classified records that search, facets and documents work on.
 
-def catalogue(spark: SparkSession, sf: str) -> DataFrame:
-    """The classified records that search, facets and documents work on."""
-    from ..operators.classify import classify_records
-    return classify_records(*[frame(spark, sf, s) for s in (B3, RULES, GRADE, ENGLISH, FIELD_XW, PLACE_XW, RAW_XW, CTX_XW, BROAD, SUB)])
+    ``partitions`` spreads a source of few row groups over more tasks before the work on it.
+    """
+    records, *dims = [frame(spark, sf, s) for s in (B3, RULES, GRADE, ENGLISH, FIELD_XW, PLACE_XW, RAW_XW, CTX_XW, BROAD, SUB)]
+    return classify_records(records.repartition(partitions, "record_id") if partitions else records, *dims)

@@ -27,7 +27,7 @@ CUSTOMER_XW = """SELECT c_name AS raw_value, CASE WHEN c_custkey % 23 = 0 THEN '
  CAST(CASE WHEN c_custkey % 11 = 0 THEN rn + 1 WHEN c_custkey % 17 = 0 THEN n + 1 - rn ELSE rn END AS STRING) AS group_order,
  CASE WHEN c_custkey % 31 = 0 THEN r_name ELSE '' END AS review_note
  FROM (SELECT c_custkey, c_name, r_name, r_regionkey, ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY r_regionkey) AS rn, COUNT(*) OVER (PARTITION BY c_custkey) AS n
-  FROM {customer} JOIN {region} ON (c_custkey + r_regionkey) % 3 = 0) q"""
+  FROM {customer} JOIN {region} ON c_custkey % 3 = (3 - r_regionkey % 3) % 3) q"""
 
 
 @query("cls01_check_crosswalk", B.with_ctes("""

@@ -25,6 +25,11 @@ def write_canonical(df: DataFrame, path: str, contract: TableContract, order: Se
         ignoreTrailingWhiteSpace=False).csv(path)
 
 
+def write_snapshot(df: DataFrame, path: str, partition: str = "source_dataset", order: Sequence[str] = ("university",)) -> None:
+    """Columnar snapshot of classified records: a directory per source, sorted inside each file for min/max skipping."""
+    df.sortWithinPartitions(partition, *order).write.partitionBy(partition).parquet(path)
+
+
 def shard_count(total_bytes: int | Column, target_bytes: int, rows: int | Column) -> Column:
     """Next power of two of bytes/target, at most one shard per row, at least one."""
     total = F.lit(total_bytes) if isinstance(total_bytes, int) else total_bytes
