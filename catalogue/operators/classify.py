@@ -357,15 +357,28 @@ def _failures(checks: dict[str, Column]) -> Column:
     return F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in checks.items()])))
 
 
+def misordered(rows: DataFrame, key: Sequence[str], order: str, rank: str) -> DataFrame:
+    """Keys whose entries do not rise in rank along their order.
+
+    Entries are first folded to the lowest and highest order per rank, so what is put side by side for one key has at
+    most one element per taxonomy code, however many rows the key owns.
+    """
+    per = (rows.where(F.col(order).isNotNull() & F.col(rank).isNotNull()).groupBy(*key, F.col(rank).alias("_r"))
+           .agg(F.min(order).alias("lo"), F.max(order).alias("hi")))
+    seq = per.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("_r", "lo", "hi"))).alias("seq"))
+    start = F.struct(F.lit(None).cast(rows.schema[order].dataType).alias("hi"), F.lit(False).alias("bad"))
+    step = lambda acc, x: F.struct(F.greatest(acc["hi"], x["hi"]).alias("hi"),
+                                   (acc["bad"] | F.coalesce(acc["hi"] > x["lo"], F.lit(False))).alias("bad"))
+    return seq.select(*key, F.aggregate("seq", start, step)["bad"].alias("misordered")).where("misordered")
+
+
 def check_crosswalk(xw: DataFrame, taxonomy: DataFrame, code: str = "group_code", order: str = "group_order",
                     rank: str = "display_order") -> DataFrame:
     """Issues per raw value of a long multi-label crosswalk. Everything is judged from one grouped aggregate."""
     tax = taxonomy.select(F.col(code), F.col(rank).cast("int").alias("_rank"))
-    c = xw.withColumn(code, P.null_if_blank(code)).join(tax, code, "left")
+    n = F.col("_order")
     has = F.col(code).isNotNull()
-    n = F.col(order).try_cast("int")
-    # memberships in stored order must rise in taxonomy rank: the largest rank seen before each entry is compared by
-    # sorting the (order, rank) pairs; the list is bounded by the taxonomy once repeated codes are reported
+    c = xw.withColumns({code: P.null_if_blank(code), "_order": F.col(order).cast("string").try_cast("int")}).join(tax, code, "left")
     g = c.groupBy("raw_value").agg(
         F.count_distinct("mapping_status").alias("statuses"), F.min("mapping_status").alias("status"),
         F.count_distinct(P.text("review_note")).alias("notes"), F.max(P.text("review_note")).alias("note"),
@@ -373,9 +386,8 @@ def check_crosswalk(xw: DataFrame, taxonomy: DataFrame, code: str = "group_code"
         F.count_if(has & F.col("_rank").isNull()).alias("unknown_codes"),
         F.min(F.when(has, n)).alias("lo"), F.max(F.when(has, n)).alias("hi"),
         F.count_distinct(F.when(has, n)).alias("orders"),
-        F.count_if(~has & ~P.is_blank(F.col(order).cast("string"))).alias("stray_orders"),
-        F.sort_array(F.collect_set(F.when(has, F.struct(n.alias("o"), F.col("_rank").alias("r"))))).alias("seq"))
-    ranks = F.transform("seq", lambda s: s["r"])
+        F.count_if(~has & ~P.is_blank(F.col(order).cast("string"))).alias("stray_orders"))
+    g = g.join(misordered(c, ["raw_value"], "_order", "_rank"), "raw_value", "left")
     mapped_row = F.col("status").isin("single", "multi")
     return g.select("raw_value", _failures({
         "blank_raw_value": P.is_blank("raw_value"),
@@ -390,7 +402,7 @@ def check_crosswalk(xw: DataFrame, taxonomy: DataFrame, code: str = "group_code"
         "multi_needs_two_codes": (F.col("status") == "multi") & (F.col("codes") < 2),
         "order_not_contiguous": mapped_row & (F.col("codes") > 0) & ~(
             (F.col("lo") == 1) & (F.col("hi") == F.col("codes")) & (F.col("orders") == F.col("codes"))),
-        "not_in_taxonomy_order": mapped_row & (F.col("unknown_codes") == 0) & (ranks != F.sort_array(ranks)),
+        "not_in_taxonomy_order": mapped_row & (F.col("unknown_codes") == 0) & F.col("misordered"),
     }).alias("issue"))
 
 
@@ -455,12 +467,11 @@ def audit_layer(records: DataFrame, layer: DataFrame, members: DataFrame, taxono
     order. Members are judged per record by combined aggregates, never by a window over a record.
     """
     key = list(key)
-    child = (members.join(taxonomy.select(code, F.col(rank).cast("int").alias("_rank")), code, "left")
-             .groupBy(*key).agg(
+    ranked = members.join(taxonomy.select(code, F.col(rank).cast("int").alias("_rank")), code, "left")
+    child = (ranked.groupBy(*key).agg(
                  F.count("*").alias("n"), F.min(order).alias("lo"), F.max(order).alias("hi"),
-                 F.count_distinct(order).alias("orders"), F.count_if(F.col("_rank").isNull()).alias("unknown"),
-                 F.sort_array(F.collect_set(F.struct(F.col(order).alias("o"), F.col("_rank").alias("r")))).alias("seq")))
-    ranks = F.transform("seq", lambda s: s["r"])
+                 F.count_distinct(order).alias("orders"), F.count_if(F.col("_rank").isNull()).alias("unknown"))
+             .join(misordered(ranked, key, order, "_rank"), key, "left"))
     parents = layer.groupBy(*key).agg(
         F.count("*").alias("copies"), F.min("raw_value").alias("raw_value"),
         F.min("mapping_status").alias("mapping_status"), F.min("contract_version").alias("contract_version"))
@@ -480,7 +491,7 @@ def audit_layer(records: DataFrame, layer: DataFrame, members: DataFrame, taxono
         count((F.col("mapping_status") == "multi") & (n < 2)).alias("multi_cardinality"),
         count(F.col("copies").isNotNull() & ~mapped_row & (n > 0)).alias("members_on_unmapped"),
         count((n > 0) & ~((F.col("lo") == 1) & (F.col("hi") == n) & (F.col("orders") == n))).alias("order_gaps"),
-        count((F.col("unknown") == 0) & (ranks != F.sort_array(ranks))).alias("order_not_by_rank"),
+        count((F.col("unknown") == 0) & F.col("misordered")).alias("order_not_by_rank"),
         F.coalesce(F.sum("unknown"), F.lit(0)).alias("unknown_codes"))
 
 
