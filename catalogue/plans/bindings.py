@@ -19,15 +19,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "pages", "benchmark", "labels", "conversations")
 
 
-_OPENED: dict[tuple[str, str], DataFrame] = {}
+_OPENED: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table of the driver; its footer is read once per application."""
-    key = (spark.sparkContext.applicationId, f"{sf}/{name}.parquet")
-    if key not in _OPENED:
-        _OPENED[key] = spark.read.parquet(key[1])
-    return _OPENED[key]
+    """A table of the driver; its footer is read once per session."""
+    key = (id(spark), f"{sf}/{name}.parquet")
+    owner, df = _OPENED.get(key, (None, None))
+    if owner is not spark:
+        df = spark.read.parquet(key[1])
+        _OPENED[key] = (spark, df)
+    return df
 
 
 def frame(spark: SparkSession, sf: str, sql: str) -> DataFrame:

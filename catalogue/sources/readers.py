@@ -57,7 +57,7 @@ def header_issues(spark: SparkSession, path: str, contract: TableContract) -> Da
                                           F.col("_metadata.file_block_start").alias("block"),
                                           F.monotonically_increasing_id().alias("at"))
              .where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header")))
-    names = F.transform(F.split(F.regexp_replace("header", r"[\r﻿]", ""), ","),
+    names = F.transform(F.split(F.regexp_replace("header", r"[\r\x{FEFF}]", ""), ","),
                         lambda n: F.regexp_replace(n, r'\A"|"\z', ""))
     want = F.array(*[F.lit(c) for c in contract.columns])
     checked = first.withColumn("actual", names).withColumn("expected", want)
