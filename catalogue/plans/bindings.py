@@ -6,14 +6,13 @@ rows; defects that the tables lack are derived by fixed expressions. The operato
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import contract as K
 from ..operators.classify import classify_records
+from ..sources.shared import scratch
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
           "pages", "benchmark", "labels", "conversations")
@@ -48,12 +47,6 @@ def with_ctes(body: str, **ctes: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({duck(s)})" for n, s in ctes.items()) + " " + body.strip()
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared folder the cluster names; a local one only where none is named, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="catalogue-")
-    return f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
-
-
 def number(i: int | str) -> str:
     return f"CAST({i} AS STRING)"
 

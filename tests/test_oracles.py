@@ -7,9 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalogue import plans
+from catalogue.plans import registry
 from catalogue.plans.bindings import TABLES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+plans.load()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 SPARK_TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "int": "INTEGER", "boolean": "BOOLEAN", "double": "DOUBLE", "date": "DATE"}
 
 
