@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import blocks, mixing
+from . import bands, blocks, extract, langid, mixing, packing, records, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,11 +56,62 @@ FROM n WINDOW same AS (PARTITION BY t)
 """
 
 
+def _held_out(doc_id: str = "doc_id") -> Column:
+    """A quarter of the ids, never learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@_query("op1_token_records")
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.token_records(_read(spark, sf_dir, "documents"))
+
+
 @_query("op2_mixing", MIX_SQL)
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
 
+@_query("op3_minimum_cut")
+def op3_minimum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(_read(spark, sf_dir, "pages"))
+
+
+@_query("op5_cross_parsing")
+def op5_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    found = langid.identify(documents, documents.where(~_held_out()))
+    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
+@_query("op6_compression_bands")
+def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bands.quality(_read(spark, sf_dir, "documents"))
+
+
+@_query("op7_mixture_packing")
+def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
+@_query("op8_anchor_simhash")
+def op8_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+@_query("op9_ngram_toxicity")
+def op9_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = _read(spark, sf_dir, "labels").where(~_held_out())
+    scored = toxicity.toxicity(_read(spark, sf_dir, "documents"), known)
+    return scored.select("doc_id", _held_out().alias("held_out"), "score", "predicted")
+
+
 @_query("op10_block_naming", EXACT_SQL)
 def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.exact_duplicates(_read(spark, sf_dir, "documents"))
+
+
+@_query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
