@@ -123,14 +123,14 @@ def exact_duplicates(documents: DataFrame, block_bytes: int = BLOCK_BYTES, hash_
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
     verdict = settle(exact_duplicates(docs), "exact")
-    kept = verdict.where("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha"))
-    sha = F.unhex(F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256))
-    out = docs.withColumn("_own", sha)
-    joined = out.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
-    repeats = verdict.where("NOT kept AND doc_id <=> keep_id").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha")).distinct()
-    if repeats.isEmpty():
-        return joined.drop("_own")
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha"))
-    twice = joined.join(repeats, match, "left_semi").groupBy("doc_id", "_own").agg(
-        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
-    return joined.join(repeats, match, "left_anti").drop("_own").unionByName(twice.select("_row.*"))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    whole = whole.withColumn("own", F.unhex(F.sha2(F.encode(normalised(F.col("doc.text")), "UTF-8"), 256)))
+    match = F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("sha"))
+    key = (F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("sha"))
+    kept = whole.join(verdict.where("kept").select(*key), match, "left_semi")
+    # rows that repeat both id and text passed together; one of them stays
+    repeats = verdict.where("NOT kept AND doc_id <=> keep_id").select(*key).distinct()
+    if not repeats.isEmpty():
+        one = kept.join(repeats, match, "left_semi").groupBy("doc.doc_id", "own").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+        kept = kept.join(repeats, match, "left_anti").select("doc").unionByName(one.select("doc"))
+    return kept.select("doc.*")

@@ -142,13 +142,17 @@ def _first_words(text: Column, n: Column) -> Column:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: a document once per pass that takes it, cut after the last word taken, with n_chars to match."""
-    kept = settle(docs.withColumn("row", F.monotonically_increasing_id()), "mixed")
-    rows, _, draws = schedule(kept, "row")
+    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    whole = settle(whole, "mixed")
+    rows, _, draws = schedule(whole.select("row", "doc.doc_id", "doc.source", "doc.text"), "row")
     passes = draws.groupBy("row", "epoch").agg(F.sum("n_words").alias("words"))
     passes = passes.groupBy("row").agg(F.collect_list("words").alias("words"))
     passes = passes.join(rows.select("row", "size"), "row")
-    out = kept.join(passes, "row").withColumn("_words", F.explode("words"))
-    whole = F.col("_words") >= F.col("size")
-    text = F.when(whole, F.col("text")).otherwise(_first_words(F.col("text"), F.col("_words")))
-    n_chars = F.when(whole, F.col("n_chars")).otherwise(F.char_length(text).cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*[{"text": text, "n_chars": n_chars}.get(c, F.col(c)).alias(c) for c in docs.columns])
+    out = whole.join(passes, "row").withColumn("taken", F.explode("words"))
+    complete = F.col("taken") >= F.col("size")
+    text = F.when(complete, F.col("doc.text")).otherwise(_first_words(F.col("doc.text"), F.col("taken")))
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        n_chars = F.char_length(text).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(complete, F.col("doc.n_chars")).otherwise(n_chars)
+    return out.select(*(changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))

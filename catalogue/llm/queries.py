@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bands, blocks, extract, langid, mixing, packing, records, simhash, toxicity
+from . import bands, blocks, extract, langid, mixing, packing, records, revisit, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,49 @@ SELECT doc_id, size::BIGINT AS size, source_size, target::DOUBLE AS target,
 FROM q
 """
 
+#: every page as the record of a crawl and, a month later, the record of a crawl that got a 304 for another spelling of
+#: its URL; every seventh page changed meanwhile, some records lack a tag or a date
+CAPTURES = """
+SELECT 'r' || CAST(page_id AS STRING) AS record_id, 'response' AS kind, url, page_id * 60000 AS ts, 200 AS status, md5(html) AS digest,
+  CASE WHEN page_id % 5 <> 0 THEN '"' || substr(md5(html), 1, 16) || '"' END AS etag,
+  CASE WHEN page_id % 10 <> 0 THEN 'day ' || CAST(page_id % 97 AS STRING) END AS modified, page_id
+FROM {pages}
+UNION ALL
+SELECT 'v' || CAST(page_id AS STRING), 'revisit',
+  CASE page_id % 4 WHEN 0 THEN replace(url, 'https://', 'http://') WHEN 1 THEN url || '#again' WHEN 2 THEN replace(url, '://', '://www.') ELSE upper(substr(url, 1, 8)) || substr(url, 9) END,
+  page_id * 60000 + 2592000000, 304, CASE WHEN page_id % 3 = 0 THEN md5(html) END,
+  CASE WHEN page_id % 7 = 0 THEN '"gone"' WHEN page_id % 5 <> 1 THEN 'W/"' || substr(md5(html), 1, 16) || '"' END,
+  CASE WHEN page_id % 20 <> 0 THEN 'day ' || CAST(page_id % 97 AS STRING) END, page_id
+FROM {pages}
+"""
+
+REVISIT_SQL = r"""
+WITH c AS (""" + CAPTURES.replace("STRING", "VARCHAR").format(pages="pages") + r"""), p AS (
+  SELECT *, regexp_matches(url, '(?i)^[a-z][a-z0-9+.-]*://(?:[^@/?#]*@)?([^:/?#]+)(?::(\d+))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$') AS is_url,
+    regexp_extract(url, '(?i)^[a-z][a-z0-9+.-]*://(?:[^@/?#]*@)?([^:/?#]+)(?::(\d+))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$', ['host', 'port', 'path', 'query']) AS u
+  FROM (SELECT * REPLACE (trim(url) AS url) FROM c)
+), n AS (
+  SELECT *, CASE WHEN is_url THEN regexp_replace(lower(u.host), '^www\d*\.', '') || CASE WHEN u.port IN ('', '80', '443') THEN '' ELSE ':' || u.port END
+    || regexp_replace(regexp_replace(u.path, '/{2,}', '/', 'g'), '/$', '') || CASE WHEN q = '' THEN '' ELSE '?' || q END ELSE url END AS canonical_url
+  FROM (SELECT *, array_to_string(list_sort(list_filter(string_split(u.query, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_[a-z]+|fbclid|gclid|msclkid|ref|sessionid|jsessionid|phpsessid|sid)(=|$)'))), '&') AS q FROM p)
+), j AS (
+  SELECT v.record_id, v.canonical_url, v.ts, v.page_id AS v_page, v.etag AS v_etag, v.modified AS v_modified, v.digest AS v_digest,
+    r.record_id AS refers_to, r.ts AS refers_ts, r.digest, r.etag, r.modified, r.page_id AS r_page,
+    row_number() OVER (PARTITION BY v.record_id ORDER BY r.ts DESC NULLS LAST, r.record_id DESC NULLS LAST) AS nth
+  FROM n v LEFT JOIN n r ON r.kind = 'response' AND r.canonical_url = v.canonical_url AND r.ts < v.ts WHERE v.kind = 'revisit'
+), o AS (
+  SELECT *, CASE WHEN refers_to IS NULL THEN 'missing'
+    WHEN v_etag IS NOT NULL AND etag IS NOT NULL THEN CASE WHEN regexp_replace(v_etag, '^W/', '') = etag THEN 'resolved' ELSE 'changed' END
+    WHEN v_modified IS NOT NULL AND modified IS NOT NULL THEN CASE WHEN v_modified = modified THEN 'resolved' ELSE 'changed' END
+    WHEN v_digest IS NOT NULL AND digest IS NOT NULL THEN CASE WHEN v_digest = digest THEN 'resolved' ELSE 'changed' END
+    ELSE 'unverified' END AS outcome FROM j WHERE nth = 1)
+SELECT record_id, canonical_url, ts, outcome, refers_to, refers_ts, CASE WHEN outcome = 'resolved' THEN digest END AS payload_digest,
+  CASE WHEN outcome = 'resolved' THEN 'content-length: ' || r_page::VARCHAR || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || ts::VARCHAR
+    || CASE WHEN coalesce(v_etag, etag) IS NOT NULL THEN chr(10) || 'etag: ' || coalesce(v_etag, etag) ELSE '' END
+    || CASE WHEN coalesce(v_modified, modified) IS NOT NULL THEN chr(10) || 'last-modified: ' || coalesce(v_modified, modified) ELSE '' END END AS headers
+FROM o
+"""
+
 EXACT_SQL = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -76,6 +119,18 @@ def op3_minimum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(_read(spark, sf_dir, "pages"))
 
 
+@_query("op4_revisits", REVISIT_SQL)
+def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = spark.sql(CAPTURES, pages=_read(spark, sf_dir, "pages"))
+    length = F.when(F.col("kind") == "response", F.col("page_id")).otherwise(0).cast("string")
+    headers = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in (
+        ("Content-Type", F.lit("text/html")), ("Content-Length", length), ("Date", F.col("ts").cast("string")),
+        ("ETag", F.col("etag")), ("Last-Modified", F.col("modified"))))), lambda e: e.value.isNotNull()))
+    records_ = captures.withColumn("headers", headers).withColumnRenamed("digest", "payload_digest")
+    found = revisit.resolve(records_)
+    return found.withColumn("headers", revisit.header_text(F.col("headers")))
+
+
 @_query("op5_cross_parsing")
 def op5_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents")

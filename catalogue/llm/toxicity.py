@@ -2,7 +2,8 @@
 
 A text's features are the distinct n-grams of its lower-cased UTF-8 bytes, hashed. Each feature is scaled by the log
 ratio of its (smoothed) document counts in toxic and other texts, and a logistic regression is fitted on the scaled
-features. The fit uses a bounded sample of labelled rows; every document is scored on its whole text.
+features, both classes weighing the same and weights shrunk towards zero, so that few labels are not learned by heart.
+The fit uses a bounded sample of labelled rows; every document is scored on its whole text.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ HASH_BITS = 18
 #: labelled rows that the model is fitted on, at most, per class
 SAMPLE_TOXIC, SAMPLE_OTHER = 1000, 2500
 ROUNDS = 40
-STEP = 0.3
+STEP = 0.1
+FIRST_WEIGHT = 0.2
+SHRINKAGE = 3e-5
 THRESHOLD = 0.3
 PIECE_BYTES = 1 << 20
 
@@ -107,11 +110,12 @@ def fit(sample: DataFrame):
     sizes = np.array([len(f) for f in x])
     column, row = np.concatenate(x).astype(np.int64), np.repeat(np.arange(len(x)), sizes)
     value = ratio[column] / np.sqrt(sizes + 1)[row]
-    w, b, m, v = np.full(size, 0.5), 0.0, np.zeros(size), np.zeros(size)
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    w, b, m, v = np.full(size, FIRST_WEIGHT), 0.0, np.zeros(size), np.zeros(size)
     for k in range(1, ROUNDS + 1):
         z = np.bincount(row, value * w[column], len(x)) + b
-        error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / len(y)
-        g = np.bincount(column, error[row] * value, size)
+        error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * share
+        g = np.bincount(column, error[row] * value, size) + SHRINKAGE * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= STEP * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-10)
         b -= 5 * error.sum()
