@@ -101,7 +101,7 @@ def phrases(pieces, lengths, model):
     import numpy as np
 
     symbol, table = model
-    width, flat, root = table.shape[1], table.ravel(), np.maximum(table[0], 0)
+    width, flat, root = table.shape[1], table.ravel(), table[0]
     coded = symbol[pieces]
     state, count = np.zeros(len(lengths), np.int32), np.zeros(len(lengths), np.int64)
     alive = len(lengths)
@@ -111,10 +111,13 @@ def phrases(pieces, lengths, model):
         c = coded[j, :alive]
         to = flat[state[:alive] * width + c]
         missed = np.flatnonzero(to < 0)
-        count[missed] += 1
-        to[missed] = root[c[missed]]
+        if len(missed):
+            # the phrase so far ends here, and the byte begins the next one; a byte that the sample lacks is one by itself
+            begin = root[c[missed]]
+            count[missed] += (state[missed] > 0).astype(np.int64) + (begin < 0)
+            to[missed] = np.maximum(begin, 0)
         state[:alive] = to
-    return count + (lengths > 0)
+    return count + (state > 0)
 
 
 def _costs(texts: list[bytes], samples):
