@@ -121,16 +121,21 @@ def exact_duplicates(documents: DataFrame, block_bytes: int = BLOCK_BYTES, hash_
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
+    """The documents that stay, with all their columns.
+
+    What is joined to the texts is the list of ids that go, so texts move only where that list is too long to send to
+    every task. An id of which some rows stay and others go is settled by its texts.
+    """
     verdict = settle(exact_duplicates(docs), "exact")
+    by_id = verdict.groupBy("doc_id").agg(F.bool_or("kept").alias("some"), F.bool_and("kept").alias("all"))
+    ids = settle(by_id.where("NOT all").select(F.col("doc_id").alias("id"), "some"), "ids")
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
-    whole = whole.withColumn("own", F.unhex(F.sha2(F.encode(normalised(F.col("doc.text")), "UTF-8"), 256)))
-    match = F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("sha"))
-    key = (F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("sha"))
-    kept = whole.join(verdict.where("kept").select(*key), match, "left_semi")
-    # rows that repeat both id and text passed together; one of them stays
-    repeats = verdict.where("NOT kept AND doc_id <=> keep_id").select(*key).distinct()
-    if not repeats.isEmpty():
-        one = kept.join(repeats, match, "left_semi").groupBy("doc.doc_id", "own").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
-        kept = kept.join(repeats, match, "left_anti").select("doc").unionByName(one.select("doc"))
-    return kept.select("doc.*")
+    same_id = F.col("doc.doc_id").eqNullSafe(F.col("id"))
+    if ids.where("some").isEmpty():
+        return whole.join(ids.select("id"), same_id, "left_anti").select("doc.*")
+    sha = F.unhex(F.sha2(F.encode(normalised(F.col("doc.text")), "UTF-8"), 256))
+    keys = verdict.where("kept").select(F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("sha"))
+    partly = whole.join(ids.where("some").select("id"), same_id, "left_semi").withColumn("own", sha)
+    partly = partly.join(keys, same_id & (F.col("own") == F.col("sha")), "left_semi")
+    one = partly.groupBy("doc.doc_id", "own").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+    return whole.join(ids.select("id"), same_id, "left_anti").unionByName(one.select("doc")).select("doc.*")

@@ -173,8 +173,8 @@ def write_shards(folder: str, end_id: int, vocabulary: str, per_record: bool = F
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             first, sizes = out.records, []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts):
-                ids = enc.encode([text or b""])[0] + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode([t or b"" for t in texts])):
+                ids += end
                 out.add(doc_id, ids, enc.width)
                 sizes.append(len(ids) // enc.width)
             if per_record:

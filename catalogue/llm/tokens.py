@@ -2,18 +2,29 @@
 
 The tokenizer drops white space and never joins characters across it: normalisation, splitting and merges all stay
 inside a word that ASCII white space delimits. So a text's ids are the ids of its words in order, and each worker
-keeps the ids of the words it has met. ``tests/llm`` holds this against encoding whole texts.
+keeps the ids of the words it has met. A word of plain Latin letters, digits and signs is further split, as the
+tokenizer does, into runs of letters, single digits and runs of signs, whose ids are kept as well; any other word goes
+to the tokenizer as it is. ``tests/llm`` holds all this against encoding whole texts.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Sequence
 from functools import lru_cache
+from itertools import chain
 
 VOCABULARY = "word_bpe_49k.json"
-#: words whose ids a worker keeps; beyond that it starts afresh, so its memory stays bounded
-CACHE_WORDS = 400_000
+#: words and parts of words whose ids a worker keeps; beyond that it starts afresh, so its memory stays bounded
+CACHE_WORDS, CACHE_PARTS = 500_000, 400_000
+#: texts of so many bytes are looked up together
+BYTES_AT_ONCE = 1 << 21
+
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+# fixed value: the splitting rule of the vocabulary, for lower-case words that PLAIN matches
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+SPECIAL = "<|"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -25,33 +36,64 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 class WordEncoder:
     """Encodes UTF-8 texts to little-endian ids of ``width`` bytes each."""
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS, cache_parts: int = CACHE_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.cache_words = cache_words
+        self.cache_words, self.cache_parts = cache_words, cache_parts
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def _learn(self, words: Sequence[bytes]) -> None:
-        import numpy as np
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        from array import array
 
-        kind = np.dtype(f"<u{self.width}")
-        for enc, word in zip(self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), words):
-            self.known[word] = np.array(enc.ids, kind).tobytes()
+        kind = "H" if self.width == 2 else "I"
+        return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: Sequence[bytes]) -> None:
+        parts, known = self.parts, self.known
+        other: list[bytes] = []
+        late: list[bytes] = []
+        new: set[str] = set()
+        for word in words:
+            text = word.decode()
+            if not PLAIN.fullmatch(text) or SPECIAL in text:
+                other.append(word)
+                continue
+            pieces = PARTS.findall(text.lower())
+            try:
+                known[word] = b"".join([parts[p] for p in pieces])
+            except KeyError:
+                late.append(word)
+                new.update(pieces)
+        known.update(zip(other, self._whole([w.decode() for w in other])))
+        if len(parts) + len(new) > self.cache_parts:
+            parts.clear()
+        fresh = [p for p in new if p not in parts]
+        parts.update(zip(fresh, self._whole(fresh)))
+        for word in late:
+            known[word] = b"".join([parts[p] for p in PARTS.findall(word.decode().lower())])
 
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
-        out = []
-        for text in texts:
-            words = text.split()
-            new = set(words).difference(self.known)
+        out: list[bytes] = []
+        k = 0
+        while k < len(texts):
+            end, size = k + 1, len(texts[k])
+            while end < len(texts) and size + len(texts[end]) <= BYTES_AT_ONCE:
+                size += len(texts[end])
+                end += 1
+            split = [t.split() for t in texts[k:end]]
+            met = set(chain.from_iterable(split))
+            new = met.difference(self.known)
+            if len(self.known) + len(new) > self.cache_words:
+                self.known.clear()
+                new = met
             if new:
-                if len(self.known) + len(new) > self.cache_words:
-                    self.known.clear()
-                    new = set(words)
                 self._learn(list(new))
-            out.append(b"".join(map(self.known.__getitem__, words)))
+            out += [b"".join(map(self.known.__getitem__, words)) for words in split]
+            k = end
         return out
 
 
