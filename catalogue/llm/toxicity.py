@@ -22,6 +22,8 @@ FIRST_WEIGHT = 0.2
 SHRINKAGE = 3e-5
 THRESHOLD = 0.3
 PIECE_BYTES = 1 << 20
+#: texts of the sample whose features are gone through together
+TEXTS_AT_ONCE = 256
 
 OUT = "doc_id long, score double"
 
@@ -97,28 +99,35 @@ def fit(sample: DataFrame):
     rows = map_batches(sample.select("doc_id", "toxic", "text"), features, "toxic int, grams binary").collect()
     rows = sorted((r["toxic"], bytes(r["grams"])) for r in rows)  # sums do not depend on how the rows arrive
     y = np.array([float(t == 1) for t, _ in rows])
-    x = [np.frombuffer(g, "<i4") for _, g in rows]
     size = 1 << HASH_BITS
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.0
         return np.zeros(size, np.float32), float(np.log(max(share, 1e-6) / (1 - min(share, 1 - 1e-6))))
+    parts = []  # (first text, last text, their n-grams, number of the text of each)
+    for k in range(0, len(rows), TEXTS_AT_ONCE):
+        x = [np.frombuffer(g, "<i4") for _, g in rows[k:k + TEXTS_AT_ONCE]]
+        parts.append((k, k + len(x), np.concatenate(x), np.repeat(np.arange(len(x), dtype=np.int16), [len(f) for f in x])))
+    del rows
+
     toxic, other = np.ones(size), np.ones(size)
-    for k, f in enumerate(x):
-        (toxic if y[k] else other)[f] += 1
+    for k, end, column, row in parts:
+        toxic += np.bincount(column, y[k:end][row], size)
+        other += np.bincount(column, 1 - y[k:end][row], size)
     ratio = np.log(toxic / (y.sum() + 2)) - np.log(other / (len(y) - y.sum() + 2))
-
-    sizes = np.array([len(f) for f in x])
-    column, row = np.concatenate(x).astype(np.int64), np.repeat(np.arange(len(x)), sizes)
-    value = ratio[column] / np.sqrt(sizes + 1)[row]
     share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     w, b, m, v = np.full(size, FIRST_WEIGHT), 0.0, np.zeros(size), np.zeros(size)
-    for k in range(1, ROUNDS + 1):
-        z = np.bincount(row, value * w[column], len(x)) + b
-        error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * share
-        g = np.bincount(column, error[row] * value, size) + SHRINKAGE * w
+    for n in range(1, ROUNDS + 1):
+        g, slope = SHRINKAGE * w, 0.0
+        scaled = ratio * w
+        for k, end, column, row in parts:
+            length = 1 / np.sqrt(np.bincount(row, minlength=end - k) + 1)
+            z = np.bincount(row, scaled[column], end - k) * length + b
+            error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y[k:end]) * share[k:end]
+            g += ratio * np.bincount(column, (error * length)[row], size)
+            slope += error.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        w -= STEP * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-10)
-        b -= 5 * error.sum()
+        w -= STEP * (m / (1 - 0.9 ** n)) / (np.sqrt(v / (1 - 0.99 ** n)) + 1e-10)
+        b -= 5 * slope
     return (ratio * w).astype(np.float32), float(b)
 
 
