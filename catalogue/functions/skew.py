@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 256 << 20
 HOT_ROWS = 2_000_000
-SALTS = 64
+#: rows without a key are dealt out over so many values that no key has
+NULL_SALTS = 1 << 20
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -23,16 +25,20 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+def _text_bytes() -> Column:
+    return F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0)).cast("long")
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    return are_small([df], max_rows)[0]
 
 
 def are_small(frames: Sequence[DataFrame], max_rows: int = BROADCAST_ROWS) -> list[bool]:
-    """The same check for several frames in one job."""
-    tagged = [f.limit(max_rows + 1).select(F.lit(i).alias("i")) for i, f in enumerate(frames)]
-    counts = reduce(DataFrame.unionAll, tagged).groupBy("i").count().collect()
-    rows = {r["i"]: r["count"] for r in counts}
-    return [rows.get(i, 0) <= max_rows for i in range(len(frames))]
+    """Rows and bytes of several frames against the broadcast limits, in one job that stops above ``max_rows``."""
+    tagged = [f.limit(max_rows + 1).select(F.lit(i).alias("i"), _text_bytes().alias("b")) for i, f in enumerate(frames)]
+    sums = reduce(DataFrame.unionAll, tagged).groupBy("i").agg(F.count("*").alias("n"), F.sum("b").alias("b")).collect()
+    small = {r["i"]: r["n"] <= max_rows and r["b"] <= BROADCAST_BYTES for r in sums}
+    return [small.get(i, True) for i in range(len(frames))]
 
 
 def null_marked(cols: Sequence[str | Column]) -> list[Column]:
@@ -58,28 +64,32 @@ def attach(
     spread: Sequence[str],
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``rows`` to ``facts`` (one row per key; column ``size`` = rows of that key in ``rows``).
 
-    At most total/hot_rows keys can be hot, so the hot-key list is small enough to broadcast by arithmetic. Rows of a
-    hot key are spread by a hash of ``spread`` (columns that tell rows of one key apart), and the facts of that key
-    are repeated once per salt.
+    A key gets one salt per ``hot_rows`` rows, so what meets in one place stays the same however many rows it has. Its
+    rows are spread by a hash of ``spread`` (columns that tell rows of one key apart), and its facts are repeated once
+    per salt. Rows with a NULL key meet no facts and are dealt out evenly. The list of hot keys has at most
+    total/hot_rows entries and is broadcast after its size has been checked.
     """
     key = list(key)
-    hot = facts.where(F.col(size) >= hot_rows).select(*key, F.lit(True).alias("_hot"))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*null_marked(spread)), F.lit(salts))).otherwise(0).cast("int")
-    salted = rows.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_hot")
-    last = F.when(F.col(size) >= hot_rows, salts - 1).otherwise(0)
+    parts = F.ceil(F.col(size) / hot_rows).cast("int")
+    hot = broadcast_if_small(facts.where(F.col(size) > hot_rows).select(*key, parts.alias("_parts")))
+    some = F.xxhash64(*null_marked(spread))
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    salt = (F.when(no_key, -1 - F.pmod(some, F.lit(NULL_SALTS))).when(F.col("_parts").isNotNull(), F.pmod(some, F.col("_parts")))
+            .otherwise(0).cast("int"))
+    salted = rows.join(hot, key, "left").withColumn("_salt", salt).drop("_parts")
+    last = F.greatest(parts - 1, F.lit(0))
     spread_facts = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
     return salted.join(spread_facts, [*key, "_salt"], how).drop("_salt")
 
 
 def join_keyed(rows: DataFrame, facts: DataFrame, key: Sequence[str], spread: Sequence[str], how: str = "left",
-               hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join rows to a large lookup (one row per key): the rows are counted per key first, then hot keys are spread."""
     sizes = rows.groupBy(*key).agg(F.count("*").alias("_n"))
-    return attach(rows, facts.join(sizes, list(key)), key, "_n", spread, how, hot_rows, salts).drop("_n")
+    return attach(rows, facts.join(sizes, list(key)), key, "_n", spread, how, hot_rows).drop("_n")
 
 
 def join_small_or_keyed(

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as P
 from ..functions.skew import are_small, join_keyed, join_small_or_keyed
+from .views import beside
 
 # ---- fixed values: vocabularies and notes of the classification layers -----------------------------------------------
 NOTE_MISSING = "原値がSQL NULL"
 NOTE_UNMAPPED = "監査済みcrosswalkにない新規原値"
+NOTE_CONFLICT = "crosswalk entries of this value differ"
 NOTE_NO_RAW = "No frozen exact raw-value mapping."
 SAFE_LABELS = ("required", "not_required")
 SAFE_FLOORS = ("safe_simple_overall", "safe_overall_with_additional_conditions")
@@ -85,13 +87,25 @@ def apply_layers(df: DataFrame, layers: Sequence[Layer], spread: Sequence[str] =
     return df.select(*keep, *[c.alias(n) for x in layers for n, c in x.outputs.items()])
 
 
+def settled(xw: DataFrame, cols: Sequence[str], key: str = "raw_value") -> DataFrame:
+    """One row per raw value: ``cols`` of its entries, and ``conflict`` where they do not agree.
+
+    A crosswalk that lists a value twice must not multiply records, nor may the job pick one of two readings.
+    """
+    same = F.struct(*cols)
+    g = xw.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(same).alias("_lo"), F.max(same).alias("_hi"))
+    return g.select(key, "_lo.*", (F.col("_lo") != F.col("_hi")).alias("conflict"))
+
+
 def label_layer(raw: str, xw: DataFrame, on_null: str = "unknown", on_unmapped: str = "unmapped",
                 status: str = "requirement_status", names: Sequence[str] = ()) -> Layer:
     """Single-label classification: status, how it was found, its search disposition and the note.
 
     ``names`` renames these four outputs.
     """
-    facts = xw.select(F.col("raw_value").alias("_lraw"), F.col(status).alias("_ls"), F.col("review_note").alias("_lnote"))
+    one = settled(xw, [status, "review_note"])
+    facts = one.select(F.col("raw_value").alias("_lraw"), F.when(F.col("conflict"), "review_required").otherwise(F.col(status)).alias("_ls"),
+                       F.when(F.col("conflict"), NOTE_CONFLICT).otherwise(F.col("review_note")).alias("_lnote"))
     missing, found, s = F.col(raw).isNull(), F.col("_lraw").isNotNull(), F.col("_ls")
     outputs = (
         F.when(missing, on_null).when(found, s).otherwise(on_unmapped),
@@ -113,7 +127,9 @@ def threshold_layer(raw: str, xw: DataFrame) -> Layer:
     """Threshold classification: status, integer floor, inclusive flag, additional-condition flag."""
     names = ("grade_requirement_status", "overall_gpa_min_tenths", "overall_gpa_min_inclusive", "overall_gpa_status",
              "additional_grade_conditions")
-    facts = xw.select(F.col("raw_value").alias("_traw"), *[F.col(c).alias(f"_t_{c}") for c in names])
+    one = settled(xw, names)
+    read = lambda c: F.when(~F.col("conflict"), F.col(c)).otherwise("review_required") if c.endswith("_status") else F.when(~F.col("conflict"), F.col(c))
+    facts = one.select(F.col("raw_value").alias("_traw"), *[read(c).alias(f"_t_{c}") for c in names])
     missing, found = F.col(raw).isNull(), F.col("_traw").isNotNull()
     outputs = {c: F.when(missing, "unknown").when(found, F.col(f"_t_{c}")).otherwise("unmapped") if c.endswith("_status")
                else F.col(f"_t_{c}") for c in names}
@@ -139,7 +155,9 @@ def _rule_facts(rules: DataFrame) -> DataFrame:
              .when(cls.isin(list(SCOPELESS_CLASSES)), "none").when(tier == "conditional_numeric", "overall")
              .otherwise("unknown"))
     by_class = lambda n: _by_value(cls, {k: v[n] for k, v in NON_NUMERIC.items()}, ("other", "unparsed", "review_required")[n])
-    return rules.where("raw_value is not null").select(
+    # a value with rules that differ counts as unlisted: it goes to review and carries no number
+    one = settled(rules, ["distinct_tier", "primary_class", "feature_flags", "safe_gpa_min"]).where("NOT conflict")
+    return one.select(
         F.col("raw_value").alias("_rraw"), tier.alias("_tier"), P.to_tenths("safe_gpa_min").alias("_min"), scope.alias("_scope"),
         by_class(0).alias("_type"), by_class(1).alias("_parse"), by_class(2).alias("_disposition"),
         _by_value(cls, CONDITIONAL_TYPES, None).alias("_conditional"), flag("historical").alias("_historical"),
@@ -196,11 +214,20 @@ def classify_rule(df: DataFrame, raw: str, rules: DataFrame, admission_year: str
 # ---- memberships -----------------------------------------------------------------------------------------------------
 
 def fold_crosswalk(xw: DataFrame, code: str = "group_code", order: str = "group_order", prefix: str = "") -> DataFrame:
-    """Long crosswalk to one row per raw value; the set per value is bounded by the taxonomy."""
+    """Long crosswalk to one row per raw value; the set per value is bounded by the taxonomy.
+
+    A value whose entries differ in status, or that is under review, is under review and has no members.
+    """
     member = F.when(~P.is_blank(code), F.struct(F.col(order).cast("int").alias("order"), F.col(code).alias("code")))
+    members = F.sort_array(F.collect_set(member))
     return xw.groupBy(F.col("raw_value").alias(prefix + "raw_value")).agg(
-        F.min("mapping_status").alias(prefix + "mapping_status"), F.min("review_note").alias(prefix + "review_note"),
-        F.sort_array(F.collect_set(member)).alias(prefix + "members"))
+        _agreed("mapping_status").alias(prefix + "mapping_status"), F.min("review_note").alias(prefix + "review_note"),
+        F.when(_agreed("mapping_status") == "review_required", F.slice(members, 1, 0)).otherwise(members).alias(prefix + "members"))
+
+
+def _agreed(status: str) -> Column:
+    """The status that all entries of a group share; under review if they differ."""
+    return F.when(F.min(status) != F.max(status), "review_required").otherwise(F.min(status))
 
 
 EMPTY_MEMBERS = "array<struct<code:string,order:int,basis:string>>"
@@ -247,8 +274,9 @@ def fold_pairs(xw: DataFrame, keys: Mapping[str, Column], broad: DataFrame, sub:
     pair = F.when(group.isNotNull(), F.struct("broad_rank", group.alias("group_code"), "sub_rank", code.alias("subcategory_code"), "parent"))
     return (xw.join(b, group == F.col("_bg"), "left").join(s, code == F.col("_sc"), "left")
             .groupBy(*[c.alias(n) for n, c in keys.items()]).agg(
-                F.min("mapping_status").alias(prefix + "status"), *[F.min(e).alias(prefix + e) for e in extra],
-                F.min("review_note").alias(prefix + "note"), F.collect_set(pair).alias(prefix + "pairs")))
+                _agreed("mapping_status").alias(prefix + "status"), *[F.min(e).alias(prefix + e) for e in extra],
+                F.min("review_note").alias(prefix + "note"),
+                F.when(F.min("mapping_status") != F.max("mapping_status"), F.array().cast(PAIRS)).otherwise(F.collect_set(pair)).alias(prefix + "pairs")))
 
 
 def _resolved(facts: DataFrame, keys: Sequence[str], prefix: str, context: bool) -> DataFrame:
@@ -464,7 +492,9 @@ def audit_layer(records: DataFrame, layer: DataFrame, members: DataFrame, taxono
     """One row of failure counts for a stored layer.
 
     ``records`` has key + raw text, ``layer`` key + raw_value + mapping_status + version, ``members`` key + code +
-    order. Members are judged per record by combined aggregates, never by a window over a record.
+    order. Members are judged per record by combined aggregates, never by a window over a record. With ``parent_of``
+    (the taxonomy's parent column) and ``broad_members`` (key + parent code), every member needs its parent among the
+    record's broad members.
     """
     key = list(key)
     ranked = members.join(taxonomy.select(code, F.col(rank).cast("int").alias("_rank")), code, "left")
@@ -481,7 +511,7 @@ def audit_layer(records: DataFrame, layer: DataFrame, members: DataFrame, taxono
     both = F.col("_rec").isNotNull() & F.col("copies").isNotNull()
     mapped_row = F.col("mapping_status").isin("single", "multi")
     count = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
-    return j.agg(
+    audit = j.agg(
         count(F.col("copies").isNull() & F.col("_rec").isNotNull()).alias("records_without_layer"),
         count(F.col("_rec").isNull()).alias("layer_without_record"),
         count(F.col("copies") > 1).alias("repeated_layer_rows"),
@@ -493,6 +523,13 @@ def audit_layer(records: DataFrame, layer: DataFrame, members: DataFrame, taxono
         count((n > 0) & ~((F.col("lo") == 1) & (F.col("hi") == n) & (F.col("orders") == n))).alias("order_gaps"),
         count((F.col("unknown") == 0) & F.col("misordered")).alias("order_not_by_rank"),
         F.coalesce(F.sum("unknown"), F.lit(0)).alias("unknown_codes"))
+    if parent_of is None or broad_members is None:
+        return audit
+    parents = members.join(taxonomy.select(code, F.col(parent_of).alias("_parent")), code).where("_parent IS NOT NULL")
+    have = broad_members.select(*[F.col(k).alias(f"_b_{k}") for k in key], F.col(broad_members.columns[-1]).alias("_b_code")).distinct()
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_b_{k}") for k in key], F.col("_parent") == F.col("_b_code"))
+    lost = parents.join(have, on, "left_anti").agg(F.count("*").alias("members_without_parent"))
+    return beside(audit, lost)
 
 
 def gate_profile(counts: DataFrame, profile: str, status: str = "value", rows: str = "rows") -> DataFrame:

@@ -179,19 +179,35 @@ def sidecar_report(parent: DataFrame, coverage: DataFrame, child: DataFrame, cov
                           & (F.col("count_mismatches") == 0) & (F.col("orphans") == 0))
 
 
+#: queries per bit set; the sign bit stays free
+MASK_BITS = 62
+
+
 def search_drift(old: DataFrame, new: DataFrame, suite: Sequence[tuple[str, SearchRequest]], key: Sequence[str],
                  group: str = "university") -> DataFrame:
     """Per saved query: matches and groups before and after, keys that entered and left.
 
-    Each row carries the list of queries it matches; one pass per snapshot, no repeat per query.
+    Each row carries one bit per query, so what is shuffled is a row per key and one per group, however many queries
+    match it; labels come back after the combinations of bits have been counted. A query without a match on either
+    side is left out.
     """
-    def hits(df: DataFrame, side: str) -> DataFrame:
-        labels = F.array_compact(F.array(*[F.when(F.coalesce(predicate(r), F.lit(False)), F.lit(n)) for n, r in suite]))
-        return df.select(*key, group, F.explode(labels).alias("label"), F.lit(side == "o").alias("o"), F.lit(side == "n").alias("n"))
-    both = hits(old, "o").unionByName(hits(new, "n"))
-    keys = (both.groupBy("label", *key).agg(F.bool_or("o").alias("o"), F.bool_or("n").alias("n")).groupBy("label").agg(
-        F.count_if("o").alias("old_rows"), F.count_if("n").alias("new_rows"),
-        F.count_if(F.col("n") & ~F.col("o")).alias("added"), F.count_if(F.col("o") & ~F.col("n")).alias("removed")))
-    groups = (both.groupBy("label", group).agg(F.bool_or("o").alias("o"), F.bool_or("n").alias("n")).groupBy("label").agg(
-        F.count_if("o").alias("old_groups"), F.count_if("n").alias("new_groups")))
-    return keys.join(groups, "label")
+    def counted(part: Sequence[tuple[str, SearchRequest]]) -> DataFrame:
+        bits = [(n, 1 << i) for i, (n, _) in enumerate(part)]
+        one = lambda r, b: F.when(F.coalesce(predicate(r), F.lit(False)), F.lit(b)).otherwise(F.lit(0)).cast("bigint")
+        mask = reduce(lambda x, y: x.bitwiseOR(y), [one(r, b) for (_, r), (_, b) in zip(part, bits)])
+        none = F.lit(0).cast("bigint")
+        side = lambda df, o, n: df.select(*key, group, o.alias("o"), n.alias("n")).where((F.col("o") != 0) | (F.col("n") != 0))
+        both = side(old, mask, none).unionByName(side(new, none, mask))
+        label = F.explode(F.array(*[F.struct(F.lit(n).alias("label"), F.lit(b).cast("bigint").alias("bit")) for n, b in bits]))
+
+        def per_label(by: Sequence[str], **sums: Column) -> DataFrame:
+            masks = both.groupBy(*by).agg(F.bit_or("o").alias("o"), F.bit_or("n").alias("n")).groupBy("o", "n").agg(F.count("*").alias("c"))
+            spread = masks.select("o", "n", "c", label.alias("l")).select("l.label", "c", *[
+                (F.col(x).bitwiseAND(F.col("l.bit")) != 0).alias(f"in_{x}") for x in ("o", "n")])
+            return spread.groupBy("label").agg(*[F.coalesce(F.sum(F.when(c, F.col("c"))), F.lit(0)).alias(n) for n, c in sums.items()])
+
+        o, n = F.col("in_o"), F.col("in_n")
+        keys = per_label(key, old_rows=o, new_rows=n, added=n & ~o, removed=o & ~n)
+        return keys.join(per_label([group], old_groups=o, new_groups=n), "label").where("old_rows > 0 OR new_rows > 0")
+
+    return reduce(DataFrame.unionByName, [counted(suite[k:k + MASK_BITS]) for k in range(0, len(suite), MASK_BITS)])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import contract as K
@@ -57,13 +57,12 @@ def detail_pointer(key: Sequence[str], n: int, prefix: str = "details/shard=") -
 
 def detail_documents(df: DataFrame, children: DataFrame, key: Sequence[str], child_on: Sequence[tuple[str, str]],
                      layers: Mapping[str, Sequence[str]], record: Sequence[str], schema_version: str,
-                     max_children: int = 10_000) -> DataFrame:
-    """Nested detail documents: identity, record, one struct per layer, children.
+                     page: int = 10_000) -> DataFrame:
+    """Nested detail documents: identity, record, one struct per layer, one page of children.
 
-    A record with more than ``max_children`` different children yields several documents that share the identity and
-    differ in ``part``.
+    The key of a document is (``key``, ``part``) at any volume; every record has its part 0.
     """
-    nested = V.nest(df, children, child_on, "research_requirements", max_children)
+    nested = V.nest(df, children, child_on, "research_requirements", page)
     return nested.select(
         *key, "part", F.lit(schema_version).alias("schema_version"), F.struct(*key).alias("identity"),
         F.struct(*record).alias("record"), *[F.struct(*cols).alias(name) for name, cols in layers.items()],
@@ -90,11 +89,24 @@ def filter_options(df: DataFrame, fields: Sequence[str], memberships: Mapping[st
     return f
 
 
-def options_document(options: DataFrame, max_values: int = 50_000) -> DataFrame:
-    """One nested value per facet. A facet with more values than ``max_values`` is split into parts by value hash."""
-    sizes = options.groupBy("facet").agg(F.ceil(F.count("*") / max_values).cast("int").alias("parts"))
-    placed = options.join(F.broadcast(sizes), "facet").withColumn(
-        "part", F.pmod(F.xxhash64("value", F.col("value").isNull()), F.col("parts")).cast("int"))
+#: places of a facet's options are counted inside ranges of this many leading characters of the value
+PREFIX = 2
+
+
+def options_document(options: DataFrame, page: int = 50_000) -> DataFrame:
+    """Facets as documents of ``page`` options each, keyed (facet, part) at any volume, in one order over all parts.
+
+    An option's place is the number of options before its range of values plus its place inside the range, so no task
+    orders a facet with many values whole.
+    """
+    ahead = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    range_ = F.struct(F.col("sort_last").alias("a"), F.col("display_order").alias("b"), F.substring("value", 1, PREFIX).alias("c"))
+    ranged = options.withColumn("_range", range_)
+    before = ranged.groupBy("facet", "_range").agg(F.count("*").alias("_n")).select(
+        "facet", "_range", F.coalesce(F.sum("_n").over(ahead(Window.partitionBy("facet").orderBy("_range"))), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("facet", "_range").orderBy("value", "rows")) - 1
+    placed = ranged.withColumn("_in", inside).join(before, ["facet", "_range"]).withColumn(
+        "part", F.floor((F.col("_before") + F.col("_in")) / page).cast("int"))
     entry = F.struct("sort_last", "display_order", "value", "rows")
     return placed.groupBy("facet", "part").agg(F.to_json(F.transform(
         F.sort_array(F.collect_list(entry)), lambda e: F.struct(e["value"].alias("value"), e["rows"].alias("unfiltered_count"))),
@@ -105,7 +117,8 @@ def projection_gate(records: DataFrame, rows: DataFrame, details: DataFrame, chi
                     raw: str, array_col: str, status: str, stored: DataFrame, code: str, child_array: str) -> DataFrame:
     """One row of failure counts over records, search rows, detail documents and the stored membership table.
 
-    Everything is compared per key after folding, so no side is multiplied.
+    Everything is compared per key after folding, so no side is multiplied. The facet over the search rows' arrays has
+    to count every code as often as the stored membership table does.
     """
     key = list(key)
     sig = stored.groupBy(*key).agg(F.sort_array(F.collect_set(code)).alias("_m"))
@@ -119,17 +132,22 @@ def projection_gate(records: DataFrame, rows: DataFrame, details: DataFrame, chi
          .join(sig, key, "left").join(kids, key, "left"))
     m = F.coalesce("_m", F.array().cast("array<string>"))
     n = lambda cond: F.count_if(F.coalesce(cond, F.lit(False)))
-    return j.agg(
+    counted = rows.select(F.explode(array_col).alias("code")).groupBy("code").agg(F.count("*").alias("_facet"))
+    kept = stored.select(*key, F.col(code).alias("code")).distinct().groupBy("code").agg(F.count("*").alias("_stored"))
+    facet = counted.join(kept, "code", "full_outer").agg(
+        F.count_if(~F.col("_facet").eqNullSafe(F.col("_stored"))).alias("facet_count_mismatches"))
+    gate = j.agg(
         n(F.col("_b").isNull() | F.col("_a").isNull()).alias("search_key_mismatches"),
         n(F.col("_c").isNull() | F.col("_a").isNull()).alias("detail_key_mismatches"),
         n(F.col("_a") & F.col("_b") & ~F.col("_raw").eqNullSafe(F.col("_raw_b"))).alias("raw_mismatches"),
         n(F.col("_b") & (m != F.col("_arr"))).alias("membership_mismatches"),
         n(F.col("_c") & (F.coalesce("_kids", F.lit(0)) != F.coalesce("_want", F.lit(0)))).alias("child_mismatches"),
         n(F.col("_status").isin("review_required", "unmapped") & (F.size("_arr") > 0)).alias("review_rows_with_members"))
+    return V.beside(gate, facet)
 
 
 def pointer_gate(rows: DataFrame, details: DataFrame, key: Sequence[str], n: int) -> DataFrame:
-    """Search rows whose pointer finds no detail document in that shard."""
+    """Search rows whose pointer finds no detail document in that shard; any part of a document will do."""
     at = P.shard_of(key, n).alias("_shard")
     return rows.select(*key, at).join(details.select(*key, at), [*key, "_shard"], "left_anti").agg(
         F.count("*").alias("unresolved"))

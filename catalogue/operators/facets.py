@@ -54,7 +54,8 @@ def first_ids(df: DataFrame, value: str, id_: str, n: int, order: Sequence[str],
            .agg(F.sort_array(F.collect_list(F.struct("rn", F.col(id_).alias("id")))).alias("f")))
     counts = (df.groupBy(value, dataset).agg(F.count("*").alias("n")).groupBy(value)
               .agg(F.sum("n").alias("rows"), F.sort_array(F.collect_list(F.struct(F.col(dataset).alias("dataset"), "n"))).alias("by_dataset")))
-    return counts.join(ids.select(value, F.transform("f", lambda x: x["id"]).alias("first_ids")), value)
+    ids = ids.select(F.col(value).alias("_value"), F.transform("f", lambda x: x["id"]).alias("first_ids"))
+    return counts.join(ids, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def threshold_curve(layer: DataFrame, values: Sequence[int], floor: str = "gpa_min_tenths", inclusive: str = "gpa_min_inclusive") -> DataFrame:
@@ -80,7 +81,7 @@ def group_page(df: DataFrame, group: str, order: Sequence[str], page: int = 1, s
     """Rows of one page of groups, groups in order of their first row; ``extra`` rows follow, unknown groups last.
 
     Group positions come from an aggregate over the groups and a top-k; rows stay flat with their group's number, so
-    even a group that owns a third of the rows is never gathered in one place.
+    even a group that owns a third of the rows is never gathered in one place. Rows without a group are a group.
     """
     first = df.groupBy(group).agg(F.min(F.struct(*order)).alias("_at")).withColumn("_src", F.lit(0))
     rows = df.withColumn("provisional", F.lit(False))
@@ -92,4 +93,19 @@ def group_page(df: DataFrame, group: str, order: Sequence[str], page: int = 1, s
     top = first.orderBy("_src", "_at").offset((max(1, page) - 1) * size).limit(size)
     # at most ``size`` rows are numbered here
     numbered = top.withColumn("group_no", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("_src", "_at")).cast("bigint"))
-    return rows.join(F.broadcast(numbered.select(group, "group_no")), group)
+    numbered = F.broadcast(numbered.select(F.col(group).alias("_group"), "group_no"))
+    return rows.join(numbered, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
+
+
+def nested_group_page(paged: DataFrame, group: str, cols: Sequence[str], order: Sequence[str], rows: int = 1000) -> DataFrame:
+    """A page of groups with the rows of each group nested, ``rows`` at most in a slice: (group_no, group, slice, rows, items).
+
+    Slices are dealt by a hash of the row and the group's size, so a large group is never gathered whole; inside a
+    slice rows follow ``order``.
+    """
+    sizes = paged.groupBy("group_no").agg(F.count("*").alias("_n"))  # a page has few groups
+    slices = F.ceil(F.col("_n") / rows)
+    placed = paged.join(F.broadcast(sizes), "group_no").withColumn("slice", F.pmod(F.xxhash64(*cols), slices).cast("int"))
+    entry = F.struct(F.struct(*order).alias("at"), F.struct(*cols).alias("row"))
+    return placed.groupBy("group_no", group, "slice").agg(F.count("*").alias("rows"), F.transform(
+        F.sort_array(F.collect_list(entry)), lambda e: e["row"]).alias("items"))

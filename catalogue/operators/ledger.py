@@ -119,8 +119,10 @@ def registry_issues(registry: DataFrame, queue: DataFrame, urls: Sequence[str] =
         # parse_url fails on text that is no URL at all under ANSI, so the try form is used
         scheme, host = F.try_parse_url(u, F.lit("PROTOCOL")), F.try_parse_url(u, F.lit("HOST"))
         return u.isNotNull() & ~(F.coalesce(F.lower(scheme) == "https", F.lit(False)) & (F.length(F.coalesce(host, F.lit(""))) > 0))
-    q = queue.select(F.col("queue_id").alias("related_update_queue_id"), F.col("university").alias("_qu"),
-                     F.col("action_status").alias("_qa"), F.lit(True).alias("_found"))
+    # a repeated queue id must not repeat findings; it is a finding of its own in the queue's rules
+    q = (queue.groupBy("queue_id").agg(F.min(F.struct("university", "action_status")).alias("_q"))
+         .select(F.col("queue_id").alias("related_update_queue_id"), F.col("_q.university").alias("_qu"),
+                 F.col("_q.action_status").alias("_qa"), F.lit(True).alias("_found")))
     j = registry.join(q, "related_update_queue_id", "left")
     linked = F.col("related_update_queue_id").isNotNull()
     bad = F.col("_found").isNull() | ~F.col("_qu").eqNullSafe(F.col("university")) | F.col("_qa").eqNullSafe(K.ACTION_STATUSES[4])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as P
 from ..functions.skew import join_small_or_keyed
-from .classify import SAFE_FLOORS, layer_counts  # noqa: F401
+from .classify import SAFE_FLOORS, layer_counts, settled  # noqa: F401
 from .rules import Rule, apply_rules  # noqa: F401
 
 # ---- fixed values: decision status -> (tier, class, flags, numeric tokens keep the floor, safe minimum keeps the floor) ----
@@ -32,7 +32,8 @@ def review_packet(new: DataFrame, old: DataFrame, col: str, xw: DataFrame, order
     vals = (new.where(~P.is_blank(col)).groupBy(F.col(col).alias("raw_or_context"))
             .agg(F.count("*").alias("frequency"), F.min_by(F.struct(*cols), order).alias("_r")))
     seen = old.select(F.col(col).alias("raw_or_context"), F.lit(True).alias("_seen")).distinct()
-    listed = xw.select(F.col("raw_value").alias("raw_or_context"), F.col(status).alias("_s"))
+    one = settled(xw, [status])
+    listed = one.select(F.col("raw_value").alias("raw_or_context"), F.when(F.col("conflict"), "review_required").otherwise(F.col(status)).alias("_s"))
     j = vals.join(seen, "raw_or_context", "left").join(listed, "raw_or_context", "left")
     s = F.when(F.col("_s").isNull(), "unmapped").otherwise(F.concat(F.lit("exact_crosswalk_"), F.col("_s")))
     note = F.when(F.col("_s").isNull(), "Needs a human decision; nothing is inferred from the text.").otherwise(
@@ -186,8 +187,9 @@ def decision_memberships(decisions: DataFrame, broad: DataFrame, sub: DataFrame,
 def crosswalk_effect(df: DataFrame, col: str, prev: DataFrame, next_: DataFrame, status: str = "requirement_status") -> DataFrame:
     """Rows per status before and after, classified twice over the value counts instead of over the rows."""
     vals = df.groupBy(F.col(col).alias("raw_value")).agg(F.count("*").alias("n"))
-    a = prev.select("raw_value", F.col(status).alias("_a"))
-    b = next_.select("raw_value", F.col(status).alias("_b"))
+    read = F.when(F.col("conflict"), "review_required").otherwise(F.col(status))
+    a = settled(prev, [status]).select("raw_value", read.alias("_a"))
+    b = settled(next_, [status]).select("raw_value", read.alias("_b"))
     label = lambda c: F.when(F.col("raw_value").isNull(), "unknown").otherwise(F.coalesce(c, F.lit("unmapped")))
     j = vals.join(a, "raw_value", "left").join(b, "raw_value", "left")
     sides = F.array(F.struct(label("_a").alias("status"), F.col("n").alias("before"), F.lit(0).cast("bigint").alias("after")),

@@ -33,23 +33,25 @@ class Rule:
     details: tuple[tuple[str, Column], ...] = ()
     severity: str | None = None
 
-    def struct(self) -> Column:
-        pairs = [x for name, value in self.details for x in (F.lit(name), value.cast("string"))]
-        details = F.create_map(*pairs) if pairs else F.lit(None).cast(DETAILS)
-        return F.when(self.when, F.struct(
-            F.lit(self.code).alias("code"), F.lit(self.severity or K.severity(self.code)).alias("severity"),
-            F.lit(self.message).alias("message"), F.lit(self.field).cast("string").alias("field"),
-            details.alias("details")))
+    def detail_map(self) -> Column:
+        return F.create_map(*[x for name, value in self.details for x in (F.lit(name), value.cast("string"))])
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule], table: str, dataset: Column | str, record_id: Column | str,
                 row: Column | str = ROW) -> DataFrame:
-    """One scan: an array of optional findings per row, exploded."""
-    found = F.array_compact(F.array(*[r.struct() for r in rules]))
-    return (df.select(P.col(dataset).alias("dataset"), P.col(record_id).cast("string").alias("record_id"),
-                      P.col(row).cast("bigint").alias("row_number"), F.explode(found).alias("i"))
-            .select("i.code", "i.severity", "dataset", F.lit(table).alias("table"), "i.message", "record_id",
-                    "i.field", "row_number", "i.details"))
+    """One scan: a row carries the numbers of the rules it breaks; what is said about a rule is added per finding."""
+    rules = list(rules)
+    broken = F.array_compact(F.array(*[F.when(r.when, F.lit(n)) for n, r in enumerate(rules, 1)]).cast("array<int>"))
+    about = F.array(*[F.struct(F.lit(r.code).alias("code"), F.lit(r.severity or K.severity(r.code)).alias("severity"),
+                               F.lit(r.message).alias("message"), F.lit(r.field).cast("string").alias("field")) for r in rules])
+    details = F.lit(None).cast(DETAILS)
+    for n, r in reversed(list(enumerate(rules, 1))):
+        if r.details:
+            details = F.when(F.col("_rule") == n, r.detail_map()).otherwise(details)
+    hits = df.withColumn("_rule", F.explode(broken)).withColumn("_about", F.element_at(about, F.col("_rule")))
+    return hits.select("_about.code", "_about.severity", P.col(dataset).alias("dataset"), F.lit(table).alias("table"), "_about.message",
+                       P.col(record_id).cast("string").alias("record_id"), "_about.field", P.col(row).cast("bigint").alias("row_number"),
+                       details.alias("details"))
 
 
 def issue_rows(df: DataFrame, code: str, message: str, table: str, dataset: str, record_id: Column | str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -38,13 +39,17 @@ PROVISIONAL_TAGS = {
     "private_foreign_student_flag": ("private_foreign_student", "unclassified_international"),
     "adult_selection_flag": ("adult",),
 }
+MAPPING_STATUSES = frozenset(("single", "multi", "review_required", "unmapped", "not_applicable"))
 NO_TAG, UNCLASSIFIED_TAG = "none", "unclassified_international"
 # ---- end of fixed values ----------------------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
 class SearchRequest:
-    """AND across fields, OR within a field. Empty means no filter."""
+    """AND across fields, OR within a field. Empty means no filter; a request that cannot be meant raises ValueError.
+
+    ``exact_fields`` are the columns that ``equals`` may name.
+    """
 
     equals: Mapping[str, Sequence[str]] = field(default_factory=dict)
     flags: Mapping[str, bool] = field(default_factory=dict)
@@ -60,7 +65,8 @@ class SearchRequest:
     deadline_from: str | None = None
     applicant_tenths: int | None = None
     special_flags: Sequence[str] | None = None
-    families: Sequence[str] = ()
+    families: Sequence[str] | None = None
+    exact_fields: Sequence[str] = K.EXACT_FILTER_FIELDS
 
     def __post_init__(self) -> None:
         if self.value_mode not in ("safe", "review", "all"):
@@ -74,6 +80,27 @@ class SearchRequest:
             raise ValueError("this grade status cannot be asked for")
         if self.overall_tenths is not None and self.grade_status != "required":
             raise ValueError("an overall floor needs the grade status 'required'")
+        if self.value_mode != "all" and self.value_tenths is None:
+            raise ValueError(f"mode {self.value_mode} needs a value")
+        if unknown := set(self.equals) - set(self.exact_fields):
+            raise ValueError(f"no exact filter on {sorted(unknown)}")
+        lists = [*self.equals.values(), self.groups, self.mapping_status, self.places, self.families or ()]
+        if any(v is None or not str(v).strip() for values in lists for v in values):
+            raise ValueError("a filter value is empty")
+        if unknown := set(self.mapping_status) - MAPPING_STATUSES:
+            raise ValueError(f"unknown mapping status {sorted(unknown)}")
+        broad = [b for b, _ in self.branches]
+        if len(set(broad)) < len(broad):
+            raise ValueError("a broad field is asked for twice")
+        if self.deadline_from is not None:
+            try:
+                datetime.date.fromisoformat(self.deadline_from)
+            except ValueError:
+                raise ValueError(f"no date: {self.deadline_from}") from None
+            if len(self.deadline_from) != 10:
+                raise ValueError(f"no date: {self.deadline_from}")
+        if self.special_flags is not None and self.families is not None and not self.special_flags and not self.families:
+            raise ValueError("without a flag at least one family has to be chosen")
 
 
 def safe_match(value: int | Column, prefix: str = "gpa_", status: str = "gpa_parse_status") -> Column:
@@ -172,6 +199,33 @@ def project_result(df: DataFrame, req: SearchRequest) -> DataFrame:
     return df.select(*[special.get(c, F.col(c)).alias(c) for c in RESULT_COLUMNS])
 
 
+def project_site_result(df: DataFrame, req: SearchRequest) -> DataFrame:
+    """The same with ``deadline_filter_status`` and ``applicant_grade_status``; NULL where the request does not ask."""
+    nothing = F.lit(None).cast("string")
+    deadline = nothing if req.deadline_from is None else deadline_status(req.deadline_from)
+    applicant = nothing if req.applicant_tenths is None else applicant_status(req.applicant_tenths)
+    marked = df.withColumns({"deadline_filter_status": deadline, "applicant_grade_status": applicant})
+    codes = F.when(F.size("academic_field_groups") > 0, F.array_join("academic_field_groups", ","))
+    special = {"gpa_derived_status": threshold_status(req.value_tenths), "academic_field_groups": codes}
+    return marked.select(*[special.get(c, F.col(c)).alias(c) for c in (*RESULT_COLUMNS, "deadline_filter_status", "applicant_grade_status")])
+
+
+def page_after(df: DataFrame, order: Sequence[str], limit: int, last: Sequence | None = None) -> DataFrame:
+    """The page behind the row with the values ``last`` of ``order``, NULL first: a filter and a bounded top-k.
+
+    However deep the page, no task sees more than ``limit`` rows of each partition; ``order`` has to be a total order.
+    """
+    if last is not None:
+        later, same = F.lit(False), F.lit(True)
+        for c, v in zip(order, last):
+            value = F.col(c)
+            above = value.isNotNull() if v is None else value > F.lit(v)
+            later = later | (same & F.coalesce(above, F.lit(False)))
+            same = same & value.eqNullSafe(F.lit(v))
+        df = df.where(later)
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(limit)
+
+
 def page(df: DataFrame, order: Sequence[str] = SEARCH_ORDER, limit: int | None = None, offset: int = 0,
          collation: str | None = None, blank_nulls: bool = False) -> DataFrame:
     """Total order, NULL first, then offset and limit. ``blank_nulls`` sorts NULL as empty text."""

@@ -20,6 +20,11 @@ def _checked(parsed: Column, raw: str) -> Column:
     return F.when(~P.is_blank(raw) & parsed.isNull(), broken).otherwise(parsed)
 
 
+def _required(parsed: Column, raw: str) -> Column:
+    """The same for the row count of the coverage table, which may not be blank either (years may)."""
+    return F.coalesce(parsed, F.raise_error(F.concat(F.lit(f"cannot adapt {raw}: "), P.text(raw))).cast("int"))
+
+
 def adapt(df: DataFrame, contract: K.TableContract, dataset: Column | str, version: Column | str,
           strict: bool = True) -> DataFrame:
     """Source rows in unified form: tagged, normalised where approved, raw companions kept, contract order.
@@ -45,7 +50,7 @@ def adapt(df: DataFrame, contract: K.TableContract, dataset: Column | str, versi
         elif stem in statuses:
             value = P.null_if_blank(stem)
         elif c in contract.integers:
-            value = gate(P.strict_int(c, "int"), c)
+            value = (_required if strict and c in K.COVERAGE.integers else gate)(P.strict_int(c, "int"), c)
         elif c in contract.booleans:
             value = gate(P.strict_bool(c), c)
         elif c in K.TRISTATE_FIELDS:

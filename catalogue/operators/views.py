@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.skew import BROADCAST_ROWS, is_small
 
 
 def records_view(parent: DataFrame, coverage: DataFrame, child: DataFrame, cov_key: Sequence[str],
@@ -132,27 +131,28 @@ def resolve(saved: DataFrame, current: DataFrame, key: Sequence[str], fields: Se
                     *[F.when(found, F.col(f"_now_{f}")).otherwise(F.col(f)).alias(f) for f in fields])
 
 
-def nest(parent: DataFrame, child: DataFrame, on: Sequence[tuple[str, str]], as_: str, max_children: int = 10_000) -> DataFrame:
-    """Children collected into their parent as an array of structs with ``copies`` for exact duplicates.
+def nest(parent: DataFrame, child: DataFrame, on: Sequence[tuple[str, str]], as_: str, page: int = 10_000) -> DataFrame:
+    """Children collected into pages of their parent: arrays of structs with ``copies`` for exact duplicates.
 
-    A parent with more than ``max_children`` different children comes in several parts (``part`` = 0, 1, ...), each
-    holding another slice of its children, so no array and no task has to hold a hot parent whole.
+    A row is one page of a parent and its key is (parent key, ``part``), whatever the number of children: ``page`` is
+    how many different children a page holds on average, so no array and no task has to hold a hot parent whole. A
+    child's page follows from a hash of the child and the parent's number of pages; part 0 is always there.
     """
     cols = child.columns
     names = [p for _, p in on]
-    # array elements must compare, so a stable text form orders the children
     copies = child.groupBy(*cols).agg(F.count("*").alias("copies"))
     keyed = copies.select(*[F.col(c).alias(p) for c, p in on], F.struct(*cols, "copies").alias("_c"))
     sizes = keyed.groupBy(*names).agg(F.count("*").alias("_n"))
-    big = sizes.where(F.col("_n") > max_children).select(*names, F.ceil(F.col("_n") / max_children).alias("_parts"))
-    # a parent above the limit owns at least max_children rows, so the list of those is short against the children
-    big = F.broadcast(big) if is_small(big, BROADCAST_ROWS) else big
-    placed = (keyed.join(big, names, "left")
-              .withColumn("part", F.coalesce(F.pmod(F.xxhash64(F.to_json("_c")), F.col("_parts")), F.lit(0)).cast("int")))
+    # only parents of several pages; a plain join, which Spark splits at a parent that owns many rows
+    several = sizes.where(F.col("_n") > page).select(*names, F.ceil(F.col("_n") / page).cast("int").alias("_pages"))
+    at = F.coalesce(F.pmod(F.xxhash64(*[F.col(f"_c.{c}") for c in cols]), F.col("_pages")), F.lit(0)).cast("int")
+    placed = keyed.join(several, names, "left").withColumn("part", at)
     lists = placed.groupBy(*names, "part").agg(F.sort_array(F.collect_list("_c")).alias(as_))
+    pages = parent.join(several, names, "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pages"), F.lit(1)) - 1)))
     empty = F.array().cast(lists.schema[as_].dataType)
-    return (parent.join(lists, names, "left").withColumn("part", F.coalesce("part", F.lit(0)))
-            .withColumn(as_, F.coalesce(as_, empty)).select(*parent.columns, "part", as_))
+    return (pages.join(lists, [*names, "part"], "left").withColumn(as_, F.coalesce(as_, empty))
+            .select(*parent.columns, "part", as_))
 
 
 def flag_index(df: DataFrame, key: Sequence[str], flags: Sequence[str]) -> DataFrame:
@@ -175,6 +175,12 @@ def flag_gate(attached: DataFrame) -> DataFrame:
                         F.count_if(F.col("index_rows") > 1).alias("repeated"))
 
 
+def beside(*frames: DataFrame) -> DataFrame:
+    """Frames of one row each as one row, by an aggregate over their union rather than a product."""
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def same_keys(views: Mapping[str, DataFrame], key: Sequence[str]) -> DataFrame:
     """Key multiset of each named view, counted; used to compare two forms of the same result."""
     return reduce(DataFrame.unionByName, [v.select(F.lit(n).alias("view"), *key) for n, v in views.items()]).groupBy(

@@ -86,6 +86,25 @@ def english_sql(body: str) -> str:
 def cls03(spark, sf):
     return english(spark, sf).select("record_id", "requirement_status", "parse_status", "search_disposition", "review_note")
 
+# ---- crosswalks that list a value twice: agreeing entries fold, others go to review ---------------------------------------
+
+def twice(xw: str, status: str, changed: str, cols: str) -> str:
+    """Every entry of ``xw`` twice, the second time with ``changed`` in place of its ``status``."""
+    return f"SELECT {cols} FROM ({xw}) a UNION ALL SELECT {cols.replace(status, changed)} FROM ({xw}) b"
+
+
+ENGLISH_TWICE = twice(B.ENGLISH, "requirement_status", "CASE WHEN length(raw_value) % 3 = 0 THEN 'required' WHEN length(raw_value) % 3 = 1 THEN 'not_required' ELSE requirement_status END AS requirement_status", "raw_value, requirement_status, review_note")
+FOLDED = """SELECT raw_value, CASE WHEN COUNT(DISTINCT requirement_status) > 1 THEN 'review_required' ELSE MIN(requirement_status) END AS requirement_status,
+ CASE WHEN COUNT(DISTINCT requirement_status) > 1 THEN 'crosswalk entries of this value differ' ELSE MIN(review_note) END AS review_note FROM e2 GROUP BY raw_value"""
+
+
+@query("cls03_repeated_entries", B.with_ctes(f", e AS ({FOLDED}), c AS ({ENGLISH_SQL}) SELECT record_id, requirement_status, parse_status, search_disposition, review_note FROM c",
+                                             b3=B.B3, e2=ENGLISH_TWICE))
+def cls03_repeated(spark, sf):
+    df = C.classify(f(spark, sf, B.B3), "english_requirement", f(spark, sf, ENGLISH_TWICE))
+    return df.select("record_id", "requirement_status", "parse_status", "search_disposition", "review_note")
+
+
 
 def grade(spark, sf) -> DataFrame:
     return C.classify_threshold(f(spark, sf, B.B3), "gpa_requirement", f(spark, sf, B.GRADE))
@@ -251,6 +270,19 @@ def cls10(spark, sf):
                          "group_code", "group_order", "rank")
 
 
+NATION_MEMBERS = "SELECT o_orderkey, n_name AS subcategory_code, CAST(1 AS INT) AS sub_order FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"
+REGION_MEMBERS = "SELECT o_orderkey, r_name AS group_code FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey WHERE o_orderkey % 13 <> 0"
+
+
+@query("cls10_parents", B.with_ctes("SELECT CAST(COUNT(*) AS BIGINT) AS members_without_parent FROM m JOIN t USING (subcategory_code) LEFT JOIN b ON m.o_orderkey = b.o_orderkey AND parent_group_code = group_code WHERE group_code IS NULL",
+                                    m=NATION_MEMBERS, b=REGION_MEMBERS, t=B.SUB))
+def cls10_parents(spark, sf):
+    layer = f(spark, sf, "SELECT o_orderkey, o_orderpriority AS raw_value, 'single' AS mapping_status, '0.2' AS contract_version FROM {orders}")
+    audit = C.audit_layer(B.table(spark, sf, "orders"), layer, f(spark, sf, NATION_MEMBERS), f(spark, sf, B.SUB), ["o_orderkey"], "o_orderpriority", "0.2",
+                          "subcategory_code", "sub_order", "rank", "parent_group_code", f(spark, sf, REGION_MEMBERS))
+    return audit.select("members_without_parent")
+
+
 def gate_sql(profile: str) -> str:
     ok = "TRUE" if profile == "candidate" else "COUNT(*) FILTER (mapping_status = 'unmapped') = 0"
     return (f"SELECT '{profile}' AS profile, CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT(*) FILTER (mapping_status = 'unmapped') AS BIGINT) AS unmapped_rows, {ok} AS accepted FROM ({MULTI_SQL}) m")

@@ -126,9 +126,10 @@ def dif07(spark, sf):
                             [("l_orderkey", "o_orderkey")], ["o_orderstatus"])
 
 
+ORDER_FIELDS = ("o_orderstatus", "o_orderpriority")
 DRIFT = [
-    ("status F", SearchRequest(equals={"o_orderstatus": ("F",)}), "o_orderstatus IN ('F')"),
-    ("urgent or high", SearchRequest(equals={"o_orderpriority": ("1-URGENT", "2-HIGH")}), "o_orderpriority IN ('1-URGENT', '2-HIGH')"),
+    ("status F", SearchRequest(equals={"o_orderstatus": ("F",)}, exact_fields=ORDER_FIELDS), "o_orderstatus IN ('F')"),
+    ("urgent or high", SearchRequest(equals={"o_orderpriority": ("1-URGENT", "2-HIGH")}, exact_fields=ORDER_FIELDS), "o_orderpriority IN ('1-URGENT', '2-HIGH')"),
     ("taken over", SearchRequest(flags={"fallback_previous_year": True}), "fallback_previous_year"),
     ("all", SearchRequest(), "TRUE"),
 ]

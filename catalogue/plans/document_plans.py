@@ -66,6 +66,18 @@ def doc02(spark, sf):
         listing("research_requirements", "l_linenumber", "l_returnflag", "l_linestatus", "copies").alias("children"))
 
 
+@query("doc02_pages", B.with_ctes("""
+SELECT o_orderkey, COUNT(l_orderkey) AS children, COALESCE(CAST(SUM(n) AS BIGINT), 0) AS copies, GREATEST(1, CAST(CEIL(COUNT(l_orderkey) / 3.0) AS BIGINT)) AS parts, TRUE AS unique_parts
+FROM p LEFT JOIN (SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, COUNT(*) AS n FROM c GROUP BY ALL) g ON l_orderkey = o_orderkey GROUP BY o_orderkey""", p=B.B2_PARENT, c=LINES))
+def doc02_pages(spark, sf):
+    """Parents below and above one page of children: every child is in one part, and (key, part) is the key."""
+    docs = details(spark, sf, 3)
+    n = F.size("research_requirements")
+    return docs.groupBy("o_orderkey").agg(
+        F.sum(n).cast("bigint").alias("children"), F.coalesce(F.sum(F.aggregate("research_requirements", F.lit(0).cast("bigint"), lambda a, x: a + x["copies"])), F.lit(0)).alias("copies"),
+        F.count("*").alias("parts"), (F.count_distinct("part") == F.count("*")).alias("unique_parts"))
+
+
 @query("doc02_document_text", B.with_ctes("""
 SELECT o_orderkey, '{"o_orderkey":' || CAST(o_orderkey AS VARCHAR) || ',"o_orderstatus":' || COALESCE('"' || o_orderstatus || '"', 'null') || ',"o_custkey":' || CAST(o_custkey AS VARCHAR) || '}' AS document FROM n""", n=B.B4_NEW))
 def doc02_text(spark, sf):
@@ -99,6 +111,13 @@ def doc03_document(spark, sf):
     return D.options_document(options(spark, sf))
 
 
+@query("doc03_options_pages", B.with_ctes(f""", o AS ({OPTION_SQL}), n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY facet ORDER BY sort_last, display_order NULLS FIRST, value NULLS FIRST) - 1 AS place FROM o)
+SELECT facet, CAST(place // 4 AS INT) AS part, '[' || string_agg('{{"value":' || COALESCE('"' || value || '"', 'null') || ',"unfiltered_count":' || CAST(rows AS VARCHAR) || '}}', ',' ORDER BY place) || ']' AS options FROM n GROUP BY facet, place // 4""",
+    b3=B.B3, bt=B.BROAD, st=B.SUB, m=B.ORDER_NATIONS))
+def doc03_pages(spark, sf):
+    return D.options_document(options(spark, sf), page=4)
+
+
 # search rows with defects by key: one raw text changed, one row lost, one membership dropped
 GATE_KEY = ["o_orderkey"]
 
@@ -108,7 +127,8 @@ GATE_KEY = ["o_orderkey"]
 SELECT CAST(COUNT(*) FILTER (o.o_orderkey % 101 = 0) AS BIGINT) AS search_key_mismatches, CAST(COUNT(*) FILTER (o.o_orderkey % 103 = 0) AS BIGINT) AS detail_key_mismatches,
  CAST(COUNT(*) FILTER (o.o_orderkey % 101 <> 0 AND o.o_orderkey % 107 = 0) AS BIGINT) AS raw_mismatches, CAST(COUNT(*) FILTER (o.o_orderkey % 101 <> 0 AND o.o_orderkey % 109 = 0 AND r.n IS NOT NULL) AS BIGINT) AS membership_mismatches,
  CAST(COUNT(*) FILTER (o.o_orderkey % 103 <> 0 AND o.o_orderkey % 113 = 0 AND k.n IS NOT NULL) AS BIGINT) AS child_mismatches,
- CAST(COUNT(*) FILTER (o.o_orderkey % 101 <> 0 AND o.o_orderkey % 127 = 0 AND o.o_orderkey % 109 <> 0 AND r.n IS NOT NULL) AS BIGINT) AS review_rows_with_members
+ CAST(COUNT(*) FILTER (o.o_orderkey % 101 <> 0 AND o.o_orderkey % 127 = 0 AND o.o_orderkey % 109 <> 0 AND r.n IS NOT NULL) AS BIGINT) AS review_rows_with_members,
+ (SELECT CAST(COUNT(*) AS BIGINT) FROM (SELECT r_name, COUNT(DISTINCT o_orderkey) AS want, COUNT(DISTINCT CASE WHEN o_orderkey % 101 <> 0 AND o_orderkey % 109 <> 0 THEN o_orderkey END) AS have FROM s GROUP BY r_name) f WHERE want <> have) AS facet_count_mismatches
 FROM orders o LEFT JOIN r USING (o_orderkey) LEFT JOIN k ON l_orderkey = o.o_orderkey""", s=B.ORDER_REGIONS, c=LINES))
 def doc04(spark, sf):
     orders = B.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")

@@ -91,6 +91,36 @@ def agg10(spark, sf):
 EXTRA = "SELECT 'P' || CAST(s_suppkey AS STRING) AS record_id, CASE WHEN s_suppkey % 2 = 0 THEN 'Customer#' || LPAD(CAST(s_suppkey AS STRING), 9, '0') ELSE 'Aaa' || CAST(s_suppkey AS STRING) END AS university FROM {supplier}"
 
 
+NO_GROUP = """SELECT CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE university END AS university, record_id, source_dataset, o_orderkey FROM ({b3}) b"""
+
+
+@query("agg07_first_ids_no_value", B.with_ctes("""
+SELECT c.university, CAST(SUM(n) AS BIGINT) AS rows, MIN(ids) AS first_ids
+FROM (SELECT university, source_dataset, COUNT(*) AS n FROM s GROUP BY ALL) c JOIN (SELECT university, string_agg(record_id, ',' ORDER BY o_orderkey) AS ids
+ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY university ORDER BY o_orderkey) AS rn FROM s) q WHERE rn <= 5 GROUP BY university) i ON c.university IS NOT DISTINCT FROM i.university GROUP BY c.university""", s=NO_GROUP.replace("{b3}", B.B3)))
+def agg07_no_value(spark, sf):
+    x = A.first_ids(f(spark, sf, NO_GROUP.replace("{b3}", B.B3)), "university", "record_id", 5, ["o_orderkey"], "source_dataset")
+    return x.select("university", "rows", F.array_join("first_ids", ",").alias("first_ids"))
+
+
+@query("agg11_no_group", B.with_ctes("""
+, g AS (SELECT university, MIN(record_id) AS pos FROM s GROUP BY university), p AS (SELECT university, ROW_NUMBER() OVER (ORDER BY pos) AS group_no FROM g ORDER BY pos LIMIT 15)
+SELECT s.university, record_id, FALSE AS provisional, CAST(group_no AS BIGINT) AS group_no FROM s JOIN p ON s.university IS NOT DISTINCT FROM p.university""", s=NO_GROUP.replace("{b3}", B.B3)))
+def agg11_no_group(spark, sf):
+    return A.group_page(f(spark, sf, NO_GROUP.replace("{b3}", B.B3)).select("university", "record_id"), "university", ["record_id"])
+
+
+@query("agg11_nested_page", B.with_ctes("""
+, g AS (SELECT university, MIN(record_id) AS pos FROM s GROUP BY university), p AS (SELECT university, ROW_NUMBER() OVER (ORDER BY pos) AS group_no FROM g ORDER BY pos LIMIT 15)
+SELECT CAST(group_no AS BIGINT) AS group_no, s.university, COUNT(*) AS rows, MIN(record_id) AS first_id, TRUE AS in_order FROM s JOIN p ON s.university IS NOT DISTINCT FROM p.university GROUP BY ALL""", s=NO_GROUP.replace("{b3}", B.B3)))
+def agg11_nested(spark, sf):
+    df = A.group_page(f(spark, sf, NO_GROUP.replace("{b3}", B.B3)).select("university", "record_id"), "university", ["record_id"])
+    nested = A.nested_group_page(df, "university", ["record_id"], ["record_id"], rows=50)
+    ids = F.transform("items", lambda r: r["record_id"])
+    return nested.groupBy("group_no", "university").agg(F.sum("rows").alias("rows"), F.min(F.array_min(ids)).alias("first_id"),
+                                                        F.bool_and(ids == F.array_sort(ids)).alias("in_order"))
+
+
 @query("agg11_group_page", B.with_ctes("""
 , a AS (SELECT university, record_id, FALSE AS provisional FROM s UNION ALL SELECT university, record_id, TRUE FROM e),
 g AS (SELECT university, MIN(CASE WHEN provisional THEN 1 ELSE 0 END) AS src FROM a GROUP BY university),

@@ -132,7 +132,15 @@ def hits(name: str, req: SearchRequest):
 
 b3_hits("sea03_exact_filter", SearchRequest(equals={
     "institution_type": ("国立", "私立"), "selection_name": ("1-URGENT", "3-MEDIUM"), "selection_interview": ("Yes", "Unknown"), "prefecture": ("NATION_1", "NATION_2", "NATION_9"),
-    "research_activity_level_status": ("required", "relevant", "none")}))
+    "research_activity_level_status": ("required", "relevant", "none")}, exact_fields=(*K.EXACT_FILTER_FIELDS, "selection_name")))
+@query("sea11_page_after", B.with_ctes("""
+SELECT university, record_id FROM s, (SELECT university AS u, record_id AS r FROM s ORDER BY u, r LIMIT 1 OFFSET 700) l WHERE (university, record_id) > (u, r) ORDER BY university, record_id LIMIT 50""", s=B.B3))
+def sea11_after(spark, sf):
+    df = f(spark, sf, B.B3).select("university", "record_id")
+    last = df.orderBy("university", "record_id").offset(700).limit(1).first()
+    return S.page_after(df, ["university", "record_id"], 50, last)
+
+
 b3_hits("sea04_boolean_filter", SearchRequest(flags={"stem_flag": False}, equals={"common_test_required": ("No", "Conditional")}))
 hits("sea05_status_filter", SearchRequest(english_status=("required", "not_required"), mapping_status=("single", "multi")))
 MODES = ("safe", "review", "all")

@@ -81,6 +81,18 @@ def src03(spark, sf):
     return R.profile_rows(df, ["record_id"])
 
 
+HEADERS = ['id,status,id,"a,b"', "id,status,priority", 'x,"x",y,y,z']
+
+
+@query("src03_header_profile", """
+SELECT CAST(p AS BIGINT) AS part, CAST(CASE p % 3 WHEN 0 THEN 4 WHEN 1 THEN 3 ELSE 5 END AS BIGINT) AS columns, CASE p % 3 WHEN 0 THEN 'id' WHEN 1 THEN '' ELSE 'x|y' END AS repeated_names
+FROM (SELECT DISTINCT o_orderkey % 6 AS p FROM orders) s""")
+def src03_headers(spark, sf):
+    lines = B.table(spark, sf, "orders").select((F.col("o_orderkey") % 6).alias("part"), F.col("o_orderkey").alias("seq"), F.col("o_orderstatus").alias("line"))
+    path = write_lines(spark, lines, headers(spark, HEADERS * 2))
+    return R.header_profile(spark, path).select(part_of("file").alias("part"), "columns", F.array_join("repeated_names", "|").alias("repeated_names"))
+
+
 @query("src03_profile_bytes", """
 SELECT CAST(COUNT(*) AS BIGINT) AS crlf, CAST(0 AS BIGINT) AS cr, FALSE AS bom, CAST(SUM(strlen(source) + 2) AS BIGINT) AS size_bytes FROM documents""")
 def src03_bytes(spark, sf):
@@ -117,6 +129,21 @@ def src06(spark, sf):
     return R.parse_json(B.table(spark, sf, "events"), "props", "k bigint").select("event_id", "k")
 
 
+@query("src06_corrections_log", """
+SELECT 'C' || CAST(event_id AS VARCHAR) AS correction_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_type END AS dataset, CAST(2 AS INT) AS obsolete, CAST(event_id AS VARCHAR) AS first_obsolete,
+ CASE WHEN event_id % 2 = 0 THEN event_type END AS replacement FROM events""")
+def src06_log(spark, sf):
+    """A log written as JSON lines with optional fields left out, read back by its schema."""
+    e, path = B.table(spark, sf, "events"), B.scratch(spark)
+    k = F.col("event_id").cast("string")
+    unit = F.when(F.col("event_id") % 2 == 0, F.array(F.create_map(F.lit("selection_name"), F.col("event_type"))))
+    e.select(F.concat(F.lit("C"), k).alias("correction_id"), F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("dataset"), F.lit("applied").alias("status"),
+             F.array(k, F.concat(F.lit("old-"), k)).alias("obsolete_record_ids"), unit.alias("replacement_units")).write.json(path)
+    log = R.read_corrections(spark, path)
+    return log.select("correction_id", "dataset", F.size("obsolete_record_ids").alias("obsolete"), F.element_at("obsolete_record_ids", 1).alias("first_obsolete"),
+                      F.try_element_at("replacement_units", F.lit(1))["selection_name"].alias("replacement"))
+
+
 @query("src07_read_shards", """
 SELECT CAST(COUNT(*) AS BIGINT) AS documents, TRUE AS complete, TRUE AS unique_keys, TRUE AS one_build, TRUE AS one_schema_version FROM orders""")
 def src07(spark, sf):

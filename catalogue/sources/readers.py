@@ -18,20 +18,24 @@ ROW = "_row_number"
 def read_contract_csv(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
     """All-text rows of a contract CSV with the logical row number (the header is row 1).
 
-    A header that differs in name or order fails the read. Blank cells and cells missing at the end of a short row are
+    The first record of every file has to be the contract's header to the letter, upper and lower case included;
+    another one fails the read. Blank cells and cells missing at the end of a short row are
     empty strings. Quoted line breaks force one task per file, so large tables should come as many files.
     """
     schema = T.StructType([*contract.text_schema.fields, T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read.schema(schema)
-           .options(header=True, multiLine=True, enforceSchema=False, mode="PERMISSIVE", encoding="UTF-8",
+           .options(header=False, multiLine=True, mode="PERMISSIVE", encoding="UTF-8",
                     columnNameOfCorruptRecord=CORRUPT, columnPruning=False, escape='"')
            .csv(path)
            .select(*[P.text(c).alias(c) for c in contract.columns], CORRUPT,
                    F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at")))
     starts = raw.groupBy("_file").agg(F.min("_at").alias("_start"))
-    return (raw.join(starts, "_file")
-            .withColumn(ROW, F.col("_at") - F.col("_start") + 2)
-            .select(*contract.columns, ROW, CORRUPT, "_file"))
+    numbered = raw.join(starts, "_file").withColumn(ROW, F.col("_at") - F.col("_start") + 1)
+    cells = [F.regexp_replace(c, r"\A\x{FEFF}", "") for c in contract.columns]
+    right = F.concat_ws("\x00", *cells) == F.lit("\x00".join(contract.columns))
+    wrong = F.raise_error(F.concat(F.lit("not the header of the contract: "), F.concat_ws(",", *cells), F.lit(" in "), "_file"))
+    is_row = F.when(F.col(ROW) > 1, True).when(right & F.col(CORRUPT).isNull(), False).otherwise(wrong.cast("boolean"))
+    return numbered.where(is_row).select(*contract.columns, ROW, CORRUPT, "_file")
 
 
 def cell_count(raw: str | Column) -> Column:
@@ -51,14 +55,32 @@ def csv_width_issues(df: DataFrame, contract: TableContract) -> DataFrame:
             .where("expected_count <> actual_count"))
 
 
+def header_cells(line: str | Column) -> Column:
+    """Cells of a header line by the rules of CSV: a quoted name may hold commas and doubled quotes."""
+    cells = F.regexp_extract_all(F.regexp_replace(P.col(line), r"[\r\x{FEFF}]", ""), F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    bare = lambda c: F.replace(F.regexp_replace(c, r'\A"|"\z', ""), F.lit('""'), F.lit('"'))
+    return F.transform(cells, lambda c: F.when(c.startswith('"'), bare(c)).otherwise(c))
+
+
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of every file."""
+    return (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("at"))
+            .where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header")))
+
+
+def header_profile(spark: SparkSession, path: str) -> DataFrame:
+    """Per file: how many columns its header has, and the names it has more than once."""
+    f = file_headers(spark, path).withColumn("names", header_cells("header"))
+    again = F.filter("names", lambda n: F.size(F.filter("names", lambda m: m == n)) > 1)
+    return f.select("file", F.size("names").cast("bigint").alias("columns"), F.array_sort(F.array_distinct(again)).alias("repeated_names"))
+
+
 def header_issues(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
     """Files whose header differs from the contract in number of columns or in names/order."""
-    first = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
-                                          F.col("_metadata.file_block_start").alias("block"),
-                                          F.monotonically_increasing_id().alias("at"))
-             .where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header")))
-    names = F.transform(F.split(F.regexp_replace("header", r"[\r\x{FEFF}]", ""), ","),
-                        lambda n: F.regexp_replace(n, r'\A"|"\z', ""))
+    first = file_headers(spark, path)
+    names = header_cells("header")
     want = F.array(*[F.lit(c) for c in contract.columns])
     checked = first.withColumn("actual", names).withColumn("expected", want)
     codes = F.array_compact(F.array(

@@ -58,13 +58,13 @@ def write_shards(df: DataFrame, key: Sequence[str], path: str, target_bytes: int
     """Write documents as one JSON directory per shard and return the number of shards.
 
     The shard depends on the key alone, so a document is found without an index. ``files_per_shard`` spreads a big
-    shard over several writers.
+    shard over several writers; there are as many writers as files.
     """
     if not shards:
         shards = sharding(df, target_bytes).first()["shards"]
     part = F.pmod(F.xxhash64(*key), F.lit(files_per_shard))
     placed = df.withColumn("shard", P.shard_of(key, shards))
-    (placed.repartition(max(1, min(shards * files_per_shard, 20_000)), "shard", part).sortWithinPartitions("shard", *key)
+    (placed.repartition(max(1, shards * files_per_shard), "shard", part).sortWithinPartitions("shard", *key)
      .write.partitionBy("shard").option("ignoreNullFields", False).json(path))
     return shards
 

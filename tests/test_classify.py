@@ -86,3 +86,34 @@ def test_crosswalk_and_taxonomy_checks_pass_on_good_input(spark):
                                "raw_value string, mapping_status string, group_code string, group_order string, review_note string")
     assert C.check_crosswalk(xw, tax).count() == 0
     assert C.check_taxonomy(tax, "group_code", "display_order").count() == 0
+
+
+def test_conflicting_entries_go_to_review(spark):
+    """A value listed twice neither multiplies records nor is settled by one of two readings."""
+    df = spark.createDataFrame([("1", "same"), ("2", "differs"), ("3", None), ("4", "new")], "record_id string, raw string")
+    label = spark.createDataFrame([("same", "required", "n"), ("same", "required", "n"), ("differs", "required", ""), ("differs", "not_required", "")],
+                                  "raw_value string, requirement_status string, review_note string")
+    got = {r["record_id"]: (r["requirement_status"], r["search_disposition"]) for r in C.classify(df, "raw", label).collect()}
+    assert got == {"1": ("required", "safe_exact"), "2": ("review_required", "review_required"), "3": ("unknown", "not_searchable"), "4": ("unmapped", "review_required")}
+    many = spark.createDataFrame([("same", "multi", "a", "1", ""), ("same", "multi", "b", "2", ""), ("differs", "single", "a", "1", ""),
+                                  ("differs", "review_required", "b", "2", "x")], "raw_value string, mapping_status string, group_code string, group_order string, review_note string")
+    rows = {r["record_id"]: (r["mapping_status"], len(r["memberships"])) for r in C.classify_multi(df, "raw", many).collect()}
+    assert rows == {"1": ("multi", 2), "2": ("review_required", 0), "3": ("not_applicable", 0), "4": ("unmapped", 0)}
+    floors = spark.createDataFrame([("differs", "required", 30, True, "safe_simple_overall", False), ("differs", "required", 35, True, "safe_simple_overall", False)],
+                                   "raw_value string, grade_requirement_status string, overall_gpa_min_tenths int, overall_gpa_min_inclusive boolean, overall_gpa_status string, additional_grade_conditions boolean")
+    row = C.classify_threshold(df, "raw", floors).where("record_id = '2'").collect()
+    assert [(r["grade_requirement_status"], r["overall_gpa_min_tenths"]) for r in row] == [("review_required", None)]
+
+
+def test_required_integers_may_not_be_blank(spark):
+    """The coverage table needs its row count; a blank one is refused rather than adapted to NULL."""
+    cols = [c for c in U.K.source_columns(U.K.COVERAGE)]
+    row = {c: "" for c in cols} | {"institution_type": "x", "university": "u", "checked_on": "2026-01-01"}
+    for value, fails in (("3", False), ("", True), ("x", True)):
+        df = spark.createDataFrame([tuple((row | {"master_rows": value})[c] for c in cols)], ", ".join(f"{c} string" for c in cols))
+        adapted = U.adapt(df, U.K.COVERAGE, "shidai", "v1")
+        if fails:
+            with pytest.raises(Exception, match="cannot adapt master_rows"):
+                adapted.collect()
+        else:
+            assert adapted.first()["master_rows"] == 3

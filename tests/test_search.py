@@ -39,13 +39,13 @@ def test_threshold_modes(spark):
     assert hit(38, "review") == ["1", "3"] and hit(38, "all") == ["1", "2", "3", "4"]
     row = S.summarize(df, SearchRequest(value_tenths=38)).first().asDict()
     assert row == {"total_matched_rows": 4, "safe_match_rows": 1, "safe_no_match_rows": 1, "safe_numeric_rule_rows": 2, "conditional_review_rows": 1, "not_evaluable_rows": 1, "group_count": 1}
-    none = S.summarize(df, SearchRequest(equals={"id": ("x",)})).first()
+    none = S.summarize(df, SearchRequest(equals={"id": ("x",)}, exact_fields=("id",))).first()
     assert (none["total_matched_rows"], none["safe_match_rows"], none["group_count"]) == (0, None, 0)
 
 
 def test_hostile_values_are_literals(spark):
     df = records(spark)
-    assert ids(S.search(df, SearchRequest(equals={"id": ("1' OR '1'='1", "2")}))) == ["2"]
+    assert ids(S.search(df, SearchRequest(equals={"id": ("1' OR '1'='1", "2")}, exact_fields=("id",)))) == ["2"]
 
 
 @pytest.mark.parametrize("bad", [{"value_mode": "x"}, {"value_tenths": 51}, {"english_status": ("unmapped",)}, {"grade_status": "unmapped"}, {"overall_tenths": 30}])
@@ -123,3 +123,25 @@ def test_crosswalk_lookups_are_broadcast_and_scan_is_pruned(spark, sf):
     assert "BroadcastHashJoin" in p and "o_totalprice" not in p
     q = plan(B.table(spark, sf, "orders").where(F.col("o_orderstatus").isin("F")).select("o_orderkey"))
     assert "PushedFilters: [In(o_orderstatus, [F])" in q or "EqualTo(o_orderstatus,F)" in q
+
+
+@pytest.mark.parametrize("bad", [
+    {"value_mode": "safe"}, {"value_mode": "review"}, {"equals": {"id": ("1",)}}, {"equals": {"university": ("",)}}, {"groups": (" ",)},
+    {"mapping_status": ("wrong",)}, {"branches": (("A", ("x",)), ("A", ()))}, {"deadline_from": "tomorrow"}, {"deadline_from": "20260101"},
+    {"deadline_from": "2026-02-30"}, {"special_flags": (), "families": ()}, {"places": (None,)},
+])
+def test_requests_that_cannot_be_meant(bad):
+    with pytest.raises(ValueError):
+        SearchRequest(**bad)
+
+
+def test_pages_by_key_are_pages_by_offset(spark):
+    rows = [(a, b) for a in (None, "x", "y") for b in range(7)]
+    df = spark.createDataFrame(rows, "a string, b int")
+    got, last = [], None
+    while True:
+        page = [tuple(r) for r in S.page_after(df, ["a", "b"], 4, last).collect()]
+        if not page:
+            break
+        got, last = got + page, page[-1]
+    assert got == rows

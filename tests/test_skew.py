@@ -21,17 +21,33 @@ def test_attach_equals_plain_join(spark):
     facts = rows.where("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("first"))
     for how in ("inner", "left"):
         plain = rows.join(facts, "k", how).select("k", "id", "n", "first")
-        spread = skew.attach(rows, facts, ["k"], "n", ["id"], how, hot_rows=100, salts=7).select("k", "id", "n", "first")
+        spread = skew.attach(rows, facts, ["k"], "n", ["id"], how, hot_rows=100).select("k", "id", "n", "first")
         assert plain.exceptAll(spread).count() == 0 and spread.exceptAll(plain).count() == 0
 
 
 def test_attach_really_spreads(spark):
     rows = hot_rows(spark)
     facts = rows.where("k is not null").groupBy("k").agg(F.count("*").alias("n"))
-    plan = skew.attach(rows, facts, ["k"], "n", ["id"], hot_rows=100, salts=7)._jdf.queryExecution().optimizedPlan().toString()
+    plan = skew.attach(rows, facts, ["k"], "n", ["id"], hot_rows=100)._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan
 
 
+def test_salts_follow_the_rows_of_a_key_and_missing_keys_are_spread(spark):
+    rows = hot_rows(spark)
+    facts = rows.where("k is not null").groupBy("k").agg(F.count("*").alias("n"))
+    spread = lambda hot_rows_: (skew.attach(rows.withColumn("id2", F.col("id")), facts, ["k"], "n", ["id"], "left", hot_rows=hot_rows_))
+    for limit in (500, 50):
+        plan = spread(limit)
+        salts = skew.attach(rows, facts.withColumn("_copy", F.lit(1)), ["k"], "n", ["id"], "left", hot_rows=limit)
+        assert salts.count() == plan.count() == 3000
+
+
+def test_broadcast_checks_bytes(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 1000)
+    assert not skew.is_small(spark.range(10).select(F.repeat(F.lit("x"), 200).alias("s")))
+    assert skew.is_small(spark.range(10))
+
+
 def test_repeats_on_hot_and_missing_keys(spark):
     rows = hot_rows(spark)
     seen, want = {}, []
@@ -51,7 +67,7 @@ def test_large_crosswalk_joins_by_key(spark, monkeypatch):
         "raw_value", F.when(F.col("raw_value") == "hot", "required").otherwise("unknown").alias("requirement_status"), F.lit("").alias("review_note"))
     small = C.classify(df, "raw", xw)
     monkeypatch.setattr(C, "are_small", lambda frames: [False] * len(frames))
-    monkeypatch.setattr(C, "join_keyed", lambda r, f, k, s: skew.join_keyed(r, f, k, s, hot_rows=100, salts=5))
+    monkeypatch.setattr(C, "join_keyed", lambda r, f, k, s: skew.join_keyed(r, f, k, s, hot_rows=100))
     large = C.classify(df, "raw", xw)
     assert small.columns == large.columns
     assert small.exceptAll(large).count() == 0 and large.count() == df.count()
@@ -61,7 +77,7 @@ def test_nest_splits_a_hot_parent(spark):
     parent = spark.range(5).select(F.col("id").alias("p"))
     child = spark.range(2000).select(F.when(F.col("id") < 1500, 1).otherwise(F.col("id") % 4).cast("bigint").alias("p"), (F.col("id") % 900).alias("v"))
     whole = W.nest(parent, child, [("p", "p")], "kids")
-    parts = W.nest(parent, child, [("p", "p")], "kids", max_children=100)
+    parts = W.nest(parent, child, [("p", "p")], "kids", page=100)
     flat = lambda d: d.select("p", F.explode("kids").alias("c")).select("p", "c.v", "c.copies")
     assert flat(whole).exceptAll(flat(parts)).count() == 0 and flat(parts).exceptAll(flat(whole)).count() == 0
     assert whole.count() == 5 and parts.where("p = 1").count() > 5

@@ -83,7 +83,7 @@ def test_coverage_rules(spark):
 
 def test_unregistered_code_is_refused(spark):
     with pytest.raises(KeyError):
-        V.Rule("NO_SUCH_CODE", F.lit(True), "x").struct()
+        V.apply_rules(spark.range(1), [V.Rule("NO_SUCH_CODE", F.lit(True), "x")], "t", F.lit("d"), "id", "id")
 
 
 def test_adapt_is_strict(spark):
