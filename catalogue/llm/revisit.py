@@ -44,8 +44,8 @@ def _header(headers: str | Column, name: str) -> Column:
 
 
 def _lowered(headers: Column) -> Column:
-    """Header names in lower case; of names that differ in case only, the first counts."""
-    pairs = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e.key).alias("key"), e.value.alias("value")))
+    """Header names in lower case; of names that differ in case only, the one that sorts first counts."""
+    pairs = F.transform(F.array_sort(F.map_entries(headers)), lambda e: F.struct(F.lower(e.key).alias("key"), e.value.alias("value")))
     first = F.filter(pairs, lambda e, i: F.array_position(F.transform(pairs, lambda p: p.key), e.key) == i + 1)
     return F.map_from_entries(first)
 
