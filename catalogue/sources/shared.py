@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import os
 import tempfile
 import uuid
 
@@ -21,9 +23,30 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_MADE: list[tuple[int, str]] = []
+
+
+def _remove_scratch() -> None:
+    """Removes what this process has put below the shared folder, when it ends."""
+    from pyarrow import fs
+
+    for pid, path in _MADE:
+        if pid == os.getpid():
+            try:
+                store, place = fs.FileSystem.from_uri(path)
+                store.delete_dir(place)
+            except (OSError, ValueError):
+                continue  # never written, or in a store that only Spark reaches
+
+
+atexit.register(_remove_scratch)
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new path below the shared folder; nothing is created yet."""
-    return f"{shared_root(spark)}/run-{uuid.uuid4().hex}"
+    """A new path below the shared folder, removed when this process ends; nothing is created yet."""
+    path = f"{shared_root(spark)}/run-{uuid.uuid4().hex}"
+    _MADE.append((os.getpid(), path))
+    return path
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
