@@ -193,12 +193,13 @@ def write_shards(folder: str, end_id: int, vocabulary: str, per_record: bool = F
     return write
 
 
-def write_records(documents: DataFrame, end_id: int = END_ID, vocabulary: str | None = None) -> DataFrame:
+def write_records(documents: DataFrame, end_id: int = END_ID, vocabulary: str | None = None, folder: str | None = None) -> DataFrame:
     """Encodes every document and writes the shards in ascending doc_id order (null first); returns the manifest.
 
-    Only the texts are shuffled, once; the ids go straight from the encoder to the shard.
+    Only the texts are shuffled, once; the ids go straight from the encoder to the shard. ``folder`` is where the
+    shards go, a path or URI that all executors reach; without it they are scratch of this process.
     """
-    folder = f"{scratch(documents.sparkSession)}/records"
+    folder = folder or f"{scratch(documents.sparkSession)}/records"
     ordered = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return settle(map_batches(ordered, write_shards(folder, end_id, vocabulary or vocabulary_path()), MANIFEST), "manifest")
