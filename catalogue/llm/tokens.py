@@ -17,7 +17,7 @@ from itertools import chain
 
 VOCABULARY = "word_bpe_49k.json"
 #: words and parts of words whose ids a worker keeps; beyond that it starts afresh, so its memory stays bounded
-CACHE_WORDS, CACHE_PARTS = 250_000, 800_000
+CACHE_WORDS, CACHE_PARTS = 250_000, 600_000
 #: texts of so many bytes are looked up together
 BYTES_AT_ONCE = 1 << 21
 
