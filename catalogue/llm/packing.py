@@ -1,11 +1,11 @@
 """Mixture-controlled packing: deficit round-robin over source queues into sequences of fixed length.
 
-Every source has a queue of its documents, cut into chunks. In each round a source earns its share of one window of
-tokens, sends chunks as long as its credit covers them, and carries what is left as deficit into the next round, so
-every window holds the target proportions to within a chunk per source and no source falls behind over any stretch.
-A chunk that ends at token e of its queue is sent in round ceil(e / quantum): the credit a partition starts with is
-known from the queue position alone, and deficits carry over partitions without a pass through one task. The stream of
-rounds is cut into sequences; nothing but the end of the last one is padding.
+Every source has a queue of its documents. In each round a source earns its share of one window of tokens, and its queue
+is cut where the credit ends, so a round is one window with every source at its share to within a token. A fraction of a
+token is carried as deficit into the next round: the first k rounds hold floor(k * quantum) tokens of a source, known from
+the queue position alone, without a pass through one task. The largest source goes first in a round, so what rounding
+leaves of a window is filled from it. The stream of rounds is cut into sequences; nothing but the end of the last one is
+padding.
 
 Since all documents are packed, the target proportions are the sources' shares of all tokens.
 """
@@ -25,6 +25,7 @@ from .tokens import vocabulary_path
 from .workers import map_batches
 
 SEQUENCE = 2048
+#: kept for callers; queues are cut at the end of each round's credit, whatever its value
 CHUNK = 512
 END_ID = 1
 BUCKET_ROWS = 2048
@@ -38,19 +39,24 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 def plan(index: DataFrame, sequence: int = SEQUENCE, chunk: int = CHUNK) -> DataFrame:
     """Pieces of the records of ``index``: which tokens of which record go where in which sequence."""
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())  # one row per source
+    by_size = Window.orderBy(F.col("source_tokens").desc(), F.col("source").asc_nulls_last())  # one row per source
     sources = index.groupBy("source").agg(F.sum("n_tokens").alias("source_tokens"))
-    sources = sources.withColumn("rank", F.row_number().over(by_name).cast("long"))
+    sources = sources.withColumn("rank", F.row_number().over(by_size).cast("long"))
     sources = settle(sources.withColumn("share", F.col("source_tokens") / F.sum("source_tokens").over(Window.partitionBy())), "shares")
     rows = index.join(sources.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     bits = (index.count() // BUCKET_ROWS).bit_length()
     rows = rows.withColumn("_key", shuffle_key(F.col("doc_id"))).withColumn("_bucket", F.shiftright("_key", 60 - bits))
     queued = running_start(rows, ["rank"], "_bucket", ["_key", "doc_id", "shard", "record"], "n_tokens", "at")
 
-    chunks = queued.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_tokens") - 1) / chunk))))
-    chunks = chunks.withColumn("from", F.col("k") * chunk).withColumn("length", F.least(F.lit(chunk), F.col("n_tokens") - F.col("k") * chunk))
-    sent = F.ceil((F.col("at") + F.col("from") + F.col("length")) / (F.col("share") * sequence)).cast("long")
-    chunks = chunks.withColumn("round", sent).withColumn("turn", F.col("at") + F.col("from"))
+    quantum, end, one = F.col("share") * sequence, F.col("at") + F.col("n_tokens"), F.lit(1).cast("long")
+    by_round = F.sequence(F.greatest(one, F.floor(F.col("at") / quantum)), F.ceil(end / quantum) + 1)
+    by_token = F.sequence(F.col("at") + 1, end)  # of a source that earns less than a token a round
+    chunks = queued.withColumn("k", F.explode(F.when(quantum >= 1, by_round).otherwise(by_token)))
+    lo = F.when(quantum >= 1, F.greatest("at", F.floor((F.col("k") - 1) * quantum))).otherwise(F.col("k") - 1)
+    hi = F.when(quantum >= 1, F.least(end, F.floor(F.col("k") * quantum))).otherwise(F.col("k"))
+    chunks = chunks.withColumn("turn", lo).withColumn("length", hi - F.col("turn")).where("length > 0")
+    chunks = chunks.withColumn("from", F.col("turn") - F.col("at"))
+    chunks = chunks.withColumn("round", F.when(quantum >= 1, F.col("k")).otherwise(F.ceil(F.col("k") / quantum)).cast("long"))
     chunks = chunks.select("doc_id", "source", "shard", "record", "n_tokens", "rank", "round", "turn", "from", "length",
                            F.floor(F.col("round") / BUCKET_ROUNDS).alias("_bucket"))
     stream = running_start(chunks, [], "_bucket", ["round", "rank", "turn"], "length", "at")

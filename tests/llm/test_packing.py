@@ -67,3 +67,28 @@ def test_plan_does_not_depend_on_partitions(spark):
     names = ["doc_id", "start", "length", "sequence_id", "offset"]
     first, second = (sorted(tuple(r[n] for n in names) for r in packing.pack(d, 128, 32).collect()) for d in (docs, docs.repartition(5)))
     assert first == second
+
+
+def test_every_window_holds_the_shares(spark):
+    """20 sources of a few percent each and one of less than a token a window."""
+    docs = [(k, f"s{k % 20:02}", 0, k, 50 + k * 7919 % 900) for k in range(1500)] + [(9000, "tiny", 0, 9000, 100)]
+    index = spark.createDataFrame(docs, packing.INDEX).repartition(4)
+    total, windows, covered = defaultdict(int), defaultdict(lambda: defaultdict(int)), defaultdict(list)
+    for _, s, _, _, n in docs:
+        total[s] += n
+    for p in packing.plan(index).collect():
+        windows[p["sequence_id"]][p["source"]] += p["length"]
+        covered[p["doc_id"]].append((p["start"], p["length"]))
+    for doc_id, *_, n in docs:
+        at = 0
+        for start, length in sorted(covered[doc_id]):
+            assert start == at and length > 0
+            at += length
+        assert at == n
+    everything = sum(total.values())
+    largest = max(total, key=total.get)
+    assert total["tiny"] * packing.SEQUENCE < everything
+    for w in range(len(windows) - 1):
+        assert sum(windows[w].values()) == packing.SEQUENCE
+        for s in total:
+            assert abs(windows[w][s] - packing.SEQUENCE * total[s] / everything) < (len(total) if s == largest else 1.001)
