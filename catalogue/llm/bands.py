@@ -2,7 +2,8 @@
 
 Zstandard ratios (bytes before : bytes after) of the whole text and of fixed chunks. Repetitive text compresses far
 better than prose of its length, random or encoded text hardly at all; since a ratio grows with length, each length has
-its own band. A text outside its band, or with too many chunks outside theirs, is rejected.
+its own band. Letters of several bytes compress better without any repetition, so the greatest ratio is that of a text of
+as many letters, scaled by the bytes a letter takes; it rises with the length without steps. A text outside its band, or with too many chunks outside theirs, is rejected.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections import Counter
 from itertools import accumulate
+from math import log2
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,9 @@ CHUNK_BYTES = 2048
 #: (bytes from, least ratio, greatest ratio); prose of the lowest lengths may not compress at all
 BANDS = ((0, 0.0, 3.0), (256, 1.05, 3.0), (512, 1.15, 3.0), (1024, 1.25, 3.2), (2048, 1.35, 3.4), (4096, 1.4, 3.6),
          (16384, 1.4, 4.0), (65536, 1.4, 4.5))
+#: the same prose in letters of b bytes has b ** WIDTH times the ratio (0.6 for two and three bytes)
+WIDTH = 0.6
+CONTINUED = bytes(range(0x80, 0xC0))
 #: a text is rejected if more than this share of its bytes stands in chunks outside their band
 BAD_CHUNK_SHARE = 0.3
 
@@ -36,10 +41,20 @@ def band(n_bytes: int) -> tuple[float, float]:
     return BANDS[bisect_right([b[0] for b in BANDS], n_bytes) - 1][1:]
 
 
+def greatest(n_letters: int, n_bytes: int) -> float:
+    """The greatest ratio of a text: between the lengths of BANDS by the logarithm, times what its letters' width adds."""
+    k = bisect_right([b[0] for b in BANDS], n_letters) - 1
+    limit = BANDS[k][2]
+    if 0 < k < len(BANDS) - 1:
+        (low, _, _), (high, _, above) = BANDS[k:k + 2]
+        limit += (above - limit) * log2(n_letters / low) / log2(high / low)
+    return limit * (n_bytes / n_letters) ** WIDTH if n_letters else limit
+
+
 def in_band(raw: bytes, compressor) -> tuple[float, bool]:
     ratio = len(raw) / len(compressor.compress(raw)) if raw else 0.0
-    low, high = band(len(raw))
-    return ratio, not raw or low <= ratio <= high
+    letters = len(raw) if raw.isascii() else len(raw.translate(None, CONTINUED))
+    return ratio, not raw or band(len(raw))[0] <= ratio <= greatest(letters, len(raw))
 
 
 def repeated_words(words: list[bytes]) -> int:

@@ -58,3 +58,28 @@ def test_bands_reject_repetition_and_noise_and_keep_prose(spark):
     kept = bands.drop_rejected(cluttered(docs))
     assert kept.columns == cluttered(docs).columns and sorted(r["doc_id"] for r in kept.collect()) == list(range(6))
     assert bands.drop_rejected(empty(spark)).count() == 0
+
+
+def in_letters(text, first):
+    """The text with its letters mapped one to one to those from ``first`` on."""
+    return text.translate({ord(c): chr(first + k) for k, c in enumerate("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")})
+
+
+def test_long_technical_texts_are_kept_in_any_script():
+    import zstandard
+    from pydoc_data.topics import topics
+
+    compressor = zstandard.ZstdCompressor(level=bands.LEVEL)
+    manual = "\n".join(topics[k] for k in sorted(topics))
+    for n in (300, 1200, 2400, 5000, 9000, 17000, 34000, 66000, 120000):
+        for text in (manual[:n], in_letters(manual[:n], 0x430), in_letters(manual[:n], 0x905)):
+            assert bands.measure(text.encode(), compressor)[6]
+    repeats = " ".join(f"part {k} of the same old sentence" for k in range(400))
+    for text in (repeats, in_letters(repeats, 0x430), in_letters(repeats, 0x905)):
+        assert not bands.in_band(text.encode(), compressor)[1]
+
+
+def test_limits_rise_without_steps():
+    limits = [bands.greatest(n, n) for n in range(1, 100_000)]
+    assert all(0 <= b - a < 0.01 for a, b in zip(limits, limits[1:])) and bands.greatest(34_000, 34_000) > 4.03
+    assert all(bands.greatest(n, n) >= bands.band(n)[1] for n in range(1, 100_000, 7))
