@@ -32,8 +32,12 @@ CONTAINERS = frozenset("article aside body div footer form header main nav ol se
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>|<[!?/][^>]*>""", re.S)
 #: a tag whose quotes are never closed ends at its first angle bracket
 BROKEN = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
-HINTS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: declarations of a style that take an element out of sight
+UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|$)", re.I)
+#: a name with one of these words tells of the state or layout of something else
+STATE = frozenset("no not non has have with without hide show is js open opened closed collapsed expanded enabled disabled active visible".split())
+WORDS = re.compile(r"[_-]+")
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 #: words in class, id or role that speak against and for content
@@ -77,15 +81,19 @@ def _weight(name: str, attributes: str, in_article: bool) -> float:
     if name == "header" and in_article:
         score = HEADER_IN_ARTICLE
     if attributes:
-        hints = " ".join(a or b or c for a, b, c in HINTS.findall(attributes))
-        if hints:
+        named: dict[str, str] = {}
+        for key, *values in ATTRIBUTE.findall(attributes):
+            named.setdefault(key.lower(), html.unescape("".join(values)))
+        hints = " ".join(t for k in ("class", "id", "role") for t in named.get(k, "").split() if STATE.isdisjoint(WORDS.split(t.lower())))
+        if hints and name not in ("html", "body"):  # those name the page, not a part of it
             if COMMENTS.search(hints):
                 score += W_COMMENTS
             elif AGAINST.search(hints):
                 score += W_AGAINST
             elif FOR.search(hints):
                 score += W_FOR
-        if HIDDEN.search(attributes):
+        if "hidden" in named and named["hidden"].strip().lower() != "until-found" or named.get("aria-hidden", "").strip().lower() == "true" \
+                or UNSEEN.search(named.get("style", "")):
             score += W_HIDDEN
     return score
 

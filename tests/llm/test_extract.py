@@ -69,3 +69,12 @@ def test_long_pages_and_odd_rows(spark):
     assert [t for t, _ in texts[:2]] == ["", ""] and sum(t == WANT for t, _ in texts) == 2
     assert max(texts, key=lambda t: t[1])[0].count("\n") == 19999
     assert extract.extract(frame.limit(0)).count() == 0
+
+
+def test_wrappers_that_only_sound_hidden_or_like_boilerplate():
+    for names in ("class='overflow-hidden'", "class='md:overflow-x-hidden'", "style='overflow:hidden'", "data-state=hidden", "class='no-sidebar has-menu'",
+                  "data-id=sidebar", "data-class='ads'", "title='a hidden gem'", "hidden=until-found", "aria-hidden=false", "data-style='display:none'"):
+        assert extract.main_text(page(f"<div {names}>{ARTICLE}</div>")) == WANT, names
+    assert extract.main_text(page(ARTICLE).replace("<body>", "<body class='no-sidebar menu-open search'>")) == WANT
+    for names in ("hidden", "HIDDEN=''", "aria-hidden='true'", "style='color:red; display : none'", "style='visibility:hidden;'"):
+        assert extract.main_text(page(f"{ARTICLE}<div {names}><p>These words are out of sight for all readers.</p></div>")) == WANT, names
