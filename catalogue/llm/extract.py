@@ -19,7 +19,11 @@ from .workers import map_batches
 
 # fixed values: element names of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe object svg math select canvas audio video".split())
+RAW = frozenset("script style textarea title iframe noscript".split())
+#: elements whose text is no part of the page's, with ordinary elements inside; their closing tag may be missing
+UNREAD = frozenset("template svg select".split())
+FOREIGN = frozenset(("svg", "math"))
+SELF_CLOSED = FOREIGN | {"iframe", "noscript"}
 BLOCK = frozenset("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td "
                   "tfoot th thead tr ul".split())
@@ -105,6 +109,7 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked, number, at = 0, 0, 0
     links = 0  # open <a>
+    unread = 0  # open elements of UNREAD
 
     def flush():
         nonlocal linked
@@ -127,8 +132,9 @@ def blocks(page: str) -> list[Block]:
             lt = len(page)
         if lt > at:
             piece = page[at:lt]
-            parts.append(piece)
-            if links:
+            if not unread:
+                parts.append(piece)
+            if links and not unread:
                 linked += len(piece)
         if lt >= len(page):
             break
@@ -136,7 +142,8 @@ def blocks(page: str) -> list[Block]:
         if tag is None:
             if page[lt + 1:lt + 2].isalpha() or page[lt + 1:lt + 2] in ("/", "!", "?"):
                 break  # a tag cut short by the end of the page
-            parts.append("<")
+            if not unread:
+                parts.append("<")
             at = lt + 1
             continue
         at = tag.end()
@@ -151,25 +158,38 @@ def blocks(page: str) -> list[Block]:
                 while True:
                     e = stack.pop()
                     links -= e.name == "a"
+                    unread -= e.name in UNREAD
                     if e.name == name:
                         break
             continue
-        if name in RAW:
+        if name in SELF_CLOSED and tag.group(3).endswith("/"):
+            continue
+        if name in RAW and not any(e.name in FOREIGN for e in stack):
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            if name in SELF_CLOSED and (not end or re.compile(rf"<{name}\b", re.I).search(page, at, end.start())):
+                continue  # never closed: it ends with its parent
             at = end.end() if end else len(page)
             continue
+        if unread and name in BLOCK:  # a select or svg never closed ends where a block begins
+            k = next((i for i, e in enumerate(stack) if e.name in ("select", "svg")), None)
+            if k is not None and all(e.name not in ("foreignobject", "template") for e in stack[k:]):
+                unread -= sum(e.name in UNREAD for e in stack[k:])
+                links -= sum(e.name == "a" for e in stack[k:])
+                del stack[k:]
         while stack and name in ENDED_BY.get(stack[-1].name, ()):
             stack.pop()
         if name == "p" and any(e.name == "p" for e in stack):  # behind inline elements left open
             k = max(i for i, e in enumerate(stack) if e.name == "p")
             if all(e.name not in BLOCK for e in stack[k + 1:]):
                 links -= sum(e.name == "a" for e in stack[k:])
+                unread -= sum(e.name in UNREAD for e in stack[k:])
                 del stack[k:]
         if name in VOID or tag.group(3).endswith("/") and name not in BLOCK:
             continue
         number += 1
         stack.append(_Open(name, number, _weight(name, tag.group(3), any(e.name in ("article", "main") for e in stack))))
         links += name == "a"
+        unread += name in UNREAD
     flush()
     return out
 

@@ -78,3 +78,19 @@ def test_wrappers_that_only_sound_hidden_or_like_boilerplate():
     assert extract.main_text(page(ARTICLE).replace("<body>", "<body class='no-sidebar menu-open search'>")) == WANT
     for names in ("hidden", "HIDDEN=''", "aria-hidden='true'", "style='color:red; display : none'", "style='visibility:hidden;'"):
         assert extract.main_text(page(f"{ARTICLE}<div {names}><p>These words are out of sight for all readers.</p></div>")) == WANT, names
+
+
+def test_embedded_elements_drop_no_text_of_the_article():
+    first, second = "<article><p>First paragraph of some words.</p>", "<p>Second one, with more words in it.</p></article>"
+    want = "First paragraph of some words.\nSecond one, with more words in it."
+    for e in ("<svg viewBox='0 0 1 1'/>", "<math/>", "<iframe src=x />", "<iframe src=x>", "<object data=x>", "<object data=x />", "<canvas/>", "<audio src=x>", "<video src=x>",
+              "<select>", "<select><option>One<option>Two</select>", "<svg><title>Icon</title><style>a{}</style><text>no</text></svg>", "<template><p>Later.</p></template>",
+              "<div><svg><g></div>", "<div><select><option>One</div>", "<script>var a = '<p>no</p>';</script>"):
+        assert extract.main_text(page(first + e + second)) == want, e
+    assert extract.main_text(page(first + "<p>The sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is a formula.</p>" + second)) == want.replace("\n", "\nThe sum a+b is a formula.\n")
+    assert extract.main_text(page(first + "<svg/>" + second + "<svg><path d=x /></svg>")) == want
+    assert extract.main_text(page(first + "<svg><path d=x>" + second)) == want
+    for e in ("<iframe src=x />", "<iframe src=x>"):
+        assert extract.main_text(page(first + e + second + "<iframe src=y>no</iframe>")) == want
+    for e in ("object", "video", "audio", "canvas"):
+        assert "Words shown in its place." in extract.main_text(page(f"{first}<{e}><p>Words shown in its place.</p></{e}>{second}"))
