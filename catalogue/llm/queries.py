@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bands, blocks, extract, langid, mixing, packing, records, revisit, simhash, toxicity
+from . import bands, blocks, extract, langid, lines, manifest, mixing, packing, records, revisit, simhash, toxicity, variants
+from .sql import LINES_SQL, MANIFEST_SQL, VARIANTS_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,6 +166,25 @@ def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.exact_duplicates(_read(spark, sf_dir, "documents"))
 
 
+@_query("op11_subtree_exchange", MANIFEST_SQL)
+def op11_subtree_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    # a row without text has nothing to lose and is checked as it is
+    without_breaks = F.when(tampered, F.replace("text", F.lit("\n"), F.lit("")))
+    return manifest.manifest(_read(spark, sf_dir, "documents"), without_breaks)
+
+
+@_query("op12_line_dedup", LINES_SQL)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = lines.drop_repeated_lines(_read(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@_query("op13_permuterm", VARIANTS_SQL)
+def op13_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_read(spark, sf_dir, "documents"))
+
+
 @_query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

@@ -5,18 +5,23 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def map_batches(df: DataFrame, fn, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package on the workers' path, so that what a worker keeps lasts over its tasks.
+def with_package(spark: SparkSession) -> None:
+    """Puts this package on the workers' path, so that what a worker keeps lasts over its tasks.
 
     Executors that do not see this folder get the package the usual way (``--py-files``).
     """
-    env = df.sparkSession.sparkContext.environment
+    env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+
+
+def map_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package on the workers' path."""
+    with_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
