@@ -178,9 +178,8 @@ def prove(leaf_rows: DataFrame, fan: int = FAN, levels: int = LEVELS) -> DataFra
     sources = ordered.groupBy("source").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     sources = settle(numbered(sources, ["source"], "tree", "sources"), "sources")
     many = sources.count()
-    empty = spark.createDataFrame([], f"{PROOFS}, root string")
     if not many:
-        return empty.select(F.col("doc_id").cast("long").alias("doc_id"), "leaf", "subroot", "root", "lefts", "rights", "claimed", "folded_root")
+        return spark.createDataFrame([], f"{PROOFS}, root string").select(F.col("doc_id").cast("long").alias("doc_id"), "leaf", "subroot", "root", "lefts", "rights", "claimed", "folded_root")
     own = sources.select(F.col("source").alias("_s"), "_first", "tree", _depth(F.col("_n"), fan).alias("depth"))
     placed = ordered.join(own, F.col("source").eqNullSafe(F.col("_s")))
     low = settle(placed.select("tree", (F.col("_at") - F.col("_first")).alias("at"), F.lower(F.hex("leaf")).alias("node"), "depth",
