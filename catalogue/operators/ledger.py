@@ -1,4 +1,4 @@
-"""Ledger maintenance, operations checks and publication of provisional records."""
+"""Ledger maintenance, operations checks and publication of provisional records. The corrections log is in ``corrections``."""
 
 from __future__ import annotations
 
@@ -17,14 +17,6 @@ def upsert(base: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame
     return base.join(updates.select(*key), list(key), "left_anti").select(*updates.columns).unionByName(updates)
 
 
-def apply_corrections(df: DataFrame, log: DataFrame, key: str = "record_id") -> DataFrame:
-    """Retire obsolete ids and add replacement units; a unit's missing columns are blank."""
-    gone = log.select(F.explode("obsolete_record_ids").alias(key)).distinct()
-    units = log.select(F.explode("replacement_units").alias("u"))
-    fresh = units.select(*[F.element_at("u", F.lit(c)).cast(df.schema[c].dataType).alias(c) for c in df.columns])
-    return df.join(gone, key, "left_anti").select(*df.columns).unionByName(fresh)
-
-
 def batch_guard(before: DataFrame, after: DataFrame, key: str, expected_delta: int, expected: Mapping[str, tuple[Column, int]]) -> DataFrame:
     """One row per expectation: row delta, unique ids, and named conditional counts after the change."""
     b = before.agg(F.count("*").alias("nb")).withColumn("_one", F.lit(1))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import contract as K
+from ..operators import corrections as C
 from ..operators import ledger as L
 from ..operators import views as V
 from . import bindings as B
@@ -36,7 +37,78 @@ def ops02(spark, sf):
     log = f(spark, sf, RETIRED).select(
         F.array("record_id").alias("obsolete_record_ids"),
         F.array(unit("-A"), unit("-B", F.lit("selection_name"), F.lit("second"))).alias("replacement_units"))
-    return L.apply_corrections(f(spark, sf, RECORDS), log)
+    return C.apply_corrections(f(spark, sf, RECORDS), log)
+
+
+# A log over the same orders, one entry a line: every 5th order is replaced by two units; of these every third has its first
+# unit replaced again and of those every second once more; some entries wait; some are written twice, with other units the
+# second time; every 4th of the second units comes back under the record's own id, and some of those are retired for good
+def step(seq: int, entry: str, gone: str, unit: str, more: str, name: str, having: str, status: str = "'applied'") -> str:
+    return (f"SELECT o_orderkey * 16 + {seq} AS seq, {entry} || CAST(o_orderkey AS STRING) AS correction_id, {status} AS status, {gone} AS obsolete, "
+            f"{unit} AS unit, {more} AS more, {name} AS name FROM {{orders}} WHERE o_orderkey % 5 = 0 AND {having}")
+
+
+def id_(prefix: str, suffix: str = "") -> str:
+    return f"'{prefix}' || CAST(o_orderkey AS STRING)" + (f" || '{suffix}'" if suffix else "")
+
+
+NO_ID = "CAST(NULL AS STRING)"
+LOG = " UNION ALL ".join((
+    step(1, "'C'", id_(""), id_("U", "-1"), id_("V", "-1"), "'first'", "TRUE"),
+    step(2, "'D'", id_("U", "-1"), id_("U", "-2"), NO_ID, "'second'", "o_orderkey % 3 = 0", "CASE WHEN o_orderkey % 7 = 0 THEN 'waiting' ELSE 'applied_partial_pending_detail' END"),
+    step(3, "'E'", id_("U", "-2"), id_("U", "-3"), id_("W", "-3"), "'third'", "o_orderkey % 6 = 0"),
+    step(4, "'F'", id_("W", "-3"), NO_ID, NO_ID, "'gone'", "o_orderkey % 18 = 0"),
+    step(5, "'G'", id_("V", "-1"), id_(""), NO_ID, "'again'", "o_orderkey % 4 = 0"),
+    step(6, "'H'", id_(""), NO_ID, NO_ID, "'for good'", "o_orderkey % 8 = 0"),
+    # the first entry once more: it keeps its place, its second unit is another one
+    step(7, "'C'", id_(""), id_("U", "-1"), id_("X", "-1"), "'corrected'", "o_orderkey % 9 = 0"),
+))
+LOG_CTES = """
+, c AS (SELECT correction_id, MIN(seq) AS seq, arg_max(status, seq) AS status, arg_max(obsolete, seq) AS obsolete, arg_max(unit, seq) AS unit, arg_max(COALESCE(more, ''), seq) AS more, arg_max(name, seq) AS name FROM g GROUP BY correction_id)
+, k AS (SELECT * FROM c WHERE status LIKE 'applied%')
+, ev AS (SELECT obsolete AS record_id, seq, 0 AS adds, NULL AS name, correction_id FROM k UNION ALL SELECT unit, seq, 1, name, correction_id FROM k WHERE unit IS NOT NULL UNION ALL SELECT more, seq, 1, name || ' too', correction_id FROM k WHERE more <> '')
+, fin AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY record_id ORDER BY seq DESC, adds DESC) AS rn FROM ev) q WHERE rn = 1)
+"""
+APPLIED_SQL = """SELECT record_id, slot_type, selection_name FROM r WHERE record_id NOT IN (SELECT record_id FROM fin) UNION ALL SELECT record_id, 'new', name FROM fin WHERE adds = 1"""
+
+
+def corrections_log(spark, sf):
+    """The log in the shape that ``read_corrections`` gives."""
+    unit = lambda c, name: F.when(F.col(c).isNotNull(), F.create_map(F.lit("record_id"), F.col(c), F.lit("slot_type"), F.lit("new"), F.lit("selection_name"), name))
+    units = F.array_compact(F.array(unit("unit", F.col("name")), unit("more", F.concat("name", F.lit(" too")))))
+    return f(spark, sf, LOG).select("seq", "correction_id", "status", F.array_compact(F.array("obsolete")).alias("obsolete_record_ids"), units.alias("replacement_units"))
+
+
+@query("ops02_chains", B.with_ctes(LOG_CTES + APPLIED_SQL, r=RECORDS, g=LOG))
+def ops02_chains(spark, sf):
+    return C.apply_corrections(f(spark, sf, RECORDS), corrections_log(spark, sf))
+
+
+@query("ops02_rerun", B.with_ctes(LOG_CTES + APPLIED_SQL, r=RECORDS, g=LOG))
+def ops02_rerun(spark, sf):
+    log = corrections_log(spark, sf)
+    return C.apply_corrections(C.apply_corrections(f(spark, sf, RECORDS), log), log)
+
+
+# every retirement with the ids that stand for it in the end, one link at a time
+@query("ops02_lineage", "WITH RECURSIVE " + B.with_ctes(LOG_CTES + """
+, lk AS (SELECT a.record_id, a.seq, b.record_id AS to_id, (SELECT MIN(n.seq) FROM ev n WHERE n.record_id = b.record_id AND n.adds = 0 AND n.seq > b.seq) AS until
+  FROM ev a LEFT JOIN ev b ON a.correction_id = b.correction_id AND b.adds = 1 WHERE a.adds = 0)
+, ch AS (SELECT record_id, seq, to_id, until, CASE WHEN to_id IS NULL THEN 0 ELSE 1 END AS links FROM lk
+  UNION ALL SELECT ch.record_id, ch.seq, lk.to_id, lk.until, ch.links + CASE WHEN lk.to_id IS NULL THEN 0 ELSE 1 END FROM ch JOIN lk ON ch.to_id = lk.record_id AND ch.until = lk.seq)
+, en AS (SELECT record_id, seq, to_id, MIN(links) AS links FROM ch WHERE until IS NULL GROUP BY ALL)
+SELECT record_id, seq AS retired_at, to_id AS current_id, links FROM en WHERE to_id IS NOT NULL
+ OR NOT EXISTS (SELECT 1 FROM en o WHERE o.record_id = en.record_id AND o.seq = en.seq AND o.to_id IS NOT NULL)""", g=LOG).removeprefix("WITH "))
+def ops02_lineage(spark, sf):
+    return C.lineage(corrections_log(spark, sf))
+
+
+@query("ops02_log_issues", B.with_ctes(LOG_CTES + """
+, st AS (SELECT *, LAG(adds) OVER (PARTITION BY record_id ORDER BY seq, adds) AS was FROM ev)
+, al AS (SELECT *, COALESCE(was = 1, record_id IN (SELECT record_id FROM r)) AS there FROM st)
+SELECT correction_id, record_id, CASE WHEN adds = 0 THEN 'retired_but_absent' ELSE 'added_over_living' END AS issue FROM al WHERE (adds = 0 AND NOT there) OR (adds = 1 AND there)""", r=RECORDS, g=LOG))
+def ops02_log_issues(spark, sf):
+    return C.log_issues(f(spark, sf, RECORDS), corrections_log(spark, sf))
 
 
 @query("ops03_batch_guard", B.with_ctes("""
