@@ -16,12 +16,19 @@ from ..sources.shared import settle
 _NTH = (1 << 33) - 1
 
 
-def sorted_parts(df: DataFrame, order: Sequence[str | Column], label: str = "sorted") -> DataFrame:
-    """``df`` written in the order of ``order``, with ``_part`` (range partition) and ``_nth`` (place in it, from 0)."""
+def placed(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``order``, with ``_part`` (range) and ``_nth`` (place in it, from 0).
+
+    A plan, not a table: write it before it is read twice.
+    """
     order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    written = settle(ranged.withColumn("_id", F.monotonically_increasing_id()), label)
-    return written.withColumn("_part", F.shiftright("_id", 33)).withColumn("_nth", F.col("_id").bitwiseAND(_NTH)).drop("_id")
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    return ranged.withColumn("_part", F.shiftright("_id", 33)).withColumn("_nth", F.col("_id").bitwiseAND(_NTH)).drop("_id")
+
+
+def sorted_parts(df: DataFrame, order: Sequence[str | Column], label: str = "sorted") -> DataFrame:
+    """``placed`` as a written table."""
+    return settle(placed(df, order), label)
 
 
 def part_starts(parts: DataFrame) -> DataFrame:

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import contract as K
+from ..operators import equivalence as E
+from ..operators import ranked as R
 from ..operators import search as S
+from ..operators import textindex as T
 from ..operators import views as V
 from ..operators.search import SearchRequest
 from . import bindings as B
@@ -251,6 +254,45 @@ def sea17(spark, sf):
     return S.page(B.table(spark, sf, "customer"), ["c_name", "c_custkey"], 30, 20, collation="ja").select("c_name", "c_custkey")
 
 
+_BUILT: dict[tuple, tuple] = {}
+
+
+def built(spark, sf, name: str, build):
+    """A stored table of this session: written when first asked for, opened from then on."""
+    key = (id(spark), sf, name)
+    owner, made = _BUILT.get(key, (None, None))
+    if owner is not spark:
+        made = build(f"{B.scratch(spark)}/{name}")
+        _BUILT[key] = (spark, made)
+    return made
+
+
+RANKED = ("record_id", "university", "faculty_school", "department")
+
+
+def deep(total: int) -> int:
+    return total * 2 // 3
+
+
+def page_sql(order: str) -> str:
+    return (f"SELECT record_id, university, faculty_school, department, CAST(n * 2 // 3 + ROW_NUMBER() OVER () - 1 AS BIGINT) AS rank FROM "
+            f"(SELECT *, (SELECT COUNT(*) FROM s) AS n FROM s ORDER BY {order} LIMIT 40 OFFSET (SELECT COUNT(*) * 2 // 3 FROM s)) q")
+
+
+@query("sea11_by_rank", B.with_ctes(page_sql(ORDER_SQL), s=B.B3))
+def sea11_rank(spark, sf):
+    """A page two thirds down the order, from the stored ranks."""
+    table = built(spark, sf, "ranked", lambda path: R.build_ranked(f(spark, sf, B.B3), path))
+    return table.page(deep(table.rows), 40).select(*RANKED, "rank")
+
+
+# names of one alphabet in one case sort alike by the collation and by their bytes
+@query("sea17_by_rank", B.with_ctes(page_sql("university, record_id"), s=B.B3))
+def sea17_rank(spark, sf):
+    table = built(spark, sf, "collated", lambda path: R.build_ranked(f(spark, sf, B.B3), path, ("university", "record_id"), collation="ja"))
+    return table.page(deep(table.rows), 40).select(*RANKED, "rank")
+
+
 DISCOVER = SearchRequest(equals={"institution_type": ("国立",)}, families=("recommendation", "comprehensive"))
 DISCOVER_FLAG = SearchRequest(special_flags=("private_foreign_student_flag", "returnee_flag"), grade_status="required")
 KEPT = ("NOT EXISTS (SELECT 1 FROM c WHERE c.university = p.university AND c.selection_name = p.selection_name AND (p.faculty_school IS NULL OR c.faculty_school = p.faculty_school))")
@@ -280,6 +322,35 @@ def sea19_trigrams(spark, sf):
     return S.trigram_search(docs, S.build_trigrams(docs, "doc_id", ["text", "source"]), "doc_id", ["text", "source"], PHRASE).select("doc_id")
 
 
+# phrases of every kind: in many texts, in few, in one word, over a space, shorter than a trigram, in none
+PHRASES = ("icens", "the ", "al", "e lic", "qzx", "ersion 2", "doc", "übe")
+PHRASE_ROWS = ", ".join(f"('{p}')" for p in PHRASES)
+RECORD_PHRASES = ("#000000123", "HOUSEHOLD", "1-URG", "G17", "F2", "nothing like it", "D4")
+RECORD_ROWS = ", ".join(f"('{p}')" for p in RECORD_PHRASES)
+
+
+#: directories of a stored index; small tables need few
+DIRS = 8
+
+
+def text_index(spark, sf) -> T.TextIndex:
+    return built(spark, sf, "text-index", lambda path: T.build_index(B.table(spark, sf, "documents"), "doc_id", ["text", "source", "lang"], path, DIRS, DIRS))
+
+
+@query("sea19_text_index", f"""
+SELECT phrase, doc_id FROM documents, (VALUES {PHRASE_ROWS}) p(phrase) WHERE contains(text, phrase) OR contains(source, phrase) OR contains(lang, phrase)""")
+def sea19_index(spark, sf):
+    return text_index(spark, sf).find(PHRASES)
+
+
+@query("sea19_record_index", B.with_ctes(f"""
+SELECT phrase, o_orderkey FROM b1, (VALUES {RECORD_ROWS}) p(phrase) WHERE {" OR ".join(f"contains({c}, phrase)" for c in K.TEXT_FIELDS)}""", b1=B.B1.replace(" AS _row_number", " AS o_orderkey, o_orderkey AS _row_number", 1)))
+def sea19_records(spark, sf):
+    """All 20 text fields of the records."""
+    records = f(spark, sf, B.B1).withColumnRenamed("_row_number", "o_orderkey")
+    return built(spark, sf, "record-index", lambda path: T.build_index(records, "o_orderkey", K.TEXT_FIELDS, path, DIRS, DIRS)).find(RECORD_PHRASES)
+
+
 @query("sea20_suggest", "SELECT DISTINCT c_name FROM customer WHERE contains(lower(c_name), '#00000012') ORDER BY c_name LIMIT 8")
 def sea20(spark, sf):
     return S.suggest(B.table(spark, sf, "customer"), "c_name", "#00000012", 8)
@@ -344,6 +415,48 @@ def sea22(spark, sf):
     return S.compare_results(joined, arrays(spark, sf).where(V.branch_predicate(BRANCHES, "regions", "nations")), ["o_orderkey"])
 
 
+# the stored membership tables lack the members of every 50th record, and give every 77th one place too many
+LISTS = {"groups": "academic_field_groups", "places": "prefecture_memberships", "broad": "broad_codes", "sub": "subcategory_codes"}
+LOST = ", ".join(f"CASE WHEN o_orderkey % 50 = 0 THEN [] {'WHEN o_orderkey % 77 = 0 THEN list_append(' + c + ', ' + repr('AMERICA') + ') ' if k == 'places' else ''}ELSE {c} END AS {c}" for k, c in LISTS.items())
+
+
+def member_tables(records: DataFrame) -> dict[str, DataFrame]:
+    kept = records.where("o_orderkey % 50 <> 0")
+    tables = {k: kept.select("record_id", F.explode(c).alias("code")) for k, c in LISTS.items()}
+    extra = records.where("o_orderkey % 77 = 0 AND o_orderkey % 50 <> 0").select("record_id", F.lit("AMERICA").alias("code"))
+    return {**tables, "places": tables["places"].unionByName(extra)}
+
+
+def both_sql(body: str) -> str:
+    lines = lambda src: " UNION ALL ".join(
+        f"SELECT '{label}' AS label, {'TRUE' if r.value_tenths is not None else 'FALSE'} AS valued, record_id, university, gpa_parse_status AS st, "
+        f"{'COALESCE(' + safe_sql(r.value_tenths) + ', FALSE)' if r.value_tenths is not None else 'FALSE'} AS safe FROM {src} WHERE {where(r)}" for label, r in SUITE)
+    names = ", ".join(f"('{label}', {'TRUE' if r.value_tenths is not None else 'FALSE'})" for label, r in SUITE)
+    return search_sql(f", sm AS MATERIALIZED (SELECT * FROM s), s2 AS MATERIALIZED (SELECT * REPLACE ({LOST}) FROM sm), nm(label, valued) AS (VALUES {names}), "
+                      f"a AS ({lines('sm')}), b AS ({lines('s2')}), o AS (SELECT label, record_id, a.safe IS NULL AS lost FROM a FULL JOIN b USING (label, record_id) WHERE a.safe IS NULL OR b.safe IS NULL) {body}")
+
+
+SIDE = ("CAST(COUNT(label) AS BIGINT) AS n, CAST(COUNT(*) FILTER (safe) AS BIGINT) AS safe, CAST(COUNT(*) FILTER (st = 'parsed_safe' AND NOT safe) AS BIGINT) AS miss, "
+        "CAST(COUNT(*) FILTER (st = 'parsed_safe') AS BIGINT) AS rule, CAST(COUNT(*) FILTER (st = 'conditional_review') AS BIGINT) AS review, CAST(COUNT(DISTINCT university) AS BIGINT) AS groups")
+
+
+@query("sea22_suite", both_sql(f""", x AS (SELECT nm.label, {SIDE.replace('COUNT(label)', 'COUNT(a.label)')} FROM nm LEFT JOIN a USING (label) GROUP BY nm.label)
+, y AS (SELECT nm.label, {SIDE.replace('COUNT(label)', 'COUNT(b.label)')} FROM nm LEFT JOIN b USING (label) GROUP BY nm.label)
+SELECT label, x.n AS rows_a, y.n AS rows_b, label NOT IN (SELECT label FROM o) AS same_keys, x = y AS same_summary,
+ CASE WHEN valued THEN x.safe END AS safe_match_rows, CASE WHEN valued THEN x.miss END AS safe_no_match_rows, x.rule AS safe_numeric_rule_rows, x.review AS conditional_review_rows,
+ x.n - x.rule - x.review AS not_evaluable_rows, x.groups AS group_count FROM nm JOIN x USING (label) JOIN y USING (label)"""))
+def sea22_suite(spark, sf):
+    """All saved queries in both forms; the planted rows make those differ that ask for members."""
+    records = B.catalogue(spark, sf)
+    return E.suite_equivalence(records, member_tables(records), ["record_id"], SUITE)
+
+
+@query("sea22_differences", both_sql("SELECT label, record_id, CASE WHEN lost THEN 'join' ELSE 'array' END AS side FROM o"))
+def sea22_differences(spark, sf):
+    records = B.catalogue(spark, sf)
+    return E.suite_differences(records, member_tables(records), ["record_id"], SUITE)
+
+
 EXAMPLE = {"o_orderstatus": "F", "o_orderpriority": "2-HIGH", "fallback_previous_year": False}
 NULL_EXAMPLE = {"o_orderstatus": None, "o_orderpriority": "1-URGENT"}
 
