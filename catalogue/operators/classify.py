@@ -225,9 +225,14 @@ def fold_crosswalk(xw: DataFrame, code: str = "group_code", order: str = "group_
         F.when(_agreed("mapping_status") == "review_required", F.slice(members, 1, 0)).otherwise(members).alias(prefix + "members"))
 
 
+def _differ(status: str) -> Column:
+    """Whether the entries of a group have no one status: two, or none in one of them."""
+    return (F.count(status) < F.count(F.lit(1))) | F.coalesce(F.min(status) != F.max(status), F.lit(False))
+
+
 def _agreed(status: str) -> Column:
-    """The status that all entries of a group share; under review if they differ."""
-    return F.when(F.min(status) != F.max(status), "review_required").otherwise(F.min(status))
+    """The status that all entries of a group share; under review if they differ or one has none."""
+    return F.when(_differ(status), "review_required").otherwise(F.min(status))
 
 
 EMPTY_MEMBERS = "array<struct<code:string,order:int,basis:string>>"
@@ -276,7 +281,7 @@ def fold_pairs(xw: DataFrame, keys: Mapping[str, Column], broad: DataFrame, sub:
             .groupBy(*[c.alias(n) for n, c in keys.items()]).agg(
                 _agreed("mapping_status").alias(prefix + "status"), *[F.min(e).alias(prefix + e) for e in extra],
                 F.min("review_note").alias(prefix + "note"),
-                F.when(F.min("mapping_status") != F.max("mapping_status"), F.array().cast(PAIRS)).otherwise(F.collect_set(pair)).alias(prefix + "pairs")))
+                F.when(_differ("mapping_status"), F.array().cast(PAIRS)).otherwise(F.collect_set(pair)).alias(prefix + "pairs")))
 
 
 def _resolved(facts: DataFrame, keys: Sequence[str], prefix: str, context: bool) -> DataFrame:

@@ -38,14 +38,40 @@ def last_by_key(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
     return g.select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
+def aligned(old: DataFrame, new: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both snapshots with the columns of either; one that a side lacks is NULL there. A column of two types raises."""
+    kinds: dict = {}
+    for f in (*old.schema.fields, *new.schema.fields):
+        if kinds.setdefault(f.name, f.dataType) != f.dataType:
+            raise ValueError(f"column {f.name} is {kinds[f.name].simpleString()} in one snapshot and {f.dataType.simpleString()} in the other")
+    rest = [c for c in kinds if c not in key]
+    both = [df.select(*key, *[F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in rest]) for df in (old, new)]
+    return both[0], both[1], rest
+
+
+#: bits of a hash that are added up per key, so that no sum overflows
+SUM_BITS = 44
+
+
 def diff_keys(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row per key with its state: added, removed, changed, unchanged. Both sides have unique keys."""
-    key, rest = list(key), [c for c in new.columns if c not in key]
-    a = old.select(*key, fingerprint(rest).alias("_fa"))
-    b = new.select(*key, fingerprint(rest).alias("_fb"))
-    state = (F.when(F.col("_fa").isNull(), "added").when(F.col("_fb").isNull(), "removed")
-             .when(F.col("_fa") == F.col("_fb"), "unchanged").otherwise("changed"))
-    return a.join(b, key, "full_outer").select(*key, state.alias("state"))
+    """One row per key with its state: added, removed, changed, unchanged.
+
+    All columns of either snapshot count; one that a snapshot lacks is NULL there. A key that repeats is one row: unchanged if
+    both sides have the same rows for it. The sides are added up in one aggregate, a row being a key and two numbers.
+    """
+    key = list(key)
+    a, b, rest = aligned(old, new, key)
+    part = F.lit((1 << SUM_BITS) - 1).cast("bigint")
+
+    def side(df: DataFrame, na: int, nb: int) -> DataFrame:
+        f = df.select(*key, fingerprint(rest).alias("_f"))
+        sign = na - nb
+        return f.select(*key, F.lit(na).alias("_na"), F.lit(nb).alias("_nb"), *[(F.col(f"_f.{x}").bitwiseAND(part) * sign).alias(f"_{x}") for x in "ab"])
+
+    g = side(a, 1, 0).unionByName(side(b, 0, 1)).groupBy(*key).agg(*[F.sum(c).alias(c) for c in ("_na", "_nb", "_a", "_b")])
+    same = (F.col("_na") == F.col("_nb")) & (F.col("_a") == 0) & (F.col("_b") == 0)
+    state = F.when(F.col("_na") == 0, "added").when(F.col("_nb") == 0, "removed").when(same, "unchanged").otherwise("changed")
+    return g.select(*key, state.alias("state"))
 
 
 def count_states(states: DataFrame, id_: str, n: int = 12) -> DataFrame:
@@ -57,12 +83,23 @@ def count_states(states: DataFrame, id_: str, n: int = 12) -> DataFrame:
     return states.groupBy("state").agg(F.count("*").alias("rows")).join(ids, "state")
 
 
-def diff_cells(old: DataFrame, new: DataFrame, key: Sequence[str], classes: Mapping[str, Sequence[str]] = CLASSES) -> DataFrame:
-    """One row per changed cell of keys in both snapshots: field, class, old and new value as text."""
-    key, rest = list(key), [c for c in new.columns if c not in key]
-    changed = diff_keys(old, new, key).where("state = 'changed'").select(*key)
-    a = old.join(changed, key, "left_semi").select(*key, *[F.col(c).alias("_a_" + c) for c in rest])
-    b = new.join(changed, key, "left_semi").select(*key, *[F.col(c).alias("_b_" + c) for c in rest])
+def diff_cells(old: DataFrame, new: DataFrame, key: Sequence[str], classes: Mapping[str, Sequence[str]] = CLASSES,
+               changed: DataFrame | None = None) -> DataFrame:
+    """One row per changed cell of keys in both snapshots: field, class, old and new value as text.
+
+    ``changed`` are the changed keys, where they are known already. Of a key that repeats, the row with the greatest
+    fingerprint is compared.
+    """
+    key = list(key)
+    old, new, rest = aligned(old, new, key)
+    if changed is None:
+        changed = diff_keys(old, new, key).where("state = 'changed'").select(*key)
+
+    def of_changed(df: DataFrame, prefix: str) -> DataFrame:
+        one = df.join(changed, key, "left_semi").groupBy(*key).agg(F.max_by(F.struct(*rest), fingerprint(rest)).alias("_r"))
+        return one.select(*key, *[F.col(f"_r.{c}").alias(prefix + c) for c in rest])
+
+    a, b = of_changed(old, "_a_"), of_changed(new, "_b_")
     cells = F.array_compact(F.array(*[
         F.when(~F.col("_a_" + c).eqNullSafe(F.col("_b_" + c)), F.struct(
             F.lit(c).alias("field"), F.lit(field_class(c, classes)).alias("classification"),

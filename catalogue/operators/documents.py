@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import contract as K
 from ..functions import columns as P
+from ..functions.ranks import numbered
 from . import views as V
 from .facets import facets, taxonomy_facet
 
@@ -89,26 +90,18 @@ def filter_options(df: DataFrame, fields: Sequence[str], memberships: Mapping[st
     return f
 
 
-#: places of a facet's options are counted inside ranges of this many leading characters of the value
-PREFIX = 2
-
-
 def options_document(options: DataFrame, page: int = 50_000) -> DataFrame:
     """Facets as documents of ``page`` options each, keyed (facet, part) at any volume, in one order over all parts.
 
-    An option's place is the number of options before its range of values plus its place inside the range, so no task
-    orders a facet with many values whole.
+    All options are numbered by a range partition over (facet, order): ranges hold equally many options whatever the values
+    begin with, so no task orders a facet with many values whole. An option's part follows from its place in the facet.
     """
-    ahead = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    range_ = F.struct(F.col("sort_last").alias("a"), F.col("display_order").alias("b"), F.substring("value", 1, PREFIX).alias("c"))
-    ranged = options.withColumn("_range", range_)
-    before = ranged.groupBy("facet", "_range").agg(F.count("*").alias("_n")).select(
-        "facet", "_range", F.coalesce(F.sum("_n").over(ahead(Window.partitionBy("facet").orderBy("_range"))), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("facet", "_range").orderBy("value", "rows")) - 1
-    placed = ranged.withColumn("_in", inside).join(before, ["facet", "_range"]).withColumn(
-        "part", F.floor((F.col("_before") + F.col("_in")) / page).cast("int"))
-    entry = F.struct("sort_last", "display_order", "value", "rows")
-    return placed.groupBy("facet", "part").agg(F.to_json(F.transform(
+    order = ["facet", "sort_last", "display_order", "value", "rows"]
+    placed = numbered(options.select(*order), order, "_at", "options")
+    starts = placed.groupBy("facet").agg(F.min("_at").alias("_first"))  # one row per facet
+    cut = placed.join(F.broadcast(starts), "facet").withColumn("part", F.floor((F.col("_at") - F.col("_first")) / page).cast("int"))
+    entry = F.struct("_at", "value", "rows")
+    return cut.groupBy("facet", "part").agg(F.to_json(F.transform(
         F.sort_array(F.collect_list(entry)), lambda e: F.struct(e["value"].alias("value"), e["rows"].alias("unfiltered_count"))),
         JSON_OPTIONS).alias("options"))
 

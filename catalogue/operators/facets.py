@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranks import numbered
 from ..sources.sinks import size_stats  # noqa: F401  (AGG09 is the same aggregate as the shard size report)
 
 
@@ -100,12 +101,12 @@ def group_page(df: DataFrame, group: str, order: Sequence[str], page: int = 1, s
 def nested_group_page(paged: DataFrame, group: str, cols: Sequence[str], order: Sequence[str], rows: int = 1000) -> DataFrame:
     """A page of groups with the rows of each group nested, ``rows`` at most in a slice: (group_no, group, slice, rows, items).
 
-    Slices are dealt by a hash of the row and the group's size, so a large group is never gathered whole; inside a
-    slice rows follow ``order``.
+    Slices are cut from the order itself: slice 0 holds a group's first rows, and so on. Rows are numbered by a range partition
+    over (group_no, ``order``), so a large group, even of equal rows, is never gathered or sorted in one place.
     """
-    sizes = paged.groupBy("group_no").agg(F.count("*").alias("_n"))  # a page has few groups
-    slices = F.ceil(F.col("_n") / rows)
-    placed = paged.join(F.broadcast(sizes), "group_no").withColumn("slice", F.pmod(F.xxhash64(*cols), slices).cast("int"))
-    entry = F.struct(F.struct(*order).alias("at"), F.struct(*cols).alias("row"))
-    return placed.groupBy("group_no", group, "slice").agg(F.count("*").alias("rows"), F.transform(
+    placed = numbered(paged.select("group_no", group, *dict.fromkeys([*cols, *order])), ["group_no", *order], "_at", "slices")
+    starts = placed.groupBy("group_no").agg(F.min("_at").alias("_first"))  # a page has few groups
+    cut = placed.join(F.broadcast(starts), "group_no").withColumn("slice", F.floor((F.col("_at") - F.col("_first")) / rows).cast("int"))
+    entry = F.struct("_at", F.struct(*cols).alias("row"))
+    return cut.groupBy("group_no", group, "slice").agg(F.count("*").alias("rows"), F.transform(
         F.sort_array(F.collect_list(entry)), lambda e: e["row"]).alias("items"))

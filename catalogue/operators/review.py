@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as P
+from ..functions.ranks import numbered
 from ..functions.skew import join_small_or_keyed
 from .classify import SAFE_FLOORS, layer_counts, settled  # noqa: F401
 from .rules import Rule, apply_rules  # noqa: F401
@@ -43,6 +44,11 @@ def review_packet(new: DataFrame, old: DataFrame, col: str, xw: DataFrame, order
                     s.alias("current_fail_closed_status"), note.alias("suggested_review_note")))
 
 
+def number_packet(packet: DataFrame, order: Sequence[str] = ("raw_or_context",), out: str = "review_order") -> DataFrame:
+    """The packet with its review order 1..n: its place by ``order``, counted over ranges and not in one task."""
+    return numbered(packet, list(order), "_at", "packet").withColumn(out, F.col("_at") + 1).drop("_at")
+
+
 def context_packet(new: DataFrame, old: DataFrame, cols: Sequence[str], raw_xw: DataFrame, ctx_xw: DataFrame,
                    order: str, id_: str) -> DataFrame:
     """Context tuples the old snapshot did not have, with one of four statuses; ``needs_review`` marks the open ones.

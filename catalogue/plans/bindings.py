@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import contract as K
 from ..operators.classify import classify_records
+from ..operators.review import number_packet
 from ..sources.shared import scratch
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -32,11 +33,24 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def frame(spark: SparkSession, sf: str, sql: str) -> DataFrame:
-    """A binding as DataFrame; ``{orders}`` and the like stand for the tables."""
+    """A binding as DataFrame; ``{orders}`` and the like stand for the tables, the packet for its operator's output."""
+    sql = sql.replace(PACKET, "SELECT review_order, raw_or_context, frequency, representative_record_id FROM {packet}")
     used = {t: table(spark, sf, t) for t in TABLES if "{" + t + "}" in sql}
+    if "{packet}" in sql:
+        used["packet"] = packet(spark, sf)
     return spark.sql(sql, **used)
 
 
+def packet(spark: SparkSession, sf: str) -> DataFrame:
+    """The numbered packet, built once per session."""
+    key = (id(spark), f"{sf}/packet")
+    owner, df = _OPENED.get(key, (None, None))
+    if owner is not spark:
+        df = number_packet(spark.sql(PACKET_VALUES, events=table(spark, sf, "events")))
+        _OPENED[key] = (spark, df)
+    return df
+
+
 def duck(sql: str) -> str:
     """The same binding as text for the checking engine."""
     return sql.format(**{t: t for t in TABLES})
@@ -299,10 +313,11 @@ LEDGER = f"""SELECT 'kokkoritsu' AS source_dataset, '国立' AS institution_type
  FROM (SELECT user_id, SUM(CASE WHEN event_id % 6 <> 4 THEN 1 ELSE 0 END) AS n FROM {{events}} GROUP BY user_id) g WHERE user_id % 23 <> 0"""
 # ledger with every 10th key given twice
 LEDGER_TWICE = LEDGER + " UNION ALL " + LEDGER + " AND user_id % 10 = 0"
-# one decision per action and payload, from the events that carry it; the numbering runs over these few distinct values
+# one decision per action and payload, from the events that carry it; the checking engine numbers them with a window, this
+# side with an operator
 EVENT_RAW = "event_type || ':' || props"
-PACKET = f"""SELECT CAST(ROW_NUMBER() OVER (ORDER BY raw_or_context) AS BIGINT) AS review_order, raw_or_context, frequency, representative_record_id FROM (
- SELECT {EVENT_RAW} AS raw_or_context, COUNT(*) AS frequency, CAST(MIN(event_id) AS STRING) AS representative_record_id FROM {{events}} GROUP BY {EVENT_RAW}) g"""
+PACKET_VALUES = f"""SELECT {EVENT_RAW} AS raw_or_context, COUNT(*) AS frequency, CAST(MIN(event_id) AS STRING) AS representative_record_id FROM {{events}} GROUP BY {EVENT_RAW}"""
+PACKET = f"""SELECT CAST(ROW_NUMBER() OVER (ORDER BY raw_or_context) AS BIGINT) AS review_order, raw_or_context, frequency, representative_record_id FROM ({PACKET_VALUES}) g"""
 DECISIONS = f"""SELECT review_order, raw_or_context AS raw_value, CAST(CASE WHEN review_order % 10 = 0 THEN frequency + 1 ELSE frequency END AS BIGINT) AS frequency,
  CASE WHEN review_order % 15 = 0 THEN '0' ELSE representative_record_id END AS representative_record_id,
  CASE review_order % 8 WHEN 0 THEN 'safe_simple_overall' WHEN 1 THEN 'safe_overall_with_additional_conditions' WHEN 2 THEN 'no_safe_overall_floor' WHEN 3 THEN 'non_binding'

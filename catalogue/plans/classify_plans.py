@@ -198,6 +198,18 @@ def cls07_rows(spark, sf):
     return C.membership_rows(multi(spark, sf), ["record_id"])
 
 
+# the same crosswalk, every third of its entries listed a second time without a status
+BLANK_XW = B.FIELD_XW + f" UNION ALL SELECT mapping_contract_version, raw_value, CAST(NULL AS STRING), group_code, group_order, review_note FROM ({B.FIELD_XW}) again WHERE raw_value = 'BUILDING'"
+
+
+@query("cls07_blank_status", B.with_ctes(f"""
+SELECT record_id, CASE WHEN academic_field = 'BUILDING' THEN 'review_required' ELSE mapping_status END AS mapping_status, CASE WHEN academic_field = 'BUILDING' THEN '' ELSE codes END AS codes
+FROM ({MULTI_SQL}) z""", b3=B.B3, fx=B.FIELD_XW))
+def cls07_blank(spark, sf):
+    layers = C.classify_multi(f(spark, sf, B.B3), "academic_field", f(spark, sf, BLANK_XW))
+    return layers.select("record_id", "mapping_status", listing("memberships", "code").alias("codes"))
+
+
 def context(spark, sf) -> DataFrame:
     return C.classify_context(f(spark, sf, B.B3), f(spark, sf, B.RAW_XW), f(spark, sf, B.CTX_XW), f(spark, sf, B.BROAD), f(spark, sf, B.SUB))
 
@@ -224,18 +236,35 @@ def context_sql(body: str) -> str:
     return B.with_ctes(CONTEXT_CTES + body, b3=B.B3, rx=B.RAW_XW, cx=B.CTX_XW, bt=B.BROAD, st=B.SUB)
 
 
-@query("cls08_context", context_sql("""
+CONTEXT_BODY = """
 SELECT record_id, CASE WHEN nb = 0 THEN unresolved WHEN nb = 1 THEN 'single' ELSE 'multi' END AS broad_mapping_status,
  CASE WHEN nb = 0 THEN unresolved WHEN ns = 0 THEN 'none' WHEN ns = 1 THEN 'single' ELSE 'multi' END AS subcategory_mapping_status,
  hit AS context_mapping_consulted, CASE WHEN nb > 0 AND effective THEN mode ELSE 'none' END AS context_mapping_effect,
  CASE WHEN academic_field IS NULL THEN NULL WHEN NOT listed THEN 'No frozen exact raw-value mapping.' WHEN hit THEN 'context note' WHEN academic_field = 'FURNITURE' THEN 'needs review' ELSE 'raw note' END AS context_note,
- b AS broad, s AS sub FROM z"""))
+ b AS broad, s AS sub FROM z"""
+
+
+@query("cls08_context", context_sql(CONTEXT_BODY))
 def cls08(spark, sf):
-    return context(spark, sf).select(
+    return context_columns(context(spark, sf))
+
+
+def context_columns(df: DataFrame) -> DataFrame:
+    return df.select(
         "record_id", "broad_mapping_status", "subcategory_mapping_status", "context_mapping_consulted", "context_mapping_effect", "context_note",
         listing("broad_memberships", "code", "basis").alias("broad"), listing("subcategory_memberships", "code", "basis").alias("sub"))
 
 
+# one raw value is listed once more, without a status: it goes to review and its own pairs are not used
+RAW_BLANK = B.RAW_XW + f" UNION ALL SELECT raw_value, CAST(NULL AS STRING), group_code, subcategory_code, review_note FROM ({B.RAW_XW}) again WHERE raw_value = 'AUTOMOBILE' AND subcategory_code IS NOT NULL"
+RAW_REVIEWED = f"SELECT * FROM ({B.RAW_XW}) a WHERE raw_value <> 'AUTOMOBILE' UNION ALL SELECT DISTINCT raw_value, 'review_required', CAST(NULL AS STRING), CAST(NULL AS STRING), review_note FROM ({B.RAW_XW}) b WHERE raw_value = 'AUTOMOBILE'"
+
+
+@query("cls08_blank_status", B.with_ctes(CONTEXT_CTES + CONTEXT_BODY, b3=B.B3, rx=RAW_REVIEWED, cx=B.CTX_XW, bt=B.BROAD, st=B.SUB))
+def cls08_blank(spark, sf):
+    return context_columns(C.classify_context(f(spark, sf, B.B3), f(spark, sf, RAW_BLANK), f(spark, sf, B.CTX_XW), f(spark, sf, B.BROAD), f(spark, sf, B.SUB)))
+
+
 # ---- layer reports ------------------------------------------------------------------------------------------------------
 
 @query("cls09_layer_counts", B.with_ctes(f"""

@@ -61,6 +61,31 @@ CELL_SQL = " UNION ALL ".join(
     f"SELECT o_orderkey, '{c}' AS field, '{cell_class(c)}' AS classification, CAST(o.{c} AS VARCHAR) AS old_value, CAST(n.{c} AS VARCHAR) AS new_value FROM o JOIN n USING (o_orderkey) WHERE o.{c} IS DISTINCT FROM n.{c}" for c in CELLS)
 
 
+# the old snapshot has a column that the new one dropped, and both repeat some keys
+OLD_MORE = f"SELECT *, CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority END AS dropped FROM ({B.B4_OLD}) q"
+REPEATED = "SELECT * FROM ({0}) a UNION ALL SELECT * FROM ({0}) b WHERE o_orderkey % {1} = 0"
+OLD_TWICE, NEW_TWICE = REPEATED.format(B.B4_OLD, 14), REPEATED.format(B.B4_NEW, 22)
+
+
+@query("dif01_dropped_column", B.with_ctes(f"""
+, w AS (SELECT o_orderkey, dropped IS NOT NULL AS had FROM m), s AS ({STATES})
+SELECT s.o_orderkey, CASE WHEN state = 'unchanged' AND had THEN 'changed' ELSE state END AS state FROM s LEFT JOIN w USING (o_orderkey)""", m=OLD_MORE, **OLD_NEW))
+def dif01_dropped(spark, sf):
+    return D.diff_keys(B.frame(spark, sf, OLD_MORE), B.frame(spark, sf, B.B4_NEW), ["o_orderkey"])
+
+
+@query("dif02_dropped_column", B.with_ctes(f"""
+{CELL_SQL} UNION ALL SELECT o_orderkey, 'dropped', 'D_other', dropped, NULL FROM m JOIN n USING (o_orderkey) WHERE dropped IS NOT NULL""", m=OLD_MORE, **OLD_NEW))
+def dif02_dropped(spark, sf):
+    return D.diff_cells(B.frame(spark, sf, OLD_MORE), B.frame(spark, sf, B.B4_NEW), ["o_orderkey"], CLASSES)
+
+
+@query("dif01_repeated_keys", B.with_ctes(f"""
+, s AS ({STATES}) SELECT o_orderkey, CASE WHEN state = 'unchanged' AND (o_orderkey % 14 = 0) <> (o_orderkey % 22 = 0) THEN 'changed' ELSE state END AS state FROM s""", **OLD_NEW))
+def dif01_repeated(spark, sf):
+    return D.diff_keys(B.frame(spark, sf, OLD_TWICE), B.frame(spark, sf, NEW_TWICE), ["o_orderkey"])
+
+
 @query("dif02_diff_cells", B.with_ctes(CELL_SQL, **OLD_NEW))
 def dif02(spark, sf):
     return D.diff_cells(*old_new(spark, sf), ["o_orderkey"], CLASSES)
