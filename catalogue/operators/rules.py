@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from .. import contract as K
 from ..functions import columns as P
-from ..functions.skew import HOT_ROWS, attach
+from ..functions.skew import HOT_ROWS, attach, fingerprint
 
 ROW = "_row_number"
 DETAILS = T.MapType(T.StringType(), T.StringType())
@@ -270,9 +270,14 @@ def duplicate_key_issues(df: DataFrame, key: Sequence[str], order: str, code: st
 def duplicate_row_issues(df: DataFrame, cols: Sequence[str], order: str, code: str = "RESEARCH_EXACT_DUPLICATE",
                          table: str = "research_requirements", dataset: str = "source_dataset",
                          record_id: str = "admission_id") -> DataFrame:
-    """Second and later identical rows over ``cols``; all copies stay in the data."""
+    """Second and later identical rows over ``cols``; all copies stay in the data.
+
+    Rows are grouped by fingerprint; whole rows are moved, and compared by content, only where one fingerprint has several.
+    """
     keys = list(dict.fromkeys([dataset, *cols]))
-    again = repeats(df, keys, order, keep=[record_id])
+    marked = df.select(*dict.fromkeys([*keys, order, record_id]), fingerprint(keys).alias("_f"))
+    several = marked.groupBy("_f.a", "_f.b").agg(F.count("*").alias("_n")).where("_n > 1").select(F.struct("a", "b").alias("_f"))
+    again = repeats(marked.join(several, "_f", "left_semi"), keys, order, keep=[record_id])
     return issue_rows(again, code, "The row is an exact copy of an earlier one.", table, dataset, record_id, order,
                       None, [("first_row_number", F.col("first_row"))])
 
@@ -383,32 +388,3 @@ def status_metrics(df: DataFrame, statuses: dict[str, Column], dataset: str = "s
                       for n, c in statuses.items()])
     return (df.select(dataset, F.explode(pairs).alias("m")).groupBy(dataset, "m.metric", "m.status")
             .agg(F.count("*").alias("rows")))
-
-
-# ---- whole bundle ---------------------------------------------------------------------------------------------------
-
-def validate_bundle(master: DataFrame, coverage: DataFrame, research: DataFrame) -> DataFrame:
-    """All findings of one bundle in source form: each frame has its source columns, ``source_dataset`` and a row number."""
-    cov_key = ["source_dataset", "institution_type", "university"]
-    fk = [("source_dataset", "source_dataset"), ("admission_id", "record_id")]
-    filled = master.where(~P.is_blank("record_id"))
-    parents = first_parent(filled, ["source_dataset", "record_id"],
-                           ["university", "faculty_school", "department", "selection_name",
-                            "research_requirement_required", ROW], ROW)
-    cov_id = F.concat_ws(":", P.text("institution_type"), P.text("university"))
-    return union([
-        apply_rules(master, row_rules(K.MASTER), "master", "source_dataset", "record_id"),
-        apply_rules(coverage, row_rules(K.COVERAGE), "coverage", "source_dataset", cov_id),
-        apply_rules(research, row_rules(K.RESEARCH), "research_requirements", "source_dataset",
-                    F.coalesce(P.null_if_blank("admission_id"), F.concat(F.lit("row:"), F.col(ROW).cast("string")))),
-        duplicate_key_issues(master, ["record_id"], ROW),
-        issue_rows(repeats(coverage.withColumn("institution_type", P.text("institution_type"))
-                           .withColumn("university", P.text("university")), cov_key, ROW),
-                   "COVERAGE_KEY_DUPLICATE", "The key is used more than once.", "coverage", "source_dataset", cov_id,
-                   ROW, None, [("first_row_number", F.col("first_row"))]),
-        duplicate_row_issues(research, K.source_columns(K.RESEARCH), ROW),
-        count_mismatch_issues(coverage, master, cov_key, "master_rows"),
-        orphan_issues(research, filled, fk),
-        denormalized_issues(research.where(~P.is_blank("admission_id")), filled, fk, order=ROW),
-        child_flag_issues(parents, research.where(~P.is_blank("admission_id")), fk),
-    ])

@@ -177,6 +177,39 @@ B2_COVERAGE = (f"SELECT c_name, c_custkey AS _row_number, 'kokkoritsu' AS source
                f"FROM {{customer}} LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM {{orders}} GROUP BY o_custkey) x ON o_custkey = c_custkey "
                f"WHERE c_custkey % 19 <> 0")
 
+# ---- a whole bundle in source form ---------------------------------------------------------------------------------------
+
+
+@lru_cache
+def coverage_columns() -> dict[str, str]:
+    n = "_row_number"
+    made = {"institution_type": "institution_type", "university": "university", "master_rows": f"CASE WHEN {n} % 7 = 0 THEN 'many' WHEN {n} % 5 = 0 THEN '0' WHEN {n} % 11 = 0 THEN '-1' ELSE {number('n')} END",
+            "undergraduate_scope": f"CASE WHEN {n} % 4 = 0 THEN '対象外（大学院）' ELSE '' END", "research_status": f"CASE WHEN {n} % 6 = 0 THEN '対象外' ELSE 'open ' END",
+            "checked_on": f"CASE WHEN {n} % 9 = 0 THEN '' WHEN {n} % 8 = 0 THEN 'late autumn' ELSE '2026-05-01' END",
+            "official_source_url": f"CASE WHEN {n} % 2 = 0 THEN '' ELSE 'https://c.example/' END"}
+    return {c: made.get(c, "''") for c in K.source_columns(K.COVERAGE)}
+
+
+@lru_cache
+def research_columns() -> dict[str, str]:
+    """Details of orders, with orphans, blank ids, changed copies of the order's fields, and whole rows given twice."""
+    m = master_columns()
+    made = {"admission_id": "CASE WHEN l_orderkey % 53 = 0 THEN '' WHEN l_orderkey % 47 = 0 THEN 'Q' || " + number("l_orderkey") + " ELSE 'R' || " + number("l_orderkey") + " END",
+            **{c: m[c] for c in K.DISPLAY_FIELDS}, "department": f"CASE WHEN l_partkey % 7 = 0 THEN 'other' ELSE {m['department']} END",
+            "requirement_code": number("l_partkey"), "required_level": "l_returnflag", "requirement_detail": "CASE WHEN l_suppkey % 9 = 0 THEN ' padded' ELSE l_linestatus END",
+            "source_url": "CASE WHEN l_suppkey % 5 = 0 THEN '' ELSE 'https://r.example/' END", "verified_on": "CASE WHEN l_suppkey % 8 = 0 THEN 'soon' ELSE '2026-05-01' END"}
+    return {c: made.get(c, "''") for c in K.source_columns(K.RESEARCH)}
+
+
+_COVERED = f"SELECT source_dataset, institution_type, university, COUNT(*) AS n, MIN(_row_number) AS _row_number FROM ({B1}) m GROUP BY source_dataset, institution_type, university"
+_COVERAGE = f"SELECT source_dataset, _row_number, {select_list(coverage_columns())} FROM ({_COVERED}) g"
+BUNDLE_COVERAGE = f"{_COVERAGE} UNION ALL SELECT source_dataset, _row_number + 1000000000 AS _row_number, {', '.join(coverage_columns())} FROM ({_COVERAGE}) c WHERE _row_number % 13 = 0"
+_LINE = "l_orderkey * 10 + l_linenumber"
+_RESEARCH = f"SELECT {DATASET} AS source_dataset, {_LINE} AS _row_number, {select_list(research_columns())} FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{customer}} ON o_custkey = c_custkey"
+BUNDLE_RESEARCH = f"{_RESEARCH} UNION ALL SELECT source_dataset, _row_number + 1000000000 AS _row_number, {', '.join(research_columns())} FROM ({_RESEARCH}) r WHERE _row_number % 17 = 0"
+# the flag that the children are held against is one of the tristate fields of the master
+BUNDLE_MASTER = B1
+
 # ---- B3: classified records --------------------------------------------------------------------------------------------
 
 B3 = f"""SELECT {DATASET} AS source_dataset, {VERSION} AS source_version, 'R' || CAST(o_orderkey AS STRING) AS record_id, o_orderkey,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import contract as K
 from ..functions import columns as P
+from ..operators import bundle
 from ..operators import rules as V
 from ..sources import readers as R
 from . import bindings as B
@@ -28,11 +29,11 @@ def run(spark, sf, rules, *details) -> DataFrame:
     return flat(V.apply_rules(records(spark, sf), rules, "master", "source_dataset", "record_id"), *details)
 
 
-def line(code: str, where: str, field: str | None, **details: str) -> str:
+def line(code: str, where: str, field: str | None, src: str = "b1", id_: str = "record_id", **details: str) -> str:
     name = "CAST(NULL AS VARCHAR)" if field is None else f"'{field}'"
     extra = "".join(f", CAST({e} AS VARCHAR) AS {n}" for n, e in details.items())
-    return (f"SELECT '{code}' AS code, '{K.severity(code)}' AS severity, source_dataset AS dataset, record_id, {name} AS field, "
-            f"_row_number AS row_number{extra} FROM b1 WHERE {where}")
+    return (f"SELECT '{code}' AS code, '{K.severity(code)}' AS severity, source_dataset AS dataset, {id_} AS record_id, {name} AS field, "
+            f"_row_number AS row_number{extra} FROM {src} WHERE {where}")
 
 
 def sql(*lines: str) -> str:
@@ -294,3 +295,89 @@ SELECT source_dataset, 'detail_completeness_status' AS metric, COALESCE({PRJ05},
 UNION ALL SELECT source_dataset, 'research_activity_level_status', COALESCE({PRJ06}, 'null'), CAST(COUNT(*) AS BIGINT) FROM b1 GROUP BY ALL""", b1=B.B1))
 def val22(spark, sf):
     return V.status_metrics(records(spark, sf), {"detail_completeness_status": P.detail_status(), "research_activity_level_status": P.research_status()})
+
+
+# ---- a whole bundle -----------------------------------------------------------------------------------------------------
+
+BUNDLE = {"b1": B.BUNDLE_MASTER, "cv": B.BUNDLE_COVERAGE, "rs": B.BUNDLE_RESEARCH}
+COV_ID, RES_ID = "institution_type || ':' || university", "CASE WHEN admission_id = '' THEN 'row:' || CAST(_row_number AS VARCHAR) ELSE admission_id END"
+SETS = f"""
+, f AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY source_dataset, record_id ORDER BY _row_number) AS nth, MIN(_row_number) OVER (PARTITION BY source_dataset, record_id) AS first_row FROM b1 WHERE record_id <> '')
+, k AS (SELECT source_dataset, admission_id, COUNT(*) AS n FROM rs WHERE admission_id <> '' GROUP BY ALL)
+, j AS (SELECT f.*, COALESCE(k.n, 0) AS kids FROM f LEFT JOIN k ON f.source_dataset = k.source_dataset AND f.record_id = k.admission_id WHERE nth = 1)
+, a AS (SELECT source_dataset, institution_type, university, COUNT(*) AS n FROM b1 GROUP BY ALL)
+, v AS (SELECT cv.*, a.n, MIN(_row_number) OVER (PARTITION BY source_dataset, institution_type, university) AS first_row FROM cv LEFT JOIN a USING (source_dataset, institution_type, university))
+, d AS (SELECT *, MIN(_row_number) OVER (PARTITION BY source_dataset, {', '.join(K.source_columns(K.RESEARCH))}) AS first_row FROM rs)
+, si AS (SELECT 'master' AS tab, 'MASTER_PK_DUPLICATE' AS code, source_dataset AS dataset, record_id, 'record_id' AS field, _row_number AS row_number, CAST(first_row AS VARCHAR) AS detail FROM f WHERE _row_number > first_row
+UNION ALL SELECT 'master', 'RESEARCH_REQUIRED_WITHOUT_CHILD', source_dataset, record_id, NULL, _row_number, NULL FROM j WHERE research_requirement_required = 'Yes' AND kids = 0
+UNION ALL SELECT 'master', 'RESEARCH_NOT_REQUIRED_WITH_CHILD', source_dataset, record_id, NULL, _row_number, CAST(kids AS VARCHAR) FROM j WHERE research_requirement_required = 'No' AND kids > 0
+UNION ALL SELECT 'research_requirements', 'RESEARCH_ORPHAN_FK', source_dataset, admission_id, 'admission_id', _row_number, NULL FROM rs WHERE admission_id <> '' AND NOT EXISTS (SELECT 1 FROM j WHERE j.source_dataset = rs.source_dataset AND j.record_id = rs.admission_id)
+{" ".join(f"UNION ALL SELECT 'research_requirements', 'RESEARCH_DENORMALIZED_FIELD_MISMATCH', rs.source_dataset, admission_id, '{c}', rs._row_number, j.{c} FROM rs JOIN j ON j.source_dataset = rs.source_dataset AND j.record_id = rs.admission_id WHERE rs.{c} <> j.{c}" for c in K.DISPLAY_FIELDS)}
+UNION ALL SELECT 'research_requirements', 'RESEARCH_EXACT_DUPLICATE', source_dataset, admission_id, NULL, _row_number, CAST(first_row AS VARCHAR) FROM d WHERE _row_number > first_row
+UNION ALL SELECT 'coverage', 'COVERAGE_KEY_DUPLICATE', source_dataset, {COV_ID}, NULL, _row_number, CAST(first_row AS VARCHAR) FROM v WHERE _row_number > first_row
+UNION ALL SELECT 'coverage', 'COVERAGE_MASTER_ROWS_MISMATCH', source_dataset, {COV_ID}, 'master_rows', _row_number, CAST(COALESCE(n, 0) AS VARCHAR) FROM v WHERE TRY_CAST(master_rows AS BIGINT) <> COALESCE(n, 0))
+"""
+
+
+def bundle_frames(spark, sf) -> list[DataFrame]:
+    return [B.frame(spark, sf, s) for s in BUNDLE.values()]
+
+
+@query("val20_bundle_sets", B.with_ctes(SETS + "SELECT * FROM si", **BUNDLE))
+def val20_bundle(spark, sf):
+    """All rules over more than one row, from the two aggregates of a bundle."""
+    found = bundle.set_issues(*bundle_frames(spark, sf))
+    detail = F.coalesce(*[F.element_at("details", F.lit(k)) for k in ("first_row_number", "child_rows", "parent_value", "actual")])
+    return found.select(F.col("table").alias("tab"), "code", "dataset", "record_id", "field", "row_number", detail.alias("detail"))
+
+
+def blank(fields, src: str, id_: str) -> list[str]:
+    return [line("REQUIRED_VALUE_MISSING", f"{f} = ''", f, src, id_) for f in fields]
+
+
+def padded(fields, src: str, id_: str) -> list[str]:
+    return [line("WHITESPACE_PADDING", f"({LEAD.format(c)} OR {TRAIL.format(c)})", c, src, id_) for c in fields]
+
+
+def dates(fields, src: str, id_: str) -> list[str]:
+    return [line(code, f"({date_status(c)}) = '{st}'", c, src, id_) for c in fields for code, st in (("DATE_RAW_PARTIAL", "partial"), ("DATE_RAW_UNPARSED", "unparsed"))]
+
+
+INSTITUTION = "NOT CASE WHEN source_dataset = 'kokkoritsu' THEN institution_type IN ('国立', '公立') ELSE institution_type = '私立' END"
+MASTER_LINES = [
+    line("MASTER_PK_BLANK", "record_id = ''", "record_id"), *blank(REQUIRED, "b1", "record_id"),
+    line("INVALID_INTEGER_VALUE", f"NOT {INT.format('admission_year')} OR TRY_CAST(admission_year AS BIGINT) <> 2027", "admission_year"),
+    line("INVALID_INTEGER_VALUE", f"information_year <> '' AND NOT {INT.format('information_year')}", "information_year"),
+    line("SOURCE_INSTITUTION_TYPE_MISMATCH", INSTITUTION, "institution_type"),
+    *[line("INVALID_BOOLEAN_VALUE", f"{c} NOT IN ('', 'True', 'Yes', 'False', 'No')", c) for c in K.BOOLEAN_FIELDS],
+    *[line("INVALID_TRISTATE_VALUE", f"{c} NOT IN ('', 'Yes', 'No', 'Unknown')", c) for c in K.TRISTATE_FIELDS],
+    line("INVALID_COMMON_TEST_REQUIRED", "common_test_required NOT IN ('', 'Yes', 'No', 'Unknown', '条件付き')", "common_test_required"),
+    line("INVALID_ENUM_VALUE", "exclusive_enrollment_status NOT IN ('専願', '併願可', '条件付き', '不明')", "exclusive_enrollment_status"),
+    line("INVALID_ENUM_VALUE", "verification_grade NOT IN ('', 'A', 'B', 'C')", "verification_grade"),
+    line("DETAIL_COMPLETENESS_UNMAPPED", f"({PRJ05}) = 'unmapped'", "detail_completeness"), line("RESEARCH_ACTIVITY_LEVEL_UNMAPPED", f"({PRJ06}) = 'unmapped'", "research_activity_level"),
+    line("COMMON_TEST_FIELDS_DIFFER", f"common_test_required <> '' AND selection_common_test <> '' AND {COMMON} <> selection_common_test", None),
+    line("PROVENANCE_URL_MISSING", "source_url = ''", "source_url"),
+    line("PROVENANCE_URL_MISSING", "exclusive_enrollment_evidence_url = '' AND exclusive_enrollment_status <> '不明'", "exclusive_enrollment_evidence_url"),
+    line("PROVENANCE_URL_MISSING", "previous_year_source_url = '' AND fallback_previous_year IN ('True', 'Yes')", "previous_year_source_url"),
+    *padded(K.source_columns(K.MASTER), "b1", "record_id"), *dates(K.DATE_FIELDS, "b1", "record_id")]
+COVERAGE_LINES = [
+    line("COVERAGE_KEY_BLANK", "university = '' OR institution_type = ''", None, "cv", COV_ID), line("SOURCE_INSTITUTION_TYPE_MISMATCH", INSTITUTION, "institution_type", "cv", COV_ID),
+    line("INVALID_INTEGER_VALUE", f"NOT {INT.format('master_rows')} OR TRY_CAST(master_rows AS BIGINT) < 0", "master_rows", "cv", COV_ID), *blank(["checked_on"], "cv", COV_ID),
+    line("COVERAGE_ZERO_MASTER_ROWS", "master_rows = '0' AND (undergraduate_scope <> '' OR research_status <> '')", None, "cv", COV_ID),
+    line("PROVENANCE_URL_MISSING", "official_source_url = '' AND (COALESCE(TRY_CAST(master_rows AS BIGINT), 0) <> 0 OR NOT (undergraduate_scope LIKE '対象外%' OR research_status = '対象外'))", "official_source_url", "cv", COV_ID),
+    *padded(K.source_columns(K.COVERAGE), "cv", COV_ID), *dates(["checked_on"], "cv", COV_ID)]
+RESEARCH_LINES = [
+    line("RESEARCH_ADMISSION_ID_BLANK", "admission_id = ''", "admission_id", "rs", RES_ID), *blank(["university", "verified_on"], "rs", RES_ID),
+    line("PROVENANCE_URL_MISSING", "source_url = ''", "source_url", "rs", RES_ID), *padded(K.source_columns(K.RESEARCH), "rs", RES_ID), *dates(["verified_on"], "rs", RES_ID)]
+ALL_LINES = " UNION ALL ".join(f"SELECT '{t}' AS tab, * EXCLUDE (severity) FROM ({' UNION ALL '.join(x)}) q" for t, x in (
+    ("master", MASTER_LINES), ("coverage", COVERAGE_LINES), ("research_requirements", RESEARCH_LINES)))
+
+
+@query("val21_bundle", B.with_ctes(SETS + f"""
+, al AS ({ALL_LINES} UNION ALL SELECT * EXCLUDE (detail) FROM si)
+SELECT tab, code, dataset, field, CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(DISTINCT record_id) AS BIGINT) AS ids, CAST(SUM(row_number) AS BIGINT) AS row_numbers FROM al GROUP BY ALL""", **BUNDLE))
+def val21_bundle(spark, sf):
+    """Every finding of a bundle, counted per table, code, source and field."""
+    found = bundle.validate_bundle(*bundle_frames(spark, sf))
+    return found.groupBy(F.col("table").alias("tab"), "code", "dataset", "field").agg(
+        F.count("*").alias("n"), F.count_distinct("record_id").alias("ids"), F.sum("row_number").alias("row_numbers"))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogue import contract as K
+from catalogue.operators import bundle
 from catalogue.operators import rules as V
 from catalogue.operators import unify as U
 from catalogue.sources import readers as R
@@ -26,7 +27,7 @@ def table(spark, contract, rows, dataset="kokkoritsu"):
 
 
 def issues(spark, master=(FILLED,), coverage=(COVERAGE,), research=(RESEARCH,)):
-    return V.validate_bundle(table(spark, K.MASTER, master), table(spark, K.COVERAGE, coverage), table(spark, K.RESEARCH, research))
+    return bundle.validate_bundle(table(spark, K.MASTER, master), table(spark, K.COVERAGE, coverage), table(spark, K.RESEARCH, research))
 
 
 def test_clean_bundle(spark):
