@@ -130,6 +130,7 @@ class ShardReader:
         with self.fs.open_input_stream(f"{self.path}.idx") as f:
             self.entries = np.frombuffer(f.read(), "<u8").reshape(-1, 2)
         self.data = self.fs.open_input_file(f"{self.path}.rec")
+        self.block: tuple[int, int, bytes] = (0, 0, b"")
 
     def __len__(self) -> int:
         return len(self.entries)
@@ -138,6 +139,18 @@ class ShardReader:
         offset, n = map(int, self.entries[k])
         return unpack(unframe(self.data.read_at(n, offset))[0])
 
+    def near_record(self, k: int):
+        """The same for records asked for in ascending order: they are read together, up to ``WRITE_BYTES`` ahead."""
+        first, end, data = self.block
+        if not first <= k < end:
+            first, offset = k, int(self.entries[k][0])
+            ends = self.entries[k:, 0] + self.entries[k:, 1] - offset
+            end = k + max(1, int((ends <= WRITE_BYTES).sum()))
+            data = self.data.read_at(int(ends[end - 1 - k]), offset)
+            self.block = first, end, data
+        at = int(self.entries[k][0]) - int(self.entries[first][0])
+        return unpack(unframe(data, at)[0])
+
     def blocks(self) -> Iterator[tuple[int, bytes]]:
         """All records in order, read in large pieces: (number of the first record, framed records)."""
         k = 0

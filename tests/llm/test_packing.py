@@ -41,7 +41,7 @@ def check(pieces, docs, sequence):
 
 def test_odd_rows_and_columns(spark):
     docs = table(spark)
-    check(packing.pack(cluttered(docs), sequence=256, chunk=64).collect(), docs.collect(), 256)
+    check(packing.pack(cluttered(docs), sequence=256, run=32).collect(), docs.collect(), 256)
     assert packing.pack(empty(spark)).count() == 0
 
 
@@ -49,7 +49,7 @@ def test_every_stretch_holds_the_proportions(spark):
     docs = spark.range(600).select(
         F.col("id").alias("doc_id"), F.concat_ws(" ", F.array_repeat(F.lit("word"), (F.col("id") % 7 * 40 + 3).cast("int"))).alias("text"),
         F.when(F.col("id") % 3 == 0, "big").when(F.col("id") % 5 == 0, "mid").otherwise(F.concat(F.lit("s"), F.col("id") % 2)).alias("source"))
-    pieces = sorted(packing.pack(docs, sequence=512, chunk=64).collect(), key=lambda p: (p["sequence_id"], p["offset"]))
+    pieces = sorted(packing.pack(docs, sequence=512, run=64).collect(), key=lambda p: (p["sequence_id"], p["offset"]))
     check(pieces, docs.collect(), 512)
     total, seen, done = defaultdict(int), defaultdict(int), 0
     for p in pieces:
@@ -90,5 +90,34 @@ def test_every_window_holds_the_shares(spark):
     assert total["tiny"] * packing.SEQUENCE < everything
     for w in range(len(windows) - 1):
         assert sum(windows[w].values()) == packing.SEQUENCE
-        for s in total:
-            assert abs(windows[w][s] - packing.SEQUENCE * total[s] / everything) < (len(total) if s == largest else 1.001)
+        for s in total:  # the one small source comes in runs, and so moves the others by as much
+            assert abs(windows[w][s] - packing.SEQUENCE * total[s] / everything) < packing.RUN + (len(total) if s == largest else 1.001)
+
+
+def test_many_small_sources_come_in_runs(spark):
+    """Half of the tokens in one source, the rest in 20 to 1,200 equal ones: few pieces, and windows that hold the mixture."""
+    for n in (20, 200, 1200):
+        each, size = 600_000 // n, 500
+        docs = [(0, "large", 0, k, 600) for k in range(1000)]
+        docs += [(0, f"s{s:05}", 1 + s, k, size) for s in range(n) for k in range(each // size)]
+        docs = [(i, s, shard, record, tokens) for i, (_, s, shard, record, tokens) in enumerate(docs)]
+        index = spark.createDataFrame(docs, packing.INDEX).repartition(4)
+        pieces = packing.plan(index).collect()
+        total, covered, windows = defaultdict(int), defaultdict(list), defaultdict(lambda: defaultdict(int))
+        for _, s, *_, tokens in docs:
+            total[s] += tokens
+        for p in pieces:
+            covered[p["doc_id"]].append((p["start"], p["length"]))
+            windows[p["sequence_id"]][p["source"]] += p["length"]
+        assert all(sum(x for _, x in covered[i]) == tokens for i, *_, tokens in docs)
+        everything = sum(total.values())
+        assert len(pieces) <= everything / packing.RUN + len(docs) + 2 * len(windows)
+        share = packing.SEQUENCE * total["large"] / everything
+        off = {k: abs(w["large"] - share) for k, w in windows.items() if k < len(windows) - 1}
+        assert sum(off.values()) / len(off) < packing.RUN
+        ends = len(windows) - 2 - packing.RUN / (packing.SEQUENCE * total["s00000"] / everything)
+        assert max(x for k, x in off.items() if k < ends) <= 4 * packing.RUN
+        for k, w in windows.items():
+            if k < len(windows) - 1:
+                want = packing.SEQUENCE * total["s00000"] / everything
+                assert all(x <= want + 2 * packing.RUN for s, x in w.items() if s != "large")
