@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import acceptance as A
 from ..operators import diff as D
 from ..operators import rules as V
 from ..operators.search import SearchRequest
@@ -168,3 +169,68 @@ SELECT label, CAST(COUNT(*) FILTER (io) AS BIGINT) AS old_rows, CAST(COUNT(*) FI
  SELECT label, COUNT(DISTINCT CASE WHEN side = 'o' THEN o_custkey END) AS og, COUNT(DISTINCT CASE WHEN side = 'n' THEN o_custkey END) AS ng FROM h GROUP BY label) g USING (label) GROUP BY label""", **OLD_NEW))
 def dif08(spark, sf):
     return D.search_drift(*old_new(spark, sf), [(n, r) for n, r, _ in DRIFT], ["o_orderkey"], "o_custkey")
+
+
+# ---- acceptance of a snapshot as one job ----------------------------------------------------------------------------------
+
+ACCEPT_SUITE = [("urgent", "o_orderpriority", ("1-URGENT",)), ("renamed", "o_orderpriority", ("6-O", "6-F")), ("marked", "o_orderstatus", ("X",)), ("nobody", "o_orderstatus", ("Z",))]
+PRIORITY_XW = ("SELECT o_orderpriority AS raw_value, CASE o_orderpriority WHEN '1-URGENT' THEN 'required' ELSE 'not_required' END AS requirement_status "
+               "FROM (SELECT DISTINCT o_orderpriority FROM {orders} WHERE o_orderpriority <> '5-LOW') s")
+FOUND = {"REQUIRED_VALUE_MISSING": ("error", "o_orderstatus IS NULL"), "INVALID_ENUM_VALUE": ("error", "o_orderstatus NOT IN ('O', 'F', 'P')"),
+         "COMMON_TEST_FIELDS_DIFFER": ("informational", "fallback_previous_year AND information_year = 2027")}
+
+
+def accept_plan(spark, sf, old):
+    suite = [(n, SearchRequest(equals={c: v}, exact_fields=("o_orderpriority", "o_orderstatus"))) for n, c, v in ACCEPT_SUITE]
+    counts = [old.where(F.col(c).isin(list(v))).agg(F.count("*").alias("rows")).select(F.lit(n).alias("label"), "rows") for n, c, v in ACCEPT_SUITE]
+    rules = [*V.required_rules(["o_orderstatus"]), V.Rule("INVALID_ENUM_VALUE", ~F.coalesce(F.col("o_orderstatus"), F.lit("O")).isin("O", "F", "P"), "outside", "o_orderstatus"),
+             V.Rule("COMMON_TEST_FIELDS_DIFFER", F.col("fallback_previous_year") & (F.col("information_year") == 2027), "differ")]
+    sidecar = D.sidecar_report(B.frame(spark, sf, B.B2_PARENT), B.frame(spark, sf, B.B2_COVERAGE), B.frame(spark, sf, B.B2_CHILD), ["c_name"], "declared", [("l_orderkey", "o_orderkey")])
+    return A.Plan(rules=rules, dataset=F.lit("x"), classes=CLASSES, suite=suite, reviews=[A.Review("o_orderpriority", B.frame(spark, sf, PRIORITY_XW), "o_orderkey", ["o_orderkey"])],
+                  sidecar=sidecar, old_suite=counts[0].unionAll(counts[1]).unionAll(counts[2]).unionAll(counts[3]),
+                  old_findings=snapshot_issues(old).groupBy("severity", "code").agg(F.count("*").alias("rows")))
+
+
+def suite_lines() -> str:
+    hit = lambda side, c, v: f"EXISTS (SELECT 1 FROM {side} x WHERE x.o_orderkey = k.o_orderkey AND x.{c} IN ({', '.join(repr(i) for i in v)}))"
+    return " UNION ALL ".join(
+        f"SELECT 'drift' AS tab, '{n}' AS name, CAST(COUNT(*) FILTER ({hit('o', c, v)}) AS BIGINT) AS before, CAST(COUNT(*) FILTER ({hit('n', c, v)}) AS BIGINT) AS after, "
+        f"CAST(COUNT(*) FILTER ({hit('n', c, v)} AND NOT {hit('o', c, v)}) AS BIGINT) AS n FROM (SELECT o_orderkey FROM o UNION SELECT o_orderkey FROM n) k" for n, c, v in ACCEPT_SUITE)
+
+
+NULL_PAIR = "CAST(NULL AS BIGINT) AS before, CAST(NULL AS BIGINT) AS after"
+MOVES = {"fallback_removed": "paired AND oo.fallback_previous_year AND NOT nn.fallback_previous_year", "fallback_introduced": "paired AND NOT oo.fallback_previous_year AND nn.fallback_previous_year",
+         "current_year_confirmed": "paired AND (oo.fallback_previous_year OR oo.information_year < 2027) AND NOT nn.fallback_previous_year AND nn.information_year = 2027",
+         "added_with_fallback": "oo.o_orderkey IS NULL AND nn.fallback_previous_year", "year_changed": "paired AND oo.information_year IS DISTINCT FROM nn.information_year"}
+ACCEPT_SQL = B.with_ctes(f"""
+, s AS ({STATES}), c AS ({CELL_SQL}), b AS (SELECT oo, nn, oo.o_orderkey IS NOT NULL AND nn.o_orderkey IS NOT NULL AS paired FROM o oo FULL JOIN n nn ON oo.o_orderkey = nn.o_orderkey)
+, v AS (SELECT o_orderpriority AS raw, COUNT(*) AS n FROM n WHERE o_orderpriority IN (SELECT new_value FROM c WHERE field = 'o_orderpriority' UNION SELECT o_orderpriority FROM n WHERE o_orderkey IN (SELECT o_orderkey FROM s WHERE state = 'added')) GROUP BY 1)
+SELECT 'state' AS tab, state AS name, {NULL_PAIR}, CAST(COUNT(*) AS BIGINT) AS n FROM s GROUP BY state
+UNION ALL SELECT 'field', field, {NULL_PAIR}, CAST(COUNT(*) AS BIGINT) FROM c GROUP BY field
+UNION ALL SELECT 'class', classification, {NULL_PAIR}, CAST(COUNT(*) AS BIGINT) FROM c GROUP BY classification
+UNION ALL SELECT 'records', classification, {NULL_PAIR}, CAST(COUNT(DISTINCT o_orderkey) AS BIGINT) FROM c GROUP BY classification
+{" ".join(f"UNION ALL SELECT 'transition', '{n}', {NULL_PAIR}, CAST(COUNT(*) FILTER ({w}) AS BIGINT) FROM b" for n, w in MOVES.items())}
+{" ".join(f"UNION ALL SELECT 'finding', '{sev}:{code}', (SELECT COUNT(*) FROM o WHERE {w}), (SELECT COUNT(*) FROM n WHERE {w}), (SELECT COUNT(*) FROM n WHERE {w}) - (SELECT COUNT(*) FROM o WHERE {w})" for code, (sev, w) in FOUND.items())}
+UNION ALL {suite_lines()}
+UNION ALL SELECT 'packet', raw || ':' || CASE WHEN x.raw_value IS NULL THEN 'unmapped' ELSE 'exact_crosswalk_' || requirement_status END, {NULL_PAIR}, CAST(n AS BIGINT)
+ FROM v LEFT JOIN x ON raw = x.raw_value WHERE x.raw_value IS NULL OR raw NOT IN (SELECT o_orderpriority FROM o)
+UNION ALL SELECT 'gate', 'HOLD_SOURCE_COHERENCE', {NULL_PAIR}, CAST(1 AS BIGINT)""", x=PRIORITY_XW, **OLD_NEW)
+
+
+@query("dif08_acceptance", ACCEPT_SQL)
+def dif08_acceptance(spark, sf):
+    """The whole acceptance; its result tables as one list. Coverage lacks some groups, so the gate holds the snapshot."""
+    old, new = old_new(spark, sf)
+    t = A.accept(old, new, ["o_orderkey"], B.scratch(spark), accept_plan(spark, sf, old))
+    none = F.lit(None).cast("bigint")
+    lines = [
+        t["states"].select(F.lit("state").alias("tab"), F.col("state").alias("name"), none.alias("before"), none.alias("after"), F.col("rows").alias("n")),
+        t["rollup"].select("kind", "value", none, none, "n"), t["transitions"].select(F.lit("transition"), "transition", none, none, "rows"),
+        t["findings"].select(F.lit("finding"), F.concat_ws(":", "severity", "code"), "before", "after", "delta"),
+        t["drift"].select(F.lit("drift"), "label", "old_rows", "new_rows", "added"),
+        t["packets"].select(F.lit("packet"), F.concat_ws(":", "raw_or_context", "current_fail_closed_status"), none, none, "frequency"),
+        t["gate"].select(F.lit("gate"), "status", none, none, F.lit(1).cast("bigint"))]
+    out = lines[0]
+    for line in lines[1:]:
+        out = out.union(line)
+    return out
