@@ -237,6 +237,8 @@ class TableContract:
     booleans: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     domains: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    #: no cell holds a line break, so a file may be read in pieces
+    one_line: bool = False
 
     def kind(self, column: str) -> T.DataType:
         if column in self.integers:

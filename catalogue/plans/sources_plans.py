@@ -57,6 +57,21 @@ def src01(spark, sf):
     return df.select(*SRC01_COLUMNS, (F.col(R.ROW) >= 2).alias("numbered"))
 
 
+ONE_LINE = K.TableContract("lines", ("id", "status", "priority"), one_line=True)
+
+
+@query("src01_split_csv", """
+SELECT part, CAST(ROW_NUMBER() OVER (PARTITION BY part ORDER BY o_orderkey) + 1 AS BIGINT) AS _row_number, CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, o_orderpriority AS priority
+FROM (SELECT *, CAST(o_orderkey % 3 AS BIGINT) AS part FROM orders) s""")
+def src01_split(spark, sf):
+    """Files of a contract without line breaks, read in pieces: the row numbers of every file."""
+    lines = B.table(spark, sf, "orders").select((F.col("o_orderkey") % 3).alias("part"), F.col("o_orderkey").alias("seq"),
+                                                F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus", "o_orderpriority").alias("line"))
+    path = write_lines(spark, lines, headers(spark, [",".join(ONE_LINE.columns)] * 3))
+    df = R.read_contract_csv(spark, path, ONE_LINE)
+    return df.select(part_of("_file").alias("part"), R.ROW, "id", "status", "priority")
+
+
 @query("src02_csv_width", """
 SELECT CAST(o_orderkey % 4 AS BIGINT) AS part, CAST(3 AS BIGINT) AS expected_count,
   CAST(CASE WHEN o_orderkey % 5 = 0 THEN 2 ELSE 4 END AS BIGINT) AS actual_count, CAST(COUNT(*) AS BIGINT) AS n

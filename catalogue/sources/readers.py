@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import TableContract
 from ..functions import columns as P
+from ..functions.skew import broadcast_if_small
 
 CORRUPT = "_corrupt_record"
 ROW = "_row_number"
@@ -19,18 +20,20 @@ def read_contract_csv(spark: SparkSession, path: str, contract: TableContract) -
     """All-text rows of a contract CSV with the logical row number (the header is row 1).
 
     The first record of every file has to be the contract's header to the letter, upper and lower case included;
-    another one fails the read. Blank cells and cells missing at the end of a short row are
-    empty strings. Quoted line breaks force one task per file, so large tables should come as many files.
+    another one fails the read. Blank cells and cells missing at the end of a short row are empty strings.
+
+    A contract whose cells may hold line breaks forces one task per file. One that says ``one_line`` is read in pieces of a
+    file: its rows are numbered by their place in the piece and the counts of the pieces before it.
     """
     schema = T.StructType([*contract.text_schema.fields, T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read.schema(schema)
-           .options(header=False, multiLine=True, mode="PERMISSIVE", encoding="UTF-8",
+           .options(header=False, multiLine=not contract.one_line, mode="PERMISSIVE", encoding="UTF-8",
                     columnNameOfCorruptRecord=CORRUPT, columnPruning=False, escape='"')
            .csv(path)
            .select(*[P.text(c).alias(c) for c in contract.columns], CORRUPT,
-                   F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at")))
-    starts = raw.groupBy("_file").agg(F.min("_at").alias("_start"))
-    numbered = raw.join(starts, "_file").withColumn(ROW, F.col("_at") - F.col("_start") + 1)
+                   F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                   F.monotonically_increasing_id().alias("_at")))
+    numbered = number_by_pieces(raw, raw.select("_file", "_block", "_at")).withColumn(ROW, F.col("_row") + 1)
     cells = [F.regexp_replace(c, r"\A\x{FEFF}", "") for c in contract.columns]
     right = F.concat_ws("\x00", *cells) == F.lit("\x00".join(contract.columns))
     wrong = F.raise_error(F.concat(F.lit("not the header of the contract: "), F.concat_ws(",", *cells), F.lit(" in "), "_file"))
@@ -38,6 +41,18 @@ def read_contract_csv(spark: SparkSession, path: str, contract: TableContract) -
     return numbered.where(is_row).select(*contract.columns, ROW, CORRUPT, "_file")
 
 
+def number_by_pieces(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """Adds ``_row``: the row's place in its file, from 0, where each (_file, _block) was read by one task in order of ``_at``.
+
+    What is added up is one count per piece of a file, so it is joined by broadcast and no row is shuffled; ``places`` are the
+    columns (_file, _block, _at) of the same rows.
+    """
+    pieces = places.groupBy("_file", "_block").agg(F.min("_at").alias("_start"), F.count("*").alias("_n"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    bases = pieces.select("_file", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start")).alias("_base"))
+    return rows.join(broadcast_if_small(bases), ["_file", "_block"]).withColumn("_row", F.col("_at") + F.col("_base")).drop("_at", "_base", "_block")
+
+
 def cell_count(raw: str | Column) -> Column:
     """Cells of one raw CSV record, commas inside quotes left out."""
     bare = F.regexp_replace(P.col(raw), r'"([^"]|"")*"', "")
@@ -202,8 +217,10 @@ CORRECTIONS = T.StructType([
 
 
 def read_corrections(spark: SparkSession, path: str) -> DataFrame:
-    """Corrections log, one JSON object per line."""
-    return spark.read.schema(CORRECTIONS).json(path)
+    """Corrections log, one JSON object per line, with its place in the log (file, piece of the file, line) as ``seq``."""
+    lines = spark.read.schema(CORRECTIONS).json(path)
+    return lines.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                      F.monotonically_increasing_id().alias("line")).alias("seq"))
 
 
 def parse_json(df: DataFrame, column: str, schema: str) -> DataFrame:
