@@ -16,13 +16,13 @@ from ..sources.shared import settle
 _NTH = (1 << 33) - 1
 
 
-def placed(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+def placed(df: DataFrame, order: Sequence[str | Column], ranges: int | None = None) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``, with ``_part`` (range) and ``_nth`` (place in it, from 0).
 
-    A plan, not a table: write it before it is read twice.
+    Without a number of ``ranges`` Spark chooses it by size. A plan, not a table: write it before it is read twice.
     """
     order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    ranged = (df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
     return ranged.withColumn("_part", F.shiftright("_id", 33)).withColumn("_nth", F.col("_id").bitwiseAND(_NTH)).drop("_id")
 
 

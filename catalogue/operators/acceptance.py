@@ -158,10 +158,10 @@ def gate(schema_same: bool, sidecar: DataFrame | None, findings: DataFrame | Non
     return READY, "Nothing holds the snapshot."
 
 
-def accept(old: DataFrame, new: DataFrame, key: Sequence[str], path: str, plan: Plan = Plan()) -> dict[str, DataFrame]:
+def accept(old: DataFrame, new: DataFrame, key: Sequence[str], path: str, plan: Plan | None = None) -> dict[str, DataFrame]:
     """Compares the snapshots and writes all result tables below ``path``: states, changes, cells, rollup, transitions, findings,
     drift, packets, sidecar, gate; those that the plan does not ask for are left out. ``key`` is unique in both snapshots."""
-    spark, key = old.sparkSession, list(key)
+    spark, key, plan = old.sparkSession, list(key), plan or Plan()
     changes = change_set(old, new, key, path)
     out = {"states": spark.read.parquet(f"{path}/states"), "changes": changes}
 

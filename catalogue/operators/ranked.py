@@ -52,10 +52,14 @@ class RankedTable:
         return rows.withColumn("rank", base[F.col("part")] + F.col("_nth")).orderBy("rank").drop("part", "_nth")
 
 
-def build_ranked(df: DataFrame, path: str, order: Sequence[str] = SEARCH_ORDER, collation: str | None = None, blank_nulls: bool = False) -> RankedTable:
-    """Writes ``df`` by rank below ``path``, a directory per range of the order, and opens it."""
+def build_ranked(df: DataFrame, path: str, order: Sequence[str] = SEARCH_ORDER, collation: str | None = None, blank_nulls: bool = False,
+                 ranges: int | None = None) -> RankedTable:
+    """Writes ``df`` by rank below ``path``, a directory per range of the order, and opens it.
+
+    ``ranges`` is the number of directories; without it Spark chooses by size.
+    """
     columns = order_columns(order, collation, blank_nulls)
-    ranked = placed(df, columns).withColumn("part", F.col("_part").cast("int")).drop("_part")
+    ranked = placed(df, columns, ranges).withColumn("part", F.col("_part").cast("int")).drop("_part")
     ranked.sortWithinPartitions("part", "_nth").write.partitionBy("part").parquet(path)
     spark = df.sparkSession
     starts = part_starts(spark.read.parquet(path).select(F.col("part").alias("_part")))

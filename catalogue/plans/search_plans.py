@@ -254,6 +254,8 @@ def sea17(spark, sf):
     return S.page(B.table(spark, sf, "customer"), ["c_name", "c_custkey"], 30, 20, collation="ja").select("c_name", "c_custkey")
 
 
+#: directories of a stored table; small tables need few
+DIRS = 8
 _BUILT: dict[tuple, tuple] = {}
 
 
@@ -282,14 +284,14 @@ def page_sql(order: str) -> str:
 @query("sea11_by_rank", B.with_ctes(page_sql(ORDER_SQL), s=B.B3))
 def sea11_rank(spark, sf):
     """A page two thirds down the order, from the stored ranks."""
-    table = built(spark, sf, "ranked", lambda path: R.build_ranked(f(spark, sf, B.B3), path))
+    table = built(spark, sf, "ranked", lambda path: R.build_ranked(f(spark, sf, B.B3), path, ranges=DIRS))
     return table.page(deep(table.rows), 40).select(*RANKED, "rank")
 
 
 # names of one alphabet in one case sort alike by the collation and by their bytes
 @query("sea17_by_rank", B.with_ctes(page_sql("university, record_id"), s=B.B3))
 def sea17_rank(spark, sf):
-    table = built(spark, sf, "collated", lambda path: R.build_ranked(f(spark, sf, B.B3), path, ("university", "record_id"), collation="ja"))
+    table = built(spark, sf, "collated", lambda path: R.build_ranked(f(spark, sf, B.B3), path, ("university", "record_id"), collation="ja", ranges=DIRS))
     return table.page(deep(table.rows), 40).select(*RANKED, "rank")
 
 
@@ -329,10 +331,6 @@ RECORD_PHRASES = ("#000000123", "HOUSEHOLD", "1-URG", "G17", "F2", "nothing like
 RECORD_ROWS = ", ".join(f"('{p}')" for p in RECORD_PHRASES)
 
 
-#: directories of a stored index; small tables need few
-DIRS = 8
-
-
 def text_index(spark, sf) -> T.TextIndex:
     return built(spark, sf, "text-index", lambda path: T.build_index(B.table(spark, sf, "documents"), "doc_id", ["text", "source", "lang"], path, DIRS, DIRS))
 
