@@ -21,6 +21,9 @@ CACHE_WORDS, CACHE_PARTS = 250_000, 800_000
 #: texts of so many bytes are looked up together
 BYTES_AT_ONCE = 1 << 21
 
+#: parts that the tokenizer gets as one text
+TOGETHER = 256
+
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 # fixed value: the splitting rule of the vocabulary, for lower-case words that PLAIN matches
 PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -52,29 +55,63 @@ class WordEncoder:
         kind = "H" if self.width == 2 else "I"
         return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _split(self, parts: list[str]) -> list[bytes]:
+        """The same for parts, many in one text: each is a piece of its own to the tokenizer, so ids come back by piece."""
+        import numpy as np
+
+        out: list[bytes] = []
+        runs = [parts[k:k + TOGETHER] for k in range(0, len(parts), TOGETHER)]
+        for run, e in zip(runs, self.tokenizer.encode_batch([" ".join(r) for r in runs], add_special_tokens=False)):
+            ids, pieces = np.array(e.ids, f"<u{self.width}"), np.array(e.word_ids)
+            cuts = (np.flatnonzero(pieces[1:] != pieces[:-1]) + 1) * self.width
+            data = ids.tobytes()
+            ends = [*cuts.tolist(), len(data)]
+            if len(ends) == len(run):
+                out += [data[i:j] for i, j in zip([0, *ends], ends)]
+            else:
+                out += self._whole(run)
+        return out
+
     def _learn(self, words: Sequence[bytes]) -> None:
         parts, known = self.parts, self.known
+        get = parts.get
         other: list[bytes] = []
-        late: list[bytes] = []
-        new: set[str] = set()
+        # words of one new part, and words of several of which one is new
+        plain: list[bytes] = []
+        plain_part: list[str] = []
+        mixed: list[bytes] = []
+        mixed_parts: list[list[str]] = []
         for word in words:
+            if word.isalpha():  # letters A-Z alone, so one part
+                part = word.lower().decode()
+                ids = get(part)
+                if ids is None:
+                    plain.append(word)
+                    plain_part.append(part)
+                else:
+                    known[word] = ids
+                continue
             text = word.decode()
             if not PLAIN.fullmatch(text) or SPECIAL in text:
                 other.append(word)
                 continue
             pieces = PARTS.findall(text.lower())
-            try:
-                known[word] = b"".join([parts[p] for p in pieces])
-            except KeyError:
-                late.append(word)
-                new.update(pieces)
+            found = [get(p) for p in pieces]
+            if None in found:
+                mixed.append(word)
+                mixed_parts.append(pieces)
+            else:
+                known[word] = b"".join(found)
         known.update(zip(other, self._whole([w.decode() for w in other])))
+        new = set(plain_part)
+        new.update(chain.from_iterable(mixed_parts))
         if len(parts) + len(new) > self.cache_parts:
             parts.clear()
         fresh = [p for p in new if p not in parts]
-        parts.update(zip(fresh, self._whole(fresh)))
-        for word in late:
-            known[word] = b"".join([parts[p] for p in PARTS.findall(word.decode().lower())])
+        parts.update(zip(fresh, self._split(fresh)))
+        known.update(zip(plain, map(parts.__getitem__, plain_part)))
+        for word, pieces in zip(mixed, mixed_parts):
+            known[word] = b"".join([parts[p] for p in pieces])
 
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         out: list[bytes] = []

@@ -7,14 +7,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: a batch of rows sent to a worker, where the session does not set its own: rows may be long texts
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def with_package(spark: SparkSession) -> None:
-    """Puts this package on the workers' path, so that what a worker keeps lasts over its tasks.
+    """Puts this package on the workers' path, so that what a worker keeps lasts over its tasks, and bounds its batches in bytes.
 
     Executors that do not see this folder get the package the usual way (``--py-files``).
     """
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
