@@ -63,10 +63,6 @@ def state_enum(c: C, domain: Sequence[str], rename: Mapping[str, str] | None = N
     return out
 
 
-def in_domain(c: C, domain: Sequence[str]) -> Column:
-    return col(c).isin(list(domain))
-
-
 def mapped(
     c: C, dataset: C, values: Mapping[str, Mapping[str, str]], prefixes: Mapping[str, Mapping[str, str]] | None = None,
 ) -> Column:

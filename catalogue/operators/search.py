@@ -296,32 +296,23 @@ def run_suite(df: DataFrame, suite: Sequence[tuple[str, SearchRequest]], group:
         bounds = [c for c in ("gpa_min_tenths", "gpa_min_inclusive", "gpa_max_tenths", "gpa_max_inclusive") if c in df.columns]
         counted = (df.select(group, dataset, status, *bounds, mask.alias("_mask"))
                    .groupBy(group, dataset, status, *bounds, "_mask").agg(F.count("*").alias("n")))
-        lines = F.array_compact(F.array(*[
-            F.when(F.getbit("_mask", F.lit(i)) == 1, F.struct(
-                F.lit(label).alias("label"), F.lit(r.value_tenths is not None).alias("valued"),
-                (safe_match(r.value_tenths, status=status) if r.value_tenths is not None else F.lit(False)).alias("safe")))
-            for i, (label, r) in enumerate(part)]))
-        # a query without any match still has its line
-        labels = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(r.value_tenths is not None).alias("valued"),
-                                    F.lit(False).alias("safe")) for label, r in part])
-        datasets = counted.select(dataset).distinct().select(
-            F.lit(None).cast("string").alias(group), dataset, F.lit(None).cast("string").alias(status),
-            F.lit(0).cast("bigint").alias("n"), F.explode(labels).alias("q"))
-        out.append(counted.select(group, dataset, status, "n", F.explode(lines).alias("q")).unionByName(datasets))
-    hits = reduce(DataFrame.unionByName, out).select(group, dataset, status, "n", "q.*")
-    per = hits.groupBy("label", "valued", dataset, group).agg(
-        F.sum("n").alias("t"), F.coalesce(F.sum(F.when(F.col("safe"), F.col("n"))), F.lit(0)).alias("s"),
-        F.coalesce(F.sum(F.when(F.col(status) == "conditional_review", F.col("n"))), F.lit(0)).alias("c"))
-
-    def total(frame: DataFrame, ds: Column, *by: str) -> DataFrame:
-        return frame.groupBy("label", "valued", *by).agg(
-            F.sum("t").alias("total"), F.sum("s").alias("_safe"), F.sum("c").alias("conditional_rows"),
-            F.count_if((F.col("t") > 0) & F.col(group).isNotNull()).alias("groups")).select(
-            "label", ds.cast("string").alias("dataset"), "total", F.when(F.col("valued"), F.col("_safe")).alias("safe_match_rows"),
-            "conditional_rows", "groups")
-
-    both = per.groupBy("label", "valued", group).agg(F.sum("t").alias("t"), F.sum("s").alias("s"), F.sum("c").alias("c"))
-    return total(both, F.lit(None)).unionByName(total(per, F.col(dataset), dataset))
+        # every query has a line, so one without any match is counted as well
+        lines = F.array(*[F.struct(
+            F.lit(label).alias("label"), F.lit(r.value_tenths is not None).alias("valued"), (F.getbit("_mask", F.lit(i)) == 1).alias("hit"),
+            (safe_match(r.value_tenths, status=status) if r.value_tenths is not None else F.lit(False)).alias("safe"))
+            for i, (label, r) in enumerate(part)])
+        out.append(counted.select(group, dataset, status, "n", F.explode(lines).alias("q")))
+    # once for its dataset and once for the whole; then one aggregate per group and one over the groups
+    both = F.explode(F.array(F.struct(F.lit(False).alias("whole"), F.col(dataset).cast("string").alias("dataset")),
+                             F.struct(F.lit(True).alias("whole"), F.lit(None).cast("string").alias("dataset"))))
+    hits = reduce(DataFrame.unionByName, out).select(F.col(group).alias("_g"), F.col(status).alias("_s"), "n", "q.*", both.alias("d")).select("*", "d.*")
+    of = lambda when: F.coalesce(F.sum(F.when(F.col("hit") & when, F.col("n"))), F.lit(0))
+    per = hits.groupBy("label", "valued", "whole", "dataset", "_g").agg(
+        of(F.lit(True)).alias("t"), of(F.col("safe")).alias("s"), of(F.coalesce(F.col("_s") == "conditional_review", F.lit(False))).alias("c"))
+    sums = per.groupBy("label", "valued", "whole", "dataset").agg(
+        F.sum("t").alias("total"), F.sum("s").alias("_safe"), F.sum("c").alias("conditional_rows"),
+        F.count_if((F.col("t") > 0) & F.col("_g").isNotNull()).alias("groups"))
+    return sums.select("label", "dataset", "total", F.when(F.col("valued"), F.col("_safe")).alias("safe_match_rows"), "conditional_rows", "groups")
 
 
 def compare_results(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:

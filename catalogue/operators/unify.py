@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from .. import contract as K
 from ..functions import columns as P
-from ..functions.skew import fingerprint
 from .rules import Rule
 
 
@@ -229,7 +228,3 @@ def lossless_keyless(src: DataFrame, out: DataFrame) -> DataFrame:
     """Loss check for tables without a key: rows that are missing or extra, copies counted."""
     return src.exceptAll(out).select(F.lit("missing").alias("side"), "*").unionByName(
         out.exceptAll(src).select(F.lit("extra").alias("side"), "*"))
-
-
-def row_fingerprint(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.withColumn("_fp", fingerprint(cols))

@@ -8,6 +8,8 @@ from .. import contract as K
 from ..operators import corrections as C
 from ..operators import ledger as L
 from ..operators import views as V
+from ..sources import readers as R
+from ..sources import sinks as S
 from . import bindings as B
 from .registry import query
 
@@ -132,7 +134,7 @@ def checks(src: str, id_: str, rules: list[tuple[str, str | None, str]]) -> str:
     return " UNION ALL ".join(f"SELECT {id_} AS id, '{n}' AS issue, {'CAST(NULL AS VARCHAR)' if c is None else repr(c)} AS field FROM {src} WHERE {w}" for n, c, w in rules)
 
 
-@query("ops04_queue_issues", B.with_ctes(checks("q", "queue_id", [
+QUEUE_SQL = (checks("q", "queue_id", [
     ("blank_id", "queue_id", "queue_id = ''"), ("university_missing", "university", "university = ''"),
     ("invalid_publication_status", "publication_status", f"publication_status NOT IN ({words(K.PUBLICATION_STATUSES)})"),
     ("invalid_action_status", "action_status", f"action_status NOT IN ({words(K.ACTION_STATUSES)})"),
@@ -141,24 +143,46 @@ def checks(src: str, id_: str, rules: list[tuple[str, str | None, str]]) -> str:
     ("scheduled_without_text", "release_expected_text", "publication_status = '公開予定' AND release_expected_text = ''"),
     ("update_needed_but_unpublished", "action_status", "action_status = '更新必要' AND publication_status NOT IN ('公開済', '一部公開')"),
     ("waiting_without_next_check", "next_check_on", "action_status IN ('待機', '確認時期到来') AND next_check_on = ''")])
-    + " UNION ALL SELECT queue_id, 'repeated_id', 'queue_id' FROM q WHERE queue_id <> '' GROUP BY queue_id HAVING COUNT(*) > 1", q=B.QUEUE))
+    + " UNION ALL SELECT queue_id, 'repeated_id', 'queue_id' FROM q WHERE queue_id <> '' GROUP BY queue_id HAVING COUNT(*) > 1")
+
+
+@query("ops04_queue_issues", B.with_ctes(QUEUE_SQL, q=B.QUEUE))
 def ops04(spark, sf):
     return L.queue_issues(f(spark, sf, B.QUEUE))
 
 
+@query("ops04_queue_file", B.with_ctes(QUEUE_SQL, q=B.QUEUE))
+def ops04_file(spark, sf):
+    """The same from the queue as a file of its contract."""
+    path = B.scratch(spark)
+    S.write_canonical(f(spark, sf, B.QUEUE), path, K.TableContract("update_queue", K.QUEUE_COLUMNS))
+    return L.queue_issues(R.read_queue(spark, path))
+
+
 LEDGER_ID = "institution_type || ':' || university"
 
 
-@query("ops05_ledger_issues", B.with_ctes(checks("l", LEDGER_ID, [
+LEDGER_SQL = (checks("l", LEDGER_ID, [
     ("invalid_audit_status", "reaudit_status", f"reaudit_status NOT IN ({words(K.AUDIT_STATUSES)})"),
     *[("invalid_check_status", c, f"{c} NOT IN ({words(K.CHECK_STATUSES)})") for c in K.LEDGER_CHECKS],
     ("invalid_date", "last_audited_on", bad_date("last_audited_on")),
     *[("invalid_count", c, f"{c} <> '' AND NOT regexp_matches({c}, '^[0-9]+$')") for c in K.LEDGER_COUNTS]])
-    + f" UNION ALL SELECT id, 'repeated_key', NULL FROM (SELECT {LEDGER_ID} AS id, ROW_NUMBER() OVER (PARTITION BY {LEDGER_ID}) AS rn FROM l) r WHERE rn > 1", l=B.LEDGER_TWICE))
+    + f" UNION ALL SELECT id, 'repeated_key', NULL FROM (SELECT {LEDGER_ID} AS id, ROW_NUMBER() OVER (PARTITION BY {LEDGER_ID}) AS rn FROM l) r WHERE rn > 1")
+
+
+@query("ops05_ledger_issues", B.with_ctes(LEDGER_SQL, l=B.LEDGER_TWICE))
 def ops05(spark, sf):
     return L.ledger_issues(f(spark, sf, B.LEDGER_TWICE))
 
 
+@query("ops05_ledger_file", B.with_ctes(LEDGER_SQL, l=B.LEDGER_TWICE))
+def ops05_file(spark, sf):
+    """The same from the ledger as a file of its contract."""
+    path = B.scratch(spark)
+    S.write_canonical(f(spark, sf, B.LEDGER_TWICE), path, K.TableContract("audit_ledger", K.LEDGER_COLUMNS))
+    return L.ledger_issues(R.read_ledger(spark, path))
+
+
 @query("ops06_reconcile", B.with_ctes("""
 , a AS (SELECT institution_type, university, COUNT(*) AS n FROM q WHERE action_status <> '完了' GROUP BY ALL)
 SELECT institution_type, university, COALESCE(CAST(update_queue_open_count AS BIGINT), 0) AS ledger, CAST(COALESCE(n, 0) AS BIGINT) AS actual, CASE WHEN update_queue_open_count IS NULL THEN 'missing_in_ledger' ELSE 'count_mismatch' END AS issue

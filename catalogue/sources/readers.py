@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import contract as K
 from ..contract import TableContract
 from ..functions import columns as P
 from ..functions.skew import broadcast_if_small
@@ -223,6 +224,16 @@ def read_corrections(spark: SparkSession, path: str) -> DataFrame:
                                       F.monotonically_increasing_id().alias("line")).alias("seq"))
 
 
+def read_queue(spark: SparkSession, path: str) -> DataFrame:
+    """The update queue: a CSV with its header to the letter, blank cells empty, and the row number."""
+    return read_contract_csv(spark, path, TableContract("update_queue", K.QUEUE_COLUMNS))
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The audit ledger: a CSV with its header to the letter, blank cells empty, and the row number."""
+    return read_contract_csv(spark, path, TableContract("audit_ledger", K.LEDGER_COLUMNS))
+
+
 def parse_json(df: DataFrame, column: str, schema: str) -> DataFrame:
     """Nested JSON text as columns; NULL where the text is not that JSON."""
     return df.withColumn("_parsed", F.from_json(column, schema)).select("*", "_parsed.*").drop("_parsed")
