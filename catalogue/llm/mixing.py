@@ -122,16 +122,22 @@ def schedule(documents: DataFrame, row: str | None = None) -> tuple[DataFrame, D
 
 
 def mix(documents: DataFrame) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken.
+    """One row per document: doc_id, size, source_size, target, taken, first_slot, n_draws, draws_checksum.
+
+    The last three say where the schedule puts the document: its earliest slot (null if it takes nothing), how many slots draw
+    from it, and a checksum over slot, pass, first word and number of words of these draws.
 
     A null text has no words, a null source is a source of its own and comes last, and a null doc_id is shuffled like
     any other. Documents without words, and sources without any, take nothing. Rows that repeat a doc_id are mixed one
     by one. An empty table gives no rows; further columns are ignored.
     """
     rows, _, draws = schedule(documents)
-    taken = draws.groupBy("row").agg(F.sum("n_words").alias("taken"))
-    return rows.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    mark = (F.col("slot") * 1_000_003 + F.col("epoch") * 65_537 + F.col("first_word") * 8191 + F.col("n_words")) % 2_147_483_647
+    taken = draws.groupBy("row").agg(F.sum("n_words").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("n_draws"),
+                                     F.sum(mark).alias("draws_checksum"))
+    none = F.lit(0).cast("long")
+    return rows.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", none).alias("taken"), "first_slot",
+                                                  F.coalesce("n_draws", none).alias("n_draws"), F.coalesce("draws_checksum", none).alias("draws_checksum"))
 
 
 def _first_words(text: Column, n: Column) -> Column:

@@ -28,7 +28,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 MIX_SQL = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
 ), z AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
 ), k AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rank FROM z
@@ -37,16 +37,29 @@ WITH d AS (
     (sum(weight) OVER (ORDER BY ratio, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS rest FROM w
 ), f AS (SELECT *, remaining * weight <= cap * rest AS fits FROM o
 ), l AS (SELECT ratio AS at_ratio, rank AS at_rank, remaining / rest AS level FROM f WHERE fits ORDER BY ratio, rank LIMIT 1
-), t AS (SELECT source, source_size, CASE WHEN (ratio, rank) >= (at_ratio, at_rank) THEN level * weight ELSE cap::DOUBLE END AS target FROM f, l
+), t AS (SELECT source, source_size, rank, CASE WHEN (ratio, rank) >= (at_ratio, at_rank) THEN level * weight ELSE cap::DOUBLE END AS target FROM f, l
 ), q AS (
-  SELECT r, doc_id, size, t.source_size, t.target, round(t.target)::BIGINT AS quota,
+  SELECT r, doc_id, size, rank, t.source_size, t.target, round(t.target)::BIGINT AS quota,
     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT, doc_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size::BIGINT AS size, source_size, target::DOUBLE AS target,
-  (greatest(0, least(start + size, quota) - start) + greatest(0, least(start + source_size + size, quota) - start - source_size)
-    + greatest(0, least(start + 2 * source_size + size, quota) - start - 2 * source_size))::BIGINT AS taken
-FROM q
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), a AS (SELECT words, sources, greatest(1, least(1024, words // 131072), (2 * words + 2971215072) // 2971215073) AS block FROM (SELECT sum(source_size)::BIGINT AS words, count(*) AS sources FROM z)
+), fib(prev, n) AS (SELECT 1::BIGINT, 2::BIGINT UNION ALL SELECT n, prev + n FROM fib, a WHERE n < words // block + sources + 1
+), g AS (SELECT max(n) AS n, max(prev) AS prev, block FROM fib, a GROUP BY block
+), s AS (SELECT rank, (round(target)::BIGINT + block - 1) // block AS slots FROM t, a
+), e AS (SELECT rank, slots, coalesce(sum(slots) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS lo FROM s WHERE slots > 0
+), p AS (SELECT rank, unnest(range(lo, lo + slots)) AS position FROM e
+), y AS (SELECT rank, position * CASE WHEN prev * prev % n = 1 THEN prev ELSE n - prev END % n AS slot FROM p, g
+), nt AS (SELECT rank, slot, row_number() OVER (PARTITION BY rank ORDER BY slot) - 1 AS nth FROM y
+), v AS (SELECT r, rank, epoch, start + epoch * source_size AS lo, least(start + epoch * source_size + size, quota) AS hi FROM q, range(3) x(epoch) WHERE size > 0
+), c AS (SELECT r, rank, epoch, lo, hi, block, unnest(range(lo // block, (hi - 1) // block + 1)) AS nth FROM v, a WHERE lo < hi
+), h AS (
+  SELECT r, slot, epoch, greatest(lo, nth * block) - lo AS first_word, least(hi, (nth + 1) * block) - greatest(lo, nth * block) AS n_words FROM c JOIN nt USING (rank, nth)
+), m AS (
+  SELECT r, sum(n_words)::BIGINT AS taken, min(slot) AS first_slot, count(*) AS n_draws,
+    sum((slot * 1000003 + epoch * 65537 + first_word * 8191 + n_words) % 2147483647)::BIGINT AS draws_checksum FROM h GROUP BY r)
+SELECT doc_id, size::BIGINT AS size, source_size, target::DOUBLE AS target, coalesce(taken, 0) AS taken, first_slot, coalesce(n_draws, 0) AS n_draws, coalesce(draws_checksum, 0) AS draws_checksum
+FROM q LEFT JOIN m USING (r)
 """
 
 #: every page as the record of a crawl and, a month later, the record of a crawl that got a 304 for another spelling of

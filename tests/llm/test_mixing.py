@@ -98,3 +98,12 @@ def test_the_mix_holds_the_words_taken(spark):
         have[r["doc_id"]] = have.get(r["doc_id"], 0) + len(WORD.findall(r["text"]))
     assert have == {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect() if r["taken"]}
     assert mixing.mixed_documents(empty(spark)).count() == 0
+
+
+def test_the_lattice_decides_the_slots(spark, monkeypatch):
+    docs = docs_of(spark, {"a": 400, "b": 300})
+    first = rows(mixing.mix(docs))
+    plain = mixing.lattice
+    monkeypatch.setattr(mixing, "lattice", lambda slots: (plain(slots)[0], 1))  # slots one after the other
+    second = rows(mixing.mix(docs))
+    assert first != second and [r[:5] for r in first] == [r[:5] for r in second]
