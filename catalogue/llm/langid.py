@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from .workers import map_batches
 
-#: the sample of a language: so many pieces of so many characters, each from another document
+#: the sample of a language: so many of the pieces of so many characters that its labelled texts are cut into
 SAMPLE_PIECES, SAMPLE_CHARS = 128, 256
 #: a text is parsed in pieces of so many bytes, so many at a time
 PIECE_BYTES, PIECES_AT_ONCE = 512, 16_384
@@ -35,17 +35,17 @@ def cleaned(text: str | None) -> bytes:
 
 
 def sample(documents: DataFrame) -> DataFrame:
-    """(lang, piece): per language up to SAMPLE_PIECES pieces, those of the documents whose id hashes lowest.
+    """(lang, piece): per language up to SAMPLE_PIECES pieces of all its labelled texts, those that hash lowest.
 
-    Spark keeps only that many rows per language and task before anything is shuffled.
+    Every text is cut into pieces of SAMPLE_CHARS from its beginning to its end, and each piece may be drawn, so long texts are
+    as likely to be heard in their middle as at their start. Spark keeps only that many rows per language and task before
+    anything is shuffled.
     """
-    length = F.char_length("text")
-    begin = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(length - SAMPLE_CHARS, F.lit(0)) + 1) + 1
-    rows = documents.where("lang IS NOT NULL AND text IS NOT NULL").select(
-        "lang", F.xxhash64("doc_id").alias("_at"), "doc_id", F.substring("text", begin, F.lit(SAMPLE_CHARS)).alias("piece"))
-    rows = rows.where(F.trim("piece") != "")
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("_at", "doc_id", "piece"))
-    return rows.withColumn("_nth", nth).where(F.col("_nth") <= SAMPLE_PIECES).select("lang", "piece")
+    last = F.greatest(F.lit(0), F.floor((F.char_length("text") - 1) / SAMPLE_CHARS)).cast("int")
+    known = documents.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "doc_id", "text", F.explode(F.sequence(F.lit(0), last)).alias("_i"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("_at", "doc_id", "_i"))
+    rows = known.select("lang", "doc_id", "_i", F.xxhash64("doc_id", "_i").alias("_at"), F.substring("text", F.col("_i") * SAMPLE_CHARS + 1, F.lit(SAMPLE_CHARS)).alias("piece"))
+    return rows.where(F.trim("piece") != "").withColumn("_nth", nth).where(F.col("_nth") <= SAMPLE_PIECES).select("lang", "piece")
 
 
 def automaton(data: bytes):

@@ -259,15 +259,3 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     groups = settle(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "components")
     named = settle(rooted.join(groups, "root").select("fp", "component_id"), "named")
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The document of each group that stays, the one with the smallest doc_id, with all its columns.
-
-    What is joined to the texts is the list of ids that go, so texts move only where that list is too long to send to
-    every task. An id that repeats stays if any of its rows does.
-    """
-    by_id = near_duplicates(docs).groupBy("doc_id").agg(F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"))
-    gone = settle(by_id.where("NOT stays").select(F.col("doc_id").alias("id")), "gone")
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
-    return whole.join(gone, F.col("doc.doc_id").eqNullSafe(F.col("id")), "left_anti").select("doc.*")

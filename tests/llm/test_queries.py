@@ -1,5 +1,6 @@
 """The registered queries on the smallest tables: against their SQL, or against brute force."""
 
+import html
 import re
 import zlib
 
@@ -88,9 +89,55 @@ def test_op8(spark, sf, documents):
     assert got == near_groups(documents)
 
 
-def test_op3_keeps_the_article(spark, sf):
-    for r in QUERIES["op3_minimum_cut"](spark, sf).collect():
-        assert r["n_chars"] == len(r["text"]) > 0
+BLOCK = re.compile(r"</?(?:p|h[1-6]|li|ul|ol|blockquote|pre|table|tr|td|th|div|section|br)\b[^>]*>", re.I)
+
+
+def article(page):
+    """The blocks of the article by pattern: what its own tags enclose, without embedded notices."""
+    inner = "".join(re.findall(r"(?is)<article\b[^>]*>(.*?)</article>", page or ""))
+    inner = re.sub(r"(?is)<!--.*?-->|<(script|style|aside|form|nav|figure)\b.*?</\1>|<div class=\"[^\"]*\bad\b[^\"]*\">.*?</div>", "", inner)
+    blocks = (" ".join(html.unescape(re.sub(r"<[^>]+>", "", b)).split()) for b in BLOCK.split(inner))
+    return "\n".join(b for b in blocks if b)
+
+
+def test_op3_keeps_the_article_and_nothing_else(spark, sf, duck):
+    pages = dict(duck.sql("select page_id, html from pages").fetchall())
+    got = QUERIES["op3_minimum_cut"](spark, sf).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        assert r["text"] == article(pages[r["page_id"]]) and r["n_chars"] == len(r["text"]) > 0
+
+
+def verdict(text):
+    """Kept or not by the bands, computed anew: ratios of the whole text and of its chunks within limits by length and width."""
+    import math
+
+    import zstandard
+
+    raw = (text or "").encode()
+
+    def fits(part):
+        if not part:
+            return True
+        ratio = len(part) / len(zstandard.ZstdCompressor(level=bands.LEVEL).compress(part))
+        letters = sum(not 0x80 <= c < 0xC0 for c in part)
+        row = lambda n: max(k for k, b in enumerate(bands.BANDS) if b[0] <= n)
+        low, k = bands.BANDS[row(len(part))][1], row(letters)
+        high = bands.BANDS[k][2]
+        if 0 < k < len(bands.BANDS) - 1:
+            after = bands.BANDS[k + 1]
+            high += (after[2] - high) * math.log(letters / bands.BANDS[k][0], 2) / math.log(after[0] / bands.BANDS[k][0], 2)
+        return low <= ratio <= high * (len(part) / max(letters, 1)) ** bands.WIDTH
+
+    chunks = [raw[k:k + bands.CHUNK_BYTES] for k in range(0, len(raw), bands.CHUNK_BYTES)] if len(raw) > bands.CHUNK_BYTES else []
+    bad = sum(len(c) for c in chunks if not fits(c))
+    return not brute_counts(text)[5] and fits(raw) and bad <= bands.BAD_CHUNK_SHARE * len(raw)
+
+
+def test_op6_keeps_what_is_in_the_bands(spark, sf, documents):
+    texts = {d["doc_id"]: d["text"] for d in documents}
+    got = {r["doc_id"]: r["kept"] for r in QUERIES["op6_compression_bands"](spark, sf).collect()}
+    assert got == {i: verdict(t) for i, t in texts.items()} and 0 < sum(got.values()) < len(got)
 
 
 def test_pipeline_by_brute_force(spark, sf, documents):

@@ -92,21 +92,3 @@ def test_long_chains_become_stars(spark):
     edges = spark.createDataFrame([(k + 1, k) for k in range(200)] + [(1000, 5), (7, 7)], "u long, v long")
     assert rows(simhash.stars(edges)) == sorted([(k, 0) for k in range(1, 201)] + [(1000, 0)], key=repr)
     assert simhash.stars(edges.limit(0)).count() == 0
-
-
-def test_odd_rows_and_columns(spark):
-    docs = table(spark)
-    got = rows(simhash.near_duplicates(cluttered(docs)))
-    assert len(got) == docs.count()
-    signed = {f: f - (1 << 64) if f >> 63 else f for f in (brute_fingerprint(r["text"]) for r in docs.collect())}
-    root = components(sorted(signed.values()))
-    least = {}
-    for r in docs.collect():
-        c = root[signed[brute_fingerprint(r["text"])]]
-        least[c] = min((x for x in (least.get(c), r["doc_id"]) if x is not None), default=None)
-    want = [(r["doc_id"], f"{brute_fingerprint(r['text']):016x}", least[root[signed[brute_fingerprint(r["text"])]]]) for r in docs.collect()]
-    assert got == sorted(want, key=repr)
-    kept = simhash.drop_near_duplicates(cluttered(docs))
-    assert kept.columns == cluttered(docs).columns
-    assert {r["doc_id"] for r in kept.collect()} == set(least.values())
-    assert simhash.near_duplicates(empty(spark)).count() == 0
