@@ -129,3 +129,22 @@ def test_dimension_version_gate(spark, tmp_path):
     (tmp_path / "d.csv").write_text("v,code\n0.1,a\n0.2,b\n")
     with pytest.raises(Exception, match="v is not 0.1"):
         R.read_dimension(spark, str(tmp_path / "d.csv"), ("v", "code"), "v", "0.1").collect()
+
+
+def test_a_bundle_reads_its_tables_once(spark, tmp_path):
+    """What is read several times is written first, so the findings no longer go back to the wide tables."""
+    frames = []
+    for name, contract, rows in (("m", K.MASTER, [FILLED, FILLED]), ("c", K.COVERAGE, [COVERAGE, COVERAGE]), ("r", K.RESEARCH, [RESEARCH, RESEARCH])):
+        table(spark, contract, rows).write.parquet(str(tmp_path / name))
+        frames.append(spark.read.parquet(str(tmp_path / name)))
+    found = bundle.set_issues(*frames)
+    assert not [f for f in found.inputFiles() if str(tmp_path) in f]
+    assert {r["code"] for r in found.collect()} == {"MASTER_PK_DUPLICATE", "COVERAGE_KEY_DUPLICATE", "COVERAGE_MASTER_ROWS_MISMATCH", "RESEARCH_EXACT_DUPLICATE"}
+
+
+def test_a_finding_does_not_carry_its_row(spark):
+    df = spark.createDataFrame([("d", "r", 1, " x", "y")], "source_dataset string, record_id string, _row_number long, a string, b string")
+    found = V.apply_rules(df, V.whitespace_rules(["a", "b"]), "t", "source_dataset", "record_id")
+    generated = [line for line in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Generate" in line]
+    assert len(generated) == 1 and ", a#" not in generated[0] and ", b#" not in generated[0]
+    assert found.first()["details"] == {"leading": "true", "trailing": "false"} and found.count() == 1
