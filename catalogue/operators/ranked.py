@@ -25,6 +25,10 @@ def order_columns(order: Sequence[str], collation: str | None = None, blank_null
     return [x for c in order for x in by(c)]
 
 
+#: rows of one range, which one task sorts
+RANGE_ROWS = 1 << 16
+
+
 @dataclass(frozen=True)
 class RankedTable:
     """An opened table in rank order; ``starts`` has (part, rows, rank of its first row), one entry per range."""
@@ -56,9 +60,12 @@ def build_ranked(df: DataFrame, path: str, order: Sequence[str] = SEARCH_ORDER,
                  ranges: int | None = None) -> RankedTable:
     """Writes ``df`` by rank below ``path``, a directory per range of the order, and opens it.
 
-    ``ranges`` is the number of directories; without it Spark chooses by size.
+    ``ranges`` is the least number of directories, so that small tables have several; a table of more than ``RANGE_ROWS`` rows a
+    range gets more of them, so a task sorts the same number of rows whatever the size. Without it Spark chooses by size.
     """
     columns = order_columns(order, collation, blank_nulls)
+    if ranges:
+        ranges = max(ranges, -(-df.count() // RANGE_ROWS))
     ranked = placed(df, columns, ranges).withColumn("part", F.col("_part").cast("int")).drop("_part")
     ranked.sortWithinPartitions("part", "_nth").write.partitionBy("part").parquet(path)
     spark = df.sparkSession
