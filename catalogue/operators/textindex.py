@@ -132,7 +132,8 @@ def build_index(df: DataFrame, key: str, fields: Sequence[str], path: str, parts
     rows = df.select(key, *[F.col(c).cast("string").alias(c) for c in fields])
     # texts go first, so that the trigrams are taken from evenly dealt files, once
     texts = settle(rows.withColumn("slot", _part(F.col(key), slots)).repartition(key), "texts")
-    texts.repartition("slot").sortWithinPartitions("slot", key).write.partitionBy("slot").parquet(f"{path}/texts")
+    # as with the postings, the key is part of the range: tasks and files follow the size of the texts, not the number of slots
+    texts.repartitionByRange("slot", key).sortWithinPartitions("slot", key).write.partitionBy("slot").parquet(f"{path}/texts")
     found = F.flatten(F.array(*[F.coalesce(trigrams_of(F.col(c)), F.array().cast("array<string>")) for c in fields]))
     postings = texts.select(F.explode(F.array_distinct(found)).alias("trigram"), key).withColumn("part", _part(F.col("trigram"), parts))
     # the key is part of the range, so a trigram that most rows hold is cut into several files

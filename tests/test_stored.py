@@ -100,3 +100,22 @@ def test_one_large_csv_is_read_by_several_tasks(spark, tmp_path):
     (tmp_path / "b.csv").write_text("name,id\nx,y\n")
     with pytest.raises(Exception, match="not the header"):
         R.read_contract_csv(spark, str(tmp_path), contract).collect()
+
+
+def test_large_tables_get_more_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ranked, "RANGE_ROWS", 50)
+    df = spark.createDataFrame([(k * 7919 % 997,) for k in range(997)], "k int")
+    table = ranked.build_ranked(df, str(tmp_path / "many"), ("k",), ranges=2)
+    assert len(table.starts) >= 15 and max(n for _, n, _ in table.starts) <= 150
+    assert [(r["rank"], r["k"]) for r in table.page(700, 5).collect()] == [(k, k) for k in range(700, 705)]
+
+
+def test_a_slot_of_many_texts_is_cut(spark, texts, tmp_path):
+    keep = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(keep, "false")
+    try:
+        index = textindex.build_index(spark.createDataFrame(texts, "k long, a string, b string"), "k", ["a", "b"], str(tmp_path / "one"), 1, 1)
+    finally:
+        spark.conf.unset(keep)
+    assert len(index.texts.inputFiles()) > 1
+    assert index.find(["unique"]).collect() == [("unique", 300)]
