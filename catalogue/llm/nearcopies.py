@@ -1,8 +1,9 @@
 """Near copies by exact similarity: word shingles, MinHash bands for the candidates, the full sets for the verdict.
 
 Two texts are near copies if their sets of 5-word shingles have a Jaccard similarity of 0.8 or more. Candidates share one
-of 48 bands of 6 minima; a pair at exactly 0.8 shares none with probability (1 - 0.8^6)^48, below one in a million. Every
-candidate is decided on its whole sets. A text goes only if a near copy of it with a smaller doc_id stays, so no two near
+of 48 bands of 6 minima; a pair at exactly 0.8 shares none with probability (1 - 0.8^6)^48, below one in a million. A
+component of operator 8 (fingerprints linked at 4 or fewer differing bits) is one more band. Every candidate is decided on
+its whole sets. A text goes only if a near copy of it with a smaller doc_id stays, so no two near
 copies stay and nothing goes without one that does.
 
 Texts are first compared with the first of each band, which settles a group with many copies in rows that grow with the
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import settle
+from . import simhash
 from .workers import map_batches
 
 SHINGLE_WORDS = 5
@@ -262,10 +264,20 @@ def _sketches(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, settle(nodes, "nodes")
 
 
+def _linked(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, band): the components of operator 8 that hold several documents, each a band of the nodes its documents name."""
+    found = simhash.near_duplicates(texts).select("doc_id", "component_id")
+    several = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("component_id").alias("c"))
+    found = found.join(several, F.col("component_id").eqNullSafe(F.col("c")), "left_semi")
+    band = F.xxhash64(F.lit("component"), "component_id").alias("band")
+    return nodes.join(found, F.col("first").eqNullSafe(F.col("doc_id"))).select("node", band).distinct()
+
+
 def _candidates(texts: DataFrame, rows: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members of bands that several nodes share, and the whole sets of those nodes."""
     # every row brings its bands; those of rows that name no node fall out where the nodes are joined
-    banded = rows.select(F.col("row").alias("node"), F.explode("bands").alias("band"))
+    minima = rows.select(F.col("row").alias("node"), F.explode("bands").alias("band"))
+    banded = minima.unionByName(settle(_linked(texts, nodes), "linked"))
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     members = settle(banded.join(shared, "band", "left_semi").join(nodes.select("node", "first", "size"), "node"), "members")
     asked = settle(nodes.join(members.select("node").distinct(), "node", "left_semi").select("digest", "node", "first", "size"), "asked")

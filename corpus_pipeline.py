@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences: five stages, each written as Parquet before the next one reads it.
 
-Stages 1, 2, 4 and 5 are operators 6, 10, 2 and 7. Near copies go by 5-word shingles and a similarity of 0.8, which the 4 bits of
-operator 8 do not reach. Each stage loads its operator when it runs.
+The stages are operators 6, 10, 8, 2 and 7. What operator 8 links is decided by 5-word shingles and a similarity of 0.8; MinHash
+bands add the candidates that its 4 bits do not reach. Each stage loads its operator when it runs.
 """
 
 from __future__ import annotations

@@ -1,7 +1,9 @@
 import random
 
 import corpus_pipeline
-from catalogue.llm import nearcopies
+from pyspark.sql import functions as F
+
+from catalogue.llm import nearcopies, simhash
 
 from .helpers import cluttered, empty, table
 
@@ -106,3 +108,16 @@ def test_prefixes_lose_no_near_pair(spark):
     near = {(a, b) for i, a in enumerate(nodes) for b in nodes[i + 1:] if similar(known[a], known[b])}
     assert near and near <= {tuple(sorted(p)) for p in pairs}
     assert {tuple(sorted((r["u"], r["v"]))) for r in nearcopies.near(spark.createDataFrame(sorted(pairs), "u long, v long"), sets).collect()} == near
+
+
+def test_operator_8_gives_candidates(spark):
+    """Each component of operator 8 is a band of its own beside those by minima; the exact check decides."""
+    text = [f"w{k * k % 4001}" for k in range(1200)]
+    texts = [text, [*text[:600], "x", *text[601:]], [f"v{k}" for k in range(300)]]
+    docs = table(spark, [(k + 1, " ".join(t), "en", "a", 0) for k, t in enumerate(texts)])
+    linked = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert linked == {1: 1, 2: 1, 3: 3}
+    members, _ = nearcopies.banded_members(docs)
+    band = members.select(F.xxhash64(F.lit("component"), F.lit(1).cast("long")).alias("b")).first()["b"]
+    assert {r["first"] for r in members.where(F.col("band") == band).collect()} == {1, 2}
+    assert sorted(r["doc_id"] for r in nearcopies.drop_near_copies(docs).collect()) == [1, 3]
