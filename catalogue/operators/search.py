@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import contract as K
 from ..functions import columns as P
 from ..functions.skew import join_small_or_keyed
+from ..sources.shared import settle
 from . import views as V
 from .facets import typed_literal
 
@@ -285,34 +286,49 @@ def run_suite(df: DataFrame, suite: Sequence[tuple[str, SearchRequest]], group:
               dataset: str = "source_dataset", status: str = "gpa_parse_status") -> DataFrame:
     """All saved queries over one scan, one row per query and dataset (dataset NULL = the whole).
 
-    Each row is reduced to the bit set of queries it matches. Rows are counted per (group, dataset, rule, bit set)
-    before anything is listed per query, so neither the scan nor the shuffle grows with the number of queries.
+    Each row is reduced to the bit set of queries it matches, which is written once. Rows are counted per (dataset, rule,
+    bit set) before anything is listed per query; distinct groups come from one bit set per (dataset, group). No row per
+    query and group exists, so neither the scan nor the shuffle grows with the number of queries.
     """
+    parts = [suite[k:k + 60] for k in range(0, len(suite), 60)]
+    bounds = [c for c in ("gpa_min_tenths", "gpa_min_inclusive", "gpa_max_tenths", "gpa_max_inclusive") if c in df.columns]
+    masks = [reduce(lambda a, b: a + b, [F.when(predicate(r), F.lit(1 << i)).otherwise(0).cast("bigint") for i, (_, r) in enumerate(part)]).alias(f"_mask{k}")
+             for k, part in enumerate(parts)]
+    rows = settle(df.select(F.col(group).alias("_g"), F.col(dataset).cast("string").alias("_d"), F.col(status).alias("_s"), *bounds, *masks), "suite")
     out = []
-    for start in range(0, len(suite), 60):
-        part = suite[start:start + 60]
-        mask = reduce(lambda a, b: a + b, [
-            F.when(predicate(r), F.lit(1 << i)).otherwise(0).cast("bigint") for i, (_, r) in enumerate(part)])
-        bounds = [c for c in ("gpa_min_tenths", "gpa_min_inclusive", "gpa_max_tenths", "gpa_max_inclusive") if c in df.columns]
-        counted = (df.select(group, dataset, status, *bounds, mask.alias("_mask"))
-                   .groupBy(group, dataset, status, *bounds, "_mask").agg(F.count("*").alias("n")))
+    for k, part in enumerate(parts):
+        counted = rows.groupBy("_d", "_s", *bounds, f"_mask{k}").agg(F.count("*").alias("n"))
         # every query has a line, so one without any match is counted as well
         lines = F.array(*[F.struct(
-            F.lit(label).alias("label"), F.lit(r.value_tenths is not None).alias("valued"), (F.getbit("_mask", F.lit(i)) == 1).alias("hit"),
-            (safe_match(r.value_tenths, status=status) if r.value_tenths is not None else F.lit(False)).alias("safe"))
+            F.lit(label).alias("label"), F.lit(r.value_tenths is not None).alias("valued"), (F.getbit(f"_mask{k}", F.lit(i)) == 1).alias("hit"),
+            (safe_match(r.value_tenths, status="_s") if r.value_tenths is not None else F.lit(False)).alias("safe"))
             for i, (label, r) in enumerate(part)])
-        out.append(counted.select(group, dataset, status, "n", F.explode(lines).alias("q")))
-    # once for its dataset and once for the whole; then one aggregate per group and one over the groups
-    both = F.explode(F.array(F.struct(F.lit(False).alias("whole"), F.col(dataset).cast("string").alias("dataset")),
-                             F.struct(F.lit(True).alias("whole"), F.lit(None).cast("string").alias("dataset"))))
-    hits = reduce(DataFrame.unionByName, out).select(F.col(group).alias("_g"), F.col(status).alias("_s"), "n", "q.*", both.alias("d")).select("*", "d.*")
+        out.append(counted.select("_d", "_s", "n", F.explode(lines).alias("q")).select("_d", "_s", "n", "q.*"))
     of = lambda when: F.coalesce(F.sum(F.when(F.col("hit") & when, F.col("n"))), F.lit(0))
-    per = hits.groupBy("label", "valued", "whole", "dataset", "_g").agg(
+    per = reduce(DataFrame.unionByName, out).groupBy("label", "valued", "_d").agg(
         of(F.lit(True)).alias("t"), of(F.col("safe")).alias("s"), of(F.coalesce(F.col("_s") == "conditional_review", F.lit(False))).alias("c"))
-    sums = per.groupBy("label", "valued", "whole", "dataset").agg(
-        F.sum("t").alias("total"), F.sum("s").alias("_safe"), F.sum("c").alias("conditional_rows"),
-        F.count_if((F.col("t") > 0) & F.col("_g").isNotNull()).alias("groups"))
-    return sums.select("label", "dataset", "total", F.when(F.col("valued"), F.col("_safe")).alias("safe_match_rows"), "conditional_rows", "groups")
+    of_group = rows.where("_g IS NOT NULL").groupBy("_d", "_g").agg(*[F.bit_or(f"_mask{k}").alias(f"_mask{k}") for k in range(len(parts))])
+    of_whole = of_group.groupBy("_g").agg(*[F.bit_or(f"_mask{k}").alias(f"_mask{k}") for k in range(len(parts))])
+    names: dict[tuple[str, bool], dict[int, int]] = {}
+    for k, part in enumerate(parts):
+        for i, (label, r) in enumerate(part):
+            bits = names.setdefault((label, r.value_tenths is not None), {})
+            bits[k] = bits.get(k, 0) | 1 << i
+    listed = F.explode(F.array(*[F.struct(F.lit(label).alias("label"), F.lit(valued).alias("valued"), reduce(
+        lambda a, b: a | b, [F.col(f"_mask{k}").bitwiseAND(F.lit(b).cast("bigint")) != 0 for k, b in bits.items()]).alias("hit"))
+        for (label, valued), bits in names.items()]))
+
+    def with_groups(sums: DataFrame, seen: DataFrame, whole: bool) -> DataFrame:
+        d = F.lit(None).cast("string") if whole else F.col("_d")
+        found = seen.select(d.alias("_gd"), listed.alias("q")).select("_gd", "q.*").groupBy(
+            F.col("label").alias("_gl"), F.col("valued").alias("_gv"), "_gd").agg(F.count_if("hit").alias("_groups"))
+        on = (F.col("label") == F.col("_gl")) & (F.col("valued") == F.col("_gv")) & F.col("_d").eqNullSafe(F.col("_gd"))
+        return sums.join(found, on, "left").select(
+            "label", F.col("_d").alias("dataset"), F.col("t").alias("total"), F.when(F.col("valued"), F.col("s")).alias("safe_match_rows"),
+            F.col("c").alias("conditional_rows"), F.coalesce("_groups", F.lit(0)).alias("groups"))
+
+    whole = per.groupBy("label", "valued").agg(*[F.sum(c).alias(c) for c in "tsc"]).withColumn("_d", F.lit(None).cast("string"))
+    return with_groups(per, of_group, False).unionByName(with_groups(whole, of_whole, True))
 
 
 def compare_results(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:

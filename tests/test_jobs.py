@@ -10,6 +10,7 @@ from catalogue.operators import bundle
 from catalogue.operators import diff as D
 from catalogue.operators import equivalence as E
 from catalogue.operators import rules as V
+from catalogue.operators import search as S
 from catalogue.operators.search import SearchRequest
 
 from test_stored import plan
@@ -98,3 +99,20 @@ def test_one_lost_member_is_found_in_its_queries(spark):
     # more queries than one bit set holds
     many = [(f"q{k}", SearchRequest(groups=(members[k % 3],))) for k in range(130)]
     assert E.suite_equivalence(records, lost, ["record_id"], many).where("NOT same_keys").count() == sum(k % 3 == 2 for k in range(130))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_saved_suite_has_no_row_per_query_and_group(spark):
+    df = spark.createDataFrame([("u1", "a", "parsed_safe"), ("u1", "b", "other"), (None, "a", "conditional_review"), ("u2", None, "other")],
+                               "university string, source_dataset string, gpa_parse_status string")
+    fields = ("source_dataset", "university")
+    suite = [("a", SearchRequest(equals={"source_dataset": ("a",)}, exact_fields=fields)), ("all", SearchRequest()), ("none", SearchRequest(equals={"university": ("x",)}, exact_fields=fields))]
+    got = S.run_suite(df, suite)
+    assert not re.search(r"keys=\[label#\d+[^\]]*_g#", plan_of(got))
+    rows = sorted([tuple(r) for r in got.collect()], key=str)
+    assert [r for r in rows if r[0] == "all"] == sorted([("all", "a", 2, None, 1, 1), ("all", "b", 1, None, 0, 1), ("all", None, 1, None, 0, 1), ("all", None, 4, None, 1, 2)], key=str)
+    assert [r for r in rows if r[0] == "a" and r[2]] == sorted([("a", "a", 2, None, 1, 1), ("a", None, 2, None, 1, 1)], key=str)
+    assert len(rows) == 12 and all(r[2] == 0 and r[5] == 0 for r in rows if r[0] == "none")
