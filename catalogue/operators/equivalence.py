@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import settle
 from .search import SearchRequest, predicate, safe_match
 
 #: queries, or branches of queries, that share a bit set
@@ -54,11 +55,11 @@ def fold_memberships(children: Mapping[str, DataFrame], key: Sequence[str], suit
 
 
 def _joined_form(suite: Suite) -> list[Column]:
-    """Each query as a predicate that takes memberships from the folded bit sets."""
+    """Each query as a predicate that takes memberships from the folded bit sets, and the rest of it from ``_rest``."""
     has = lambda kind, bit: F.coalesce(F.getbit(f"_{kind}", F.lit(bit)) == 1, F.lit(False))
     out, at = [], 0
     for i, (_, r) in enumerate(suite):
-        hit = predicate(replace(r, groups=(), places=(), branches=()))
+        hit = has("rest", i)
         if r.groups:
             hit = hit & has("groups", i)
         if r.places:
@@ -85,10 +86,24 @@ def _chunks(suite: Suite) -> list[Suite]:
     return out
 
 
-def both_forms(records: DataFrame, children: Mapping[str, DataFrame], key: Sequence[str], suite: Suite) -> DataFrame:
-    """The records with ``_a`` and ``_b``: the queries that the array form and the join form answer with them."""
-    folded = fold_memberships(children, key, suite)
-    return records.join(folded, list(key), "left").withColumns({"_a": _mask([predicate(r) for _, r in suite]), "_b": _mask(_joined_form(suite))})
+BOUNDS = ("gpa_min_tenths", "gpa_min_inclusive", "gpa_max_tenths", "gpa_max_inclusive")
+
+
+def both_forms(records: DataFrame, children: Mapping[str, DataFrame], key: Sequence[str], suite: Suite, keep: Sequence[str] = ()) -> DataFrame:
+    """The records' key and ``keep`` with ``_a`` and ``_b``: the queries that the array form and the join form answer with them.
+
+    A record meets its members as bit sets, with none of its other columns.
+    """
+    rest = [predicate(replace(r, groups=(), places=(), branches=())) for _, r in suite]
+    asked = records.select(*dict.fromkeys([*key, *keep]), _mask([predicate(r) for _, r in suite]).alias("_a"), _mask(rest).alias("_rest"))
+    met = asked.join(fold_memberships(children, key, suite), list(key), "left")
+    return met.withColumn("_b", _mask(_joined_form(suite))).drop("_rest", *[f"_{k}" for k in KINDS])
+
+
+def _written(records: DataFrame, children: Mapping[str, DataFrame], key: Sequence[str], suite: Suite, group: str, status: str) -> list[tuple[Suite, DataFrame]]:
+    """Both forms per chunk of the suite, written once for all that is counted and listed of them."""
+    keep = [group, status, *[c for c in BOUNDS if c in records.columns]]
+    return [(part, settle(both_forms(records, children, key, part, keep), "forms")) for part in _chunks(suite)]
 
 
 def suite_equivalence(records: DataFrame, children: Mapping[str, DataFrame], key: Sequence[str], suite: Suite, group: str = "university",
@@ -98,20 +113,19 @@ def suite_equivalence(records: DataFrame, children: Mapping[str, DataFrame], key
     The summary is that of a search page: safe matches and misses of the asked value (NULL without one), rows with a safe rule,
     rows under review, the rest, and distinct groups.
     """
-    out = [_compared(records, children, key, part, group, status) for part in _chunks(suite)]
+    out = [_compared(forms, key, part, group, status) for part, forms in _written(records, children, key, suite, group, status)]
     return reduce(DataFrame.unionByName, out)
 
 
-def _compared(records: DataFrame, children: Mapping[str, DataFrame], key: Sequence[str], suite: Suite, group: str, status: str) -> DataFrame:
-    bounds = [c for c in ("gpa_min_tenths", "gpa_min_inclusive", "gpa_max_tenths", "gpa_max_inclusive") if c in records.columns]
+def _compared(forms: DataFrame, key: Sequence[str], suite: Suite, group: str, status: str) -> DataFrame:
+    bounds = [c for c in BOUNDS if c in forms.columns]
     h = [F.xxhash64(*key).cast("decimal(20,0)"), F.xxhash64(F.lit(7), *key).cast("decimal(20,0)")]
     # rows are added up per pair of bit sets before anything is listed per query
-    counted = both_forms(records, children, key, suite).groupBy(group, status, *bounds, "_a", "_b").agg(
-        F.count("*").alias("n"), F.sum(h[0]).alias("h1"), F.sum(h[1]).alias("h2"))
+    counted = forms.groupBy(F.col(status).alias("s"), *bounds, "_a", "_b").agg(F.count("*").alias("n"), F.sum(h[0]).alias("h1"), F.sum(h[1]).alias("h2"))
     asked = F.array(*[F.struct(
         F.lit(label).alias("label"), F.lit(i).alias("i"), F.lit(r.value_tenths is not None).alias("valued"),
-        (safe_match(r.value_tenths, status=status) if r.value_tenths is not None else F.lit(False)).alias("safe")) for i, (label, r) in enumerate(suite)])
-    lines = counted.withColumn("q", F.explode(asked)).select("n", "h1", "h2", F.col(group).alias("g"), F.col(status).alias("s"), "_a", "_b", "q.*")
+        (safe_match(r.value_tenths, status="s") if r.value_tenths is not None else F.lit(False)).alias("safe")) for i, (label, r) in enumerate(suite)])
+    lines = counted.withColumn("q", F.explode(asked)).select("n", "h1", "h2", "s", "_a", "_b", "q.*")
     lines = lines.withColumns({"a": F.getbit("_a", F.col("i")) == 1, "b": F.getbit("_b", F.col("i")) == 1})
     parsed, review = F.col("s") == "parsed_safe", F.col("s") == "conditional_review"
 
@@ -121,15 +135,20 @@ def _compared(records: DataFrame, children: Mapping[str, DataFrame], key: Sequen
 
     def side(x: str) -> list[Column]:
         return [total(x).alias(f"rows_{x}"), total(x, of="h1").alias(f"h1_{x}"), total(x, of="h2").alias(f"h2_{x}"), total(x, F.col("safe")).alias(f"safe_{x}"),
-                total(x, parsed & ~F.col("safe")).alias(f"miss_{x}"), total(x, parsed).alias(f"rule_{x}"), total(x, review).alias(f"review_{x}"),
-                F.bool_or(x).alias(f"any_{x}")]
-
-    # first per group, so that distinct groups are counted without holding them
-    per = lines.groupBy("label", "valued", "g").agg(*side("a"), *side("b"))
-    sums = [c for x in "ab" for c in (f"rows_{x}", f"h1_{x}", f"h2_{x}", f"safe_{x}", f"miss_{x}", f"rule_{x}", f"review_{x}")]
-    groups = [F.count_if(F.col(f"any_{x}") & F.col("g").isNotNull()).alias(f"groups_{x}") for x in "ab"]
-    all_ = per.groupBy("label", "valued").agg(*[F.sum(c).alias(c) for c in sums], *groups)
-    same = lambda *names: reduce(lambda p, q: p & q, [F.col(f"{n}_a") == F.col(f"{n}_b") for n in names])
+                total(x, parsed & ~F.col("safe")).alias(f"miss_{x}"), total(x, parsed).alias(f"rule_{x}"), total(x, review).alias(f"review_{x}")]
+
+    # distinct groups from one pair of bit sets per group, so that no row per query and group exists
+    bits: dict[tuple[str, bool], int] = {}
+    for i, (label, r) in enumerate(suite):
+        named = (label, r.value_tenths is not None)
+        bits[named] = bits.get(named, 0) | 1 << i
+    listed = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(valued).alias("valued"), *[
+        (F.col(f"_{x}").bitwiseAND(F.lit(b).cast("bigint")) != 0).alias(x) for x in "ab"]) for (label, valued), b in bits.items()])
+    per_group = forms.where(F.col(group).isNotNull()).groupBy(group).agg(F.bit_or("_a").alias("_a"), F.bit_or("_b").alias("_b"))
+    groups = per_group.select(F.explode(listed).alias("q")).select("q.*").groupBy("label", "valued").agg(
+        *[F.count_if(x).alias(f"groups_{x}") for x in "ab"])
+    all_ = lines.groupBy("label", "valued").agg(*side("a"), *side("b")).join(groups, ["label", "valued"], "left").fillna(0, ["groups_a", "groups_b"])
+    same =lambda *names: reduce(lambda p, q: p & q, [F.col(f"{n}_a") == F.col(f"{n}_b") for n in names])
     valued = lambda c: F.when(F.col("valued"), F.col(c))
     return all_.select(
         "label", "rows_a", "rows_b", same("rows", "h1", "h2").alias("same_keys"), same("rows", "safe", "miss", "rule", "review", "groups").alias("same_summary"),
@@ -141,14 +160,17 @@ def _compared(records: DataFrame, children: Mapping[str, DataFrame], key: Sequen
 def suite_differences(records: DataFrame, children: Mapping[str, DataFrame], key: Sequence[str], suite: Suite, group: str = "university",
                       status: str = "gpa_parse_status") -> DataFrame:
     """(label, key, side): the keys that only one form answers, looked for only where the hashes differ."""
-    differing = {r["label"] for r in suite_equivalence(records, children, key, suite, group, status).where("NOT same_keys").select("label").collect()}
-    part = [q for q in suite if q[0] in differing]  # a suite is a short list
-    if not part:
-        return records.where("false").select(F.lit("").alias("label"), *key, F.lit("").alias("side"))
+    written = _written(records, children, key, suite, group, status)
+    compared = reduce(DataFrame.unionByName, [_compared(forms, key, part, group, status) for part, forms in written])
+    differing = {r["label"] for r in compared.where("NOT same_keys").select("label").collect()}  # a suite is a short list
     out = []
-    for chunk in _chunks(part):
-        apart = both_forms(records, children, key, chunk).where("_a <> _b")
+    for part, forms in written:
+        asked = [(i, label) for i, (label, _) in enumerate(part) if label in differing]
+        if not asked:
+            continue
         lines = F.array_compact(F.array(*[F.when(F.getbit("_a", F.lit(i)) != F.getbit("_b", F.lit(i)), F.struct(
-            F.lit(label).alias("label"), F.when(F.getbit("_a", F.lit(i)) == 1, "array").otherwise("join").alias("side"))) for i, (label, _) in enumerate(chunk)]))
-        out.append(apart.select(*key, F.explode(lines).alias("d")).select("d.label", *key, "d.side"))
+            F.lit(label).alias("label"), F.when(F.getbit("_a", F.lit(i)) == 1, "array").otherwise("join").alias("side"))) for i, label in asked]))
+        out.append(forms.where("_a <> _b").select(*key, F.explode(lines).alias("d")).select("d.label", *key, "d.side"))
+    if not out:
+        return records.where("false").select(F.lit("").alias("label"), *key, F.lit("").alias("side"))
     return reduce(DataFrame.unionByName, out)

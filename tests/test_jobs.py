@@ -116,3 +116,18 @@ def test_saved_suite_has_no_row_per_query_and_group(spark):
     assert [r for r in rows if r[0] == "all"] == sorted([("all", "a", 2, None, 1, 1), ("all", "b", 1, None, 0, 1), ("all", None, 1, None, 0, 1), ("all", None, 4, None, 1, 2)], key=str)
     assert [r for r in rows if r[0] == "a" and r[2]] == sorted([("a", "a", 2, None, 1, 1), ("a", None, 2, None, 1, 1)], key=str)
     assert len(rows) == 12 and all(r[2] == 0 and r[5] == 0 for r in rows if r[0] == "none")
+
+
+def test_both_forms_are_made_once(spark):
+    """What is counted and listed of a suite reads one written table; no row per query and group exists."""
+    records = spark.createDataFrame([(f"r{k}", f"u{k % 2}", "other", ["a"] if k % 2 else ["b"]) for k in range(6)],
+                                    "record_id string, university string, gpa_parse_status string, academic_field_groups array<string>")
+    empty = records.where("false").select("record_id", F.lit("x").alias("code"))
+    children = {"groups": records.where("record_id <> 'r3'").select("record_id", F.explode("academic_field_groups").alias("code")), "places": empty, "broad": empty, "sub": empty}
+    suite = [("any a", SearchRequest(groups=("a",))), ("all", SearchRequest())]
+    got = E.suite_equivalence(records, children, ["record_id"], suite)
+    assert not re.search(r"keys=\[label#\d+, valued#\d+, (g|university)#", plan_of(got))
+    assert sorted(tuple(r)[:5] + (r["group_count"],) for r in got.collect()) == [("all", 6, 6, True, True, 2), ("any a", 3, 2, False, False, 1)]
+    apart = E.suite_differences(records, children, ["record_id"], suite)
+    assert "Join" not in plan_of(apart) and all("/forms/" in f for f in apart.inputFiles())
+    assert [tuple(r) for r in apart.collect()] == [("any a", "r3", "array")]
