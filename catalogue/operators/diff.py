@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import contract as K
 from ..functions.skew import fingerprint
+from ..sources.shared import settle
 from .facets import compare_counts
 from .search import SearchRequest, predicate
 
@@ -201,7 +202,8 @@ def sidecar_report(parent: DataFrame, coverage: DataFrame, child: DataFrame, cov
         F.count_if(F.col("n").isNull() & (F.col("declared") != 0)).alias("stale_nonzero"),
         F.count_if(F.col("n") != F.col("declared")).alias("count_mismatches"))
     names = [x for x, _ in child_on]
-    rows = child.groupBy(*child.columns).agg(F.count("*").alias("n"))
+    # written, so that no task adds up the children, sorts them and meets the parents all at once
+    rows = settle(child.groupBy(*child.columns).agg(F.count("*").alias("n")), "children")
     p = parent.select(*[F.col(pc).alias(x) for x, pc in child_on], *[F.col(d).alias("_p_" + d) for d in denormalized],
                       F.lit(True).alias("_found"))
     differing = reduce(lambda a, b: a + b, [

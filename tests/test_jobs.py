@@ -131,3 +131,13 @@ def test_both_forms_are_made_once(spark):
     apart = E.suite_differences(records, children, ["record_id"], suite)
     assert "Join" not in plan_of(apart) and all("/forms/" in f for f in apart.inputFiles())
     assert [tuple(r) for r in apart.collect()] == [("any a", "r3", "array")]
+
+
+def test_children_of_a_sidecar_are_written_before_the_join(spark):
+    parent = spark.createDataFrame([(1, "u", "x"), (2, "u", "y")], "id int, name string, st string")
+    coverage = spark.createDataFrame([("u", 2)], "name string, declared int")
+    child = spark.createDataFrame([(1, "x"), (1, "x"), (2, "x"), (3, "x")], "pid int, st string")
+    out = D.sidecar_report(parent, coverage, child, ["name"], "declared", [("pid", "id")], ["st"])
+    assert any("/children/" in f for f in out.inputFiles())
+    assert out.first().asDict() == {"missing_coverage": 0, "stale_coverage": 0, "stale_nonzero": 0, "count_mismatches": 0, "child_rows": 4, "duplicate_children": 1, "orphans": 1,
+                                    "denormalized_mismatches": 1, "coherent": False}
