@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as P
 from ..functions.skew import are_small, join_keyed, join_small_or_keyed
+from ..sources.shared import settle
 from .views import beside
 
 # ---- fixed values: vocabularies and notes of the classification layers -----------------------------------------------
@@ -503,10 +504,12 @@ def audit_layer(records: DataFrame, layer: DataFrame, members: DataFrame, taxono
     """
     key = list(key)
     ranked = members.join(taxonomy.select(code, F.col(rank).cast("int").alias("_rank")), code, "left")
-    child = (ranked.groupBy(*key).agg(
-                 F.count("*").alias("n"), F.min(order).alias("lo"), F.max(order).alias("hi"),
-                 F.count_distinct(order).alias("orders"), F.count_if(F.col("_rank").isNull()).alias("unknown"))
-             .join(misordered(ranked, key, order, "_rank"), key, "left"))
+    # counted and written once for both judgements, and these again, so that no task holds all of the steps at once
+    ranked = settle(ranked.groupBy(*key, order, "_rank").agg(F.count("*").alias("_copies")), "members")
+    child = settle(ranked.groupBy(*key).agg(
+                 F.sum("_copies").alias("n"), F.min(order).alias("lo"), F.max(order).alias("hi"),
+                 F.count_distinct(order).alias("orders"), F.sum(F.when(F.col("_rank").isNull(), F.col("_copies")).otherwise(0)).alias("unknown"))
+             .join(misordered(ranked, key, order, "_rank"), key, "left"), "judged")
     parents = layer.groupBy(*key).agg(
         F.count("*").alias("copies"), F.min("raw_value").alias("raw_value"),
         F.min("mapping_status").alias("mapping_status"), F.min("contract_version").alias("contract_version"))

@@ -9,6 +9,7 @@ from catalogue.operators import acceptance as AC
 from catalogue.operators import bundle
 from catalogue.operators import diff as D
 from catalogue.operators import equivalence as E
+from catalogue.operators import classify as C
 from catalogue.operators import rules as V
 from catalogue.operators import search as S
 from catalogue.operators.search import SearchRequest
@@ -141,3 +142,14 @@ def test_children_of_a_sidecar_are_written_before_the_join(spark):
     assert any("/children/" in f for f in out.inputFiles())
     assert out.first().asDict() == {"missing_coverage": 0, "stale_coverage": 0, "stale_nonzero": 0, "count_mismatches": 0, "child_rows": 4, "duplicate_children": 1, "orphans": 1,
                                     "denormalized_mismatches": 1, "coherent": False}
+
+
+def test_members_of_an_audit_are_judged_before_the_join(spark):
+    records = spark.createDataFrame([(1, "a"), (2, "b")], "id int, raw string")
+    layer = spark.createDataFrame([(1, "a", "multi", "1"), (2, "b", "single", "1")], "id int, raw_value string, mapping_status string, contract_version string")
+    members = spark.createDataFrame([(1, "y", 1), (1, "x", 2), (1, "x", 2), (2, "z", 1)], "id int, code string, pos int")
+    tax = spark.createDataFrame([("x", 1), ("y", 2)], "code string, rank int")
+    out = C.audit_layer(records, layer, members, tax, ["id"], "raw", "1", "code", "pos", "rank")
+    assert any("/judged/" in f for f in out.inputFiles())
+    got = out.first()
+    assert (got["order_gaps"], got["order_not_by_rank"], got["unknown_codes"], got["multi_cardinality"], got["single_cardinality"]) == (1, 1, 1, 0, 0)
