@@ -71,10 +71,11 @@ def apply_layers(df: DataFrame, layers: Sequence[Layer], spread: Sequence[str] =
     """Join every lookup and derive all outputs in one projection.
 
     Whether the lookups are small enough to broadcast is settled by one counting job for all of them; a larger one is
-    joined by key with hot values spread.
+    joined by key with hot values spread. Those come first, so that what they shuffle has no columns of the others.
     """
     keep = df.columns
-    for layer, small in zip(layers, are_small([x.size_of for x in layers])):
+    sized = zip(layers, are_small([x.size_of for x in layers]))
+    for layer, small in sorted(sized, key=lambda x: x[1]):
         if small:
             cond = reduce(lambda a, b: a & b, [expr == F.col(name) for expr, name in layer.on])
             df = df.join(F.broadcast(layer.facts), cond, "left")

@@ -153,3 +153,17 @@ def test_members_of_an_audit_are_judged_before_the_join(spark):
     assert any("/judged/" in f for f in out.inputFiles())
     got = out.first()
     assert (got["order_gaps"], got["order_not_by_rank"], got["unknown_codes"], got["multi_cardinality"], got["single_cardinality"]) == (1, 1, 1, 0, 0)
+
+
+def test_large_lookups_are_joined_before_small_ones(spark, monkeypatch):
+    """The rows that a keyed join shuffles have no columns of the lookups that are broadcast."""
+    seen = []
+    real = C.join_keyed
+    monkeypatch.setattr(C, "are_small", lambda frames: [True, False])
+    monkeypatch.setattr(C, "join_keyed", lambda rows, *a: (seen.append(rows.columns), real(rows, *a))[1])
+    df = spark.createDataFrame([("r1", "a", "b"), ("r2", None, "c")], "record_id string, p string, q string")
+    fact = lambda k, v: spark.createDataFrame([(k, v)], f"{v}_k string, {v}_v string")
+    layer = lambda col, facts, n: C.Layer(facts, ((F.col(col), f"{n}_k"),), facts, {f"{n}_out": F.col(f"{n}_v")})
+    out = C.apply_layers(df, [layer("p", fact("a", "small"), "small"), layer("q", fact("b", "large"), "large")])
+    assert seen == [["record_id", "p", "q", "_key0"]]
+    assert sorted(tuple(r) for r in out.fillna("-").collect()) == [("r1", "a", "b", "small", "large"), ("r2", "-", "c", "-", "-")]
