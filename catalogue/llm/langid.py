@@ -7,11 +7,9 @@ with the fewest bits per byte of text wins. The parse runs byte by byte over man
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from .workers import map_batches
+from .workers import large, map_batches
 
 #: the sample of a language: so many of the pieces of so many characters that its labelled texts are cut into
 SAMPLE_PIECES, SAMPLE_CHARS = 128, 256
@@ -91,7 +89,7 @@ def automaton(data: bytes):
     return symbol, table
 
 
-@lru_cache(maxsize=4)
+@large(maxsize=4)
 def _automata(samples: tuple[tuple[str, bytes], ...]):
     return [automaton(data) for _, data in samples]
 
@@ -170,4 +168,4 @@ def identify(documents: DataFrame, labelled: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              names=["doc_id", "lang_pred", "score"])
 
-    return map_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), judged, OUT)
+    return map_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), judged, OUT, keeps="_automata")

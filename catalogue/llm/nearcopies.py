@@ -219,7 +219,7 @@ def _kept_first(links: DataFrame) -> DataFrame:
     A round settles two links of every chain of near copies that are not near the first; links are few and chains short here,
     since the rounds before have taken whatever is near the first of a band.
     """
-    gone = links.sparkSession.createDataFrame([], "v long")
+    gone = links.select("v").limit(0)  # of a frame: rows from the driver would start further Python workers, which stay
     while not links.isEmpty():
         later = links.select(F.col("v").alias("u")).distinct()
         ready = links.join(later, "u", "left_anti").select("v").distinct()  # linked from one that certainly stays

@@ -121,3 +121,12 @@ def test_operator_8_gives_candidates(spark):
     band = members.select(F.xxhash64(F.lit("component"), F.lit(1).cast("long")).alias("b")).first()["b"]
     assert {r["first"] for r in members.where(F.col("band") == band).collect()} == {1, 2}
     assert sorted(r["doc_id"] for r in nearcopies.drop_near_copies(docs).collect()) == [1, 3]
+
+
+def test_no_links_start_no_python_workers(spark):
+    links = spark.range(4).selectExpr("id AS u", "id + 1 AS v")
+    for some in (links, links.where("u > v")):
+        assert "ExistingRDD" not in nearcopies._kept_first(some)._jdf.queryExecution().toString()
+    assert [r["v"] for r in nearcopies._kept_first(links.where("u = 1")).collect()] == [2]
+    assert nearcopies._kept_first(links.where("u > v")).count() == 0
+    assert "ExistingRDD" in spark.createDataFrame([], "v long")._jdf.queryExecution().toString()
