@@ -121,3 +121,10 @@ def test_many_small_sources_come_in_runs(spark):
             if k < len(windows) - 1:
                 want = packing.SEQUENCE * total["s00000"] / everything
                 assert all(x <= want + 2 * packing.RUN for s, x in w.items() if s != "large")
+
+
+def test_workers_that_read_pieces_keep_no_encoder(spark, monkeypatch):
+    kept, through = [], packing.map_batches
+    monkeypatch.setattr(packing, "map_batches", lambda *args, keeps=None: kept.append(keeps) or through(*args, keeps=keeps))
+    assert packing.pack(table(spark)).count() > 0
+    assert kept == ["encoder", None]
