@@ -1,4 +1,7 @@
+import gc
 import struct
+import sys
+import tracemalloc
 import zlib
 
 import pytest
@@ -6,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from catalogue.llm import records
+from catalogue.llm import records, tokens
 from catalogue.llm.tokens import WordEncoder, encoder, vocabulary_path
 
 from .helpers import cluttered, empty, table
@@ -84,3 +87,46 @@ def test_shards_hold_records_in_order_and_any_can_be_read_alone(spark):
             doc_id, ids = reader.record(k)
             assert list(ids) == [*whole(f"text {doc_id}"), records.END_ID]
     assert seen == list(range(200))
+
+
+WORDS = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "né", "pu", "ra") for b in ("x", "yy", "z") for c in map(chr, range(ord("a"), ord("z") + 1))]
+
+
+def test_no_call_per_word():
+    """New words are cut, told apart and looked up by columns: far fewer calls than words."""
+    texts, calls = [", ".join(a + b for b in WORDS[:50]).encode() for a in WORDS], 0
+    fresh = WordEncoder(vocabulary_path())
+    fresh.encode([b"some words"])
+
+    def count(frame, event, what):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        fresh.encode(texts)
+    finally:
+        sys.setprofile(None)
+    assert calls < 50 * len(texts) / 4
+
+
+def test_kept_words_are_compact():
+    texts = [" ".join(a + b for b in WORDS).encode() for a in WORDS]
+    fresh = WordEncoder(vocabulary_path())
+    gc.collect()
+    tracemalloc.start()
+    try:
+        fresh.encode(texts)
+        gc.collect()
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert kept < 1 << 22 and fresh.known.nbytes + fresh.ids.nbytes < 40 * len(WORDS) ** 2
+
+
+def test_long_texts_and_long_words_are_whole(monkeypatch):
+    monkeypatch.setattr(tokens, "BYTES_AT_ONCE", 64)
+    texts = ["it's one, two 's " * 40, "é" * 70 + " 'LLm <|endoftext|> " * 20, "", "\n", "word" * 50]
+    fresh = WordEncoder(vocabulary_path())
+    for _ in range(2):
+        assert [ids_of(x) for x in fresh.encode([t.encode() for t in texts])] == [whole(t) for t in texts]
