@@ -94,3 +94,17 @@ def test_fingerprint_tells_nulls_apart(spark):
 def test_size_checks(spark):
     assert skew.are_small([spark.range(5), spark.range(50), spark.range(0)], max_rows=10) == [True, False, True]
     assert not skew.is_small(spark.range(50), 10)
+
+
+def test_listed_hashes_always_pass(spark):
+    rows = spark.range(4000).select("id", F.xxhash64("id").alias("h"))
+    listed = rows.where("id % 40 = 0").select("h")
+    got = skew.maybe_listed(rows, listed, "h")
+    ids = {r["id"] for r in got.collect()}
+    assert got.columns == ["id", "h"] and {k for k in range(0, 4000, 40)} <= ids and len(ids) < 400
+    # a map that is far too small lets more pass and loses none; nothing listed lets nothing pass
+    few = {r["id"] for r in skew.maybe_listed(rows, listed, "h", most=64).collect()}
+    assert {k for k in range(0, 4000, 40)} <= few and len(few) > len(ids)
+    assert skew.maybe_listed(rows, listed.where("false"), "h").count() == 0
+    # many maps
+    assert {r["id"] for r in skew.maybe_listed(rows, listed, "h", per_value=20_000).collect()} == {k for k in range(0, 4000, 40)}
